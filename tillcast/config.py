@@ -71,6 +71,7 @@ class ForecastConfig:
     skip_empty_horizon: bool = True
     clip_lower: bool = True
     encoding_smoothing: float = 20.0
+    train_rows_per_partition: int = 1_000_000
     # report
     report_date_column: str = "reference_date"
     report_extra_columns: tuple[str, ...] = ()

@@ -63,30 +63,45 @@ def best_iteration(errors: list[float], patience: int) -> int:
     return best_i + 1
 
 
-def fit_target_encoding(train: DataFrame, cols: list[str], label: str, smoothing: float):
-    """Per column: (value -> smoothed mean of the label), plus the global mean."""
-    mu = train.agg(F.avg(label)).first()[0]
+def fit_target_encodings(train: DataFrame, cols: list[str], targets: list[str], smoothing: float):
+    """Smoothed target means of every categorical column for every horizon, in ONE
+    aggregation (GROUPING SETS, one shuffle, partial aggregation before it).
+
+    Returns ``{column: DataFrame(_k_<column>, _enc_<column>_<target>...)}`` and the
+    global mean of every target (the value for unseen or missing categories).
+    """
+    n = len(cols)
+    aggs = []
+    for t in targets:
+        aggs += [F.sum(t).alias(f"_s_{t}"), F.count(t).alias(f"_n_{t}")]
+    stats = train.groupingSets([[c] for c in cols] + [[]], *cols).agg(*aggs, F.grouping_id().alias("_gid"))
+    stats = stats.persist()
+    total = stats.where(F.col("_gid") == (1 << n) - 1).first()
+    mu = {t: (total[f"_s_{t}"] / total[f"_n_{t}"]) if total and total[f"_n_{t}"] else 0.0 for t in targets}
     tables = {}
-    for c in cols:
-        stats = train.groupBy(c).agg(F.sum(label).alias("_s"), F.count(label).alias("_n"))
-        tables[c] = stats.select(F.col(c).alias(f"_k_{c}"),
-                                 ((F.col("_s") + F.lit(smoothing * mu)) / (F.col("_n") + F.lit(smoothing)))
-                                 .alias(f"_enc_{c}"))
+    for i, c in enumerate(cols):
+        gid = (1 << n) - 1 - (1 << (n - 1 - i))
+        enc = [((F.col(f"_s_{t}") + F.lit(smoothing * mu[t])) / (F.col(f"_n_{t}") + F.lit(smoothing)))
+               .alias(f"_enc_{c}_{t}") for t in targets]
+        tables[c] = stats.where(F.col("_gid") == gid).select(F.col(c).alias(f"_k_{c}"), *enc)
     return tables, mu
 
 
-def apply_target_encoding(df: DataFrame, tables: dict[str, DataFrame], mu: float, max_rows: int) -> DataFrame:
+def apply_target_encodings(df: DataFrame, tables: dict[str, DataFrame], mu: dict[str, float],
+                           max_rows: int) -> DataFrame:
+    """LEFT JOIN each encoding table (broadcast behind a row-count check), NULL-safe."""
     for c, t in tables.items():
         t, _ = checked_broadcast(t, max_rows)
         df = df.join(t, df[c].eqNullSafe(t[f"_k_{c}"]), "left").drop(f"_k_{c}")
-        df = df.withColumn(f"_enc_{c}", F.coalesce(F.col(f"_enc_{c}"), F.lit(mu)))
+        df = df.withColumns({f"_enc_{c}_{tg}": F.coalesce(F.col(f"_enc_{c}_{tg}"), F.lit(m))
+                             for tg, m in mu.items()})
     return df
 
 
-def _assembler(cfg: ForecastConfig, cats: list[str]) -> tuple[VectorAssembler, list[str]]:
+def _assembler(cfg: ForecastConfig, cats: list[str], target: str) -> VectorAssembler:
     nums = [f for f in cfg.features if f not in cats]
-    inputs = [f"_x_{f}" for f in nums] + [f"_enc_{c}" for c in cats]
-    return VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="keep"), nums
+    inputs = [f"_x_{f}" for f in nums] + [f"_enc_{c}_{target}" for c in cats]
+    return VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="keep")
 
 
 def _numeric_inputs(df: DataFrame, nums: list[str]) -> DataFrame:
@@ -114,10 +129,21 @@ def train_and_forecast(cleaned: DataFrame, cfg: ForecastConfig = V1) -> tuple[Da
     counts = data.groupBy("is_val").agg(F.count(F.lit(1)).alias("n"), *[F.count(t).alias(t) for t in targets])
     by_side = {r["is_val"]: r for r in counts.collect()}  # at most two rows
     run.cleaned_rows = sum(r["n"] for r in by_side.values())
+    # Tree growth runs a few jobs per level: size the training partitions by rows, not by
+    # the shuffle setting (a narrow coalesce, no shuffle).
+    train_parts = max(1, min(data.rdd.getNumPartitions(),
+                             math.ceil(run.cleaned_rows / cfg.train_rows_per_partition)))
 
     cats = [c for c in cfg.features if c in CATEGORICAL]
-    assembler, nums = _assembler(cfg, cats)
+    nums = [f for f in cfg.features if f not in cats]
+    trained = [t for _, t, _ in cfg.horizons if by_side.get(False) is not None and by_side[False][t]]
     latest = cut_lineage(panel.latest_per_atm(data.drop("is_val")))
+    if trained:
+        tables, mu = fit_target_encodings(data.where(~F.col("is_val")), cats, trained, cfg.encoding_smoothing)
+        data_x = _numeric_inputs(apply_target_encodings(data, tables, mu, cfg.broadcast_max_rows), nums)
+        data_x = cut_lineage(data_x)
+        latest_x = cut_lineage(_numeric_inputs(apply_target_encodings(latest, tables, mu, cfg.broadcast_max_rows),
+                                               nums))
     wide = latest
     for label, target, _ in cfg.horizons:
         n_tr = by_side[False][target] if False in by_side else 0
@@ -129,15 +155,14 @@ def train_and_forecast(cleaned: DataFrame, cfg: ForecastConfig = V1) -> tuple[Da
                 h.skipped = True
                 continue
             raise ValueError(f"no training rows for {target}")
-        tr = data.where(~F.col("is_val") & F.col(target).isNotNull())
-        vl = data.where(F.col("is_val") & F.col(target).isNotNull())
-        tables, mu = fit_target_encoding(tr, cats, target, cfg.encoding_smoothing)
+        assembler = _assembler(cfg, cats, target)
 
-        def prep(df: DataFrame) -> DataFrame:
-            enc = apply_target_encoding(df, tables, mu, cfg.broadcast_max_rows)
-            return assembler.transform(_numeric_inputs(enc, nums))
+        def rows(is_val: bool) -> DataFrame:
+            side = F.col("is_val") if is_val else ~F.col("is_val")
+            part = data_x.where(side & F.col(target).isNotNull())
+            return assembler.transform(part).select("_features", F.col(target).cast("double").alias("_label"))
 
-        tr_x = prep(tr).select("_features", F.col(target).cast("double").alias("_label")).persist()
+        tr_x = rows(False).coalesce(train_parts).persist()
         gbt = GBTRegressor(featuresCol="_features", labelCol="_label", predictionCol="_pred",
                            maxIter=cfg.max_iter, stepSize=cfg.step_size, maxDepth=cfg.max_depth,
                            maxBins=cfg.max_bins, minInstancesPerNode=cfg.min_instances_per_node,
@@ -145,13 +170,12 @@ def train_and_forecast(cleaned: DataFrame, cfg: ForecastConfig = V1) -> tuple[Da
         model = gbt.fit(tr_x)
         if n_vl > cfg.early_stop_min_val_rows:
             h.early_stopping = True
-            vl_x = prep(vl).select("_features", F.col(target).cast("double").alias("_label"))
-            errors = model.evaluateEachIteration(vl_x, "squared")
+            errors = model.evaluateEachIteration(rows(True), "squared")
             k = best_iteration(list(errors), cfg.patience)
             if k < model.getNumTrees:
                 model = gbt.copy().setMaxIter(k).fit(tr_x)
         h.trees = model.getNumTrees
-        scored = model.transform(prep(latest)).select(
+        scored = model.transform(assembler.transform(latest_x)).select(
             F.col("atm_id").alias("_p_atm"), postprocess_prediction(F.col("_pred"), cfg.clip_lower)
             .alias(f"predicted_dispense_{label}"))
         scored = cut_lineage(scored)

@@ -22,7 +22,7 @@ from tillcast.operators import panel  # noqa: E402
 from tillcast.operators.dataset import feature_projection  # noqa: E402
 from tillcast.operators.report import report_long  # noqa: E402
 from tillcast.plans import catalog  # noqa: E402
-from tillcast.plans.features import build_dataset, engineer_features  # noqa: E402
+from tillcast.plans.features import feature_dataset  # noqa: E402
 from tillcast.plans.forecast import train_and_forecast  # noqa: E402
 from tillcast.session import build_session  # noqa: E402
 from tillcast.sources import testviews as tv  # noqa: E402
@@ -60,7 +60,7 @@ def main() -> None:
     hol_dense.count(), hol_long.count()
 
     def features(tx, hol):
-        return build_dataset(engineer_features(tx, hol, V1), V1)
+        return feature_dataset(tx, hol, V1)
 
     queries = {
         "features_dense": lambda: _noop(feature_projection(features(dense_t, hol_dense), V1)),

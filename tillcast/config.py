@@ -79,6 +79,7 @@ class ForecastConfig:
     sheet_style: str = "date"  # "date": dd-Mon-YYYY[_Pn] (v1); "label": label[_Part_n] (v2); "plain": label (v0)
     max_rows_per_sheet: int = 1_000_000
     # scale
+    skew_guard: bool = True
     broadcast_max_rows: int = 2_000_000
     hot_key_min_rows: int = 5_000_000
     max_hot_keys: int = 1_000

@@ -50,13 +50,15 @@ def fill_non_holiday(df: DataFrame) -> DataFrame:
     return df.withColumns(fills)
 
 
-def join_holidays(tx: DataFrame, dim: DataFrame, cfg: ForecastConfig) -> DataFrame:
+def join_holidays(tx: DataFrame, dim: DataFrame, cfg: ForecastConfig, checked: bool = False) -> DataFrame:
     """J1 (date, state) or J2 (date only): left join, NULL keys match, fan-out kept.
 
     The dimension is broadcast behind a row-count check so the panel keeps its
     partitioning on atm_id and the windows after this join need no new exchange.
+    ``checked=True`` means the caller already ran ``checked_broadcast`` on ``dim``.
     """
-    dim, _ = checked_broadcast(dim, cfg.broadcast_max_rows)
+    if not checked:
+        dim, _ = checked_broadcast(dim, cfg.broadcast_max_rows)
     return fill_non_holiday(left_join_null_safe(tx, dim, list(cfg.holiday_join_keys)))
 
 
@@ -69,10 +71,16 @@ def country_calendar(calendar: DataFrame, years: tuple[int, ...]) -> DataFrame:
         F.array_join(F.array_sort(F.collect_set("holiday_name")), "; ").alias("holiday_name"))
 
 
-def join_country_calendar(tx: DataFrame, calendar: DataFrame, cfg: ForecastConfig) -> DataFrame:
-    """H6: membership flag and name lookup with default 'Regular Day'."""
-    dim = country_calendar(calendar, cfg.calendar_years).withColumn("is_holiday", F.lit(1))
-    dim, _ = checked_broadcast(dim, cfg.broadcast_max_rows)
+def calendar_dimension(calendar: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    return country_calendar(calendar, cfg.calendar_years).withColumn("is_holiday", F.lit(1))
+
+
+def join_country_calendar(tx: DataFrame, calendar: DataFrame, cfg: ForecastConfig, dim: DataFrame | None = None
+                          ) -> DataFrame:
+    """H6: membership flag and name lookup with default 'Regular Day'.
+    ``dim`` may be a prepared (already checked) ``calendar_dimension``."""
+    if dim is None:
+        dim, _ = checked_broadcast(calendar_dimension(calendar, cfg), cfg.broadcast_max_rows)
     return fill_non_holiday(left_join_null_safe(tx, dim, ["date"]))
 
 

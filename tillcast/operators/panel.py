@@ -66,11 +66,12 @@ def rolling_mean(value: str, w, size: int, min_periods: int) -> Column:
     return F.when(n >= min_periods, exact_mean(F.sum(value).over(frame), n))
 
 
-def add_row_features(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
-    """W1-W7 and P8-P11 on the joined panel (before any row is dropped)."""
-    w = entity_window(df)
-    off = flag((F.col("is_weekend") == 1) | (F.col("is_holiday") == 1))
-    df = df.withColumn("_off", off)
+def window_feature_columns(w, cfg: ForecastConfig) -> dict[str, Column]:
+    """W1, W4-W7 and the W2 block-start flag over any per-machine row order ``w``.
+
+    Needs ``_off`` (the off-day flag). Shared by the one-exchange plan and the chunked
+    plan for hot machines (``tillcast.operators.skew``).
+    """
     prev_off = F.lag("_off", 1).over(w)
     cols = {
         "is_pre_holiday": F.coalesce(F.lead("is_holiday", 1).over(w), F.lit(0)).cast("int"),
@@ -81,16 +82,37 @@ def add_row_features(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
     cols[f"dispense_roll_mean_{cfg.roll_short}"] = rolling_mean("dispense", w, cfg.roll_short, cfg.roll_short)
     cols[f"dispense_roll_mean_{cfg.roll_long}"] = rolling_mean(
         "dispense", w, cfg.roll_long, cfg.roll_long_min_periods)
-    df = df.withColumns(cols)
+    return cols
+
+
+def off_flag() -> Column:
+    return flag((F.col("is_weekend") == 1) | (F.col("is_holiday") == 1))
+
+
+def finish_blocks(df: DataFrame, blk_len: Column) -> DataFrame:
+    """W3 + P8-P11 once the block length is known."""
+    df = df.withColumn("is_long_weekend", flag((F.col("_off") == 1) & (blk_len >= 3)))
+    return df.withColumns(compound_columns())
+
+
+def add_row_features(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    """W1-W7 and P8-P11 on the joined panel (before any row is dropped)."""
+    w = entity_window(df)
+    df = df.withColumn("_off", off_flag()).withColumns(window_feature_columns(w, cfg))
     # Gaps-and-islands block id = running count of block starts.
     df = df.withColumn("_blk", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     # Block length counts dated rows of the (machine, block).
-    blk_len = F.count("date").over(Window.partitionBy(ENTITY, "_blk"))
-    df = df.withColumn("is_long_weekend", flag((F.col("_off") == 1) & (blk_len >= 3)))
-    df = df.withColumns(compound_columns())
+    df = finish_blocks(df, F.count("date").over(Window.partitionBy(ENTITY, "_blk")))
     return df.drop("_off", "_start", "_blk")
 
 
+def hot_keys(df: DataFrame, cfg: ForecastConfig) -> list:
+    """Machines with more than ``hot_key_min_rows`` rows, largest first, at most
+    ``max_hot_keys`` of them (a top-k, so the driver receives a bounded list)."""
+    counts = df.groupBy(ENTITY).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > cfg.hot_key_min_rows)
+    return [r[ENTITY] for r in counts.orderBy(F.desc("_n")).limit(cfg.max_hot_keys).collect()]
+
+
 def off_day_blocks(df: DataFrame) -> DataFrame:
     """W2/W3 exposed for inspection: off flag, block id and block length per row."""
     w = entity_window(df)

@@ -23,7 +23,7 @@ from tillcast.operators import panel
 from tillcast.operators.ordinal import with_ordinal
 from tillcast.operators.report import report_long, sheet_names
 from tillcast.plans import oracle as O
-from tillcast.plans.features import build_dataset, engineer_features, prepare_transactions
+from tillcast.plans.features import engineer_features, feature_dataset, prepare_transactions
 from tillcast.session import scratch_path
 from tillcast.sources import testviews as tv
 from tillcast.sources.readers import ingest_counts, union_parts
@@ -50,7 +50,16 @@ def _features(spark, sf, cfg: ForecastConfig = V1, tx: str = "dense") -> DataFra
 
 
 def _cleaned(spark, sf, cfg: ForecastConfig = V1, tx: str = "dense") -> DataFrame:
-    return build_dataset(_features(spark, sf, cfg, tx), cfg)
+    maker = {"dense": tv.tx_dense, "nulls": tv.tx_nulls, "inactive": tv.tx_inactive, "long": tv.tx_long}[tx]
+    t = maker(spark, sf)
+    if cfg.holiday_source == "calendar":
+        return feature_dataset(t, cfg=cfg, calendar=tv.calendar_for(t), metadata=tv.metadata(spark, sf))
+    return feature_dataset(t, tv.holidays_for(t), cfg)
+
+
+# Skew-guard settings that send every machine through the chunked plan, with chunks
+# small enough that every machine spans several of them (results must not change).
+ALL_HOT = dict(hot_key_min_rows=0, max_hot_keys=100_000, chunk_rows=16)
 
 
 ROW_ID = ["atm_id", "date", "holiday_name"]
@@ -115,7 +124,7 @@ def q_dirty_pipeline(spark, sf):
     d = tv.tx_dirty(spark, sf).drop("event_id")
     clean = prepare_transactions(d, V1)
     hols = tv.holidays_for(clean)
-    cleaned = build_dataset(engineer_features(d, hols, V1), V1)
+    cleaned = feature_dataset(d, hols, V1)
     return cleaned.select(*ROW_ID, "state", "dispense", "dispense_lag_7", "dispense_roll_mean_14", "is_long_weekend")
 
 
@@ -263,6 +272,17 @@ def q_horizon_targets(spark, sf):
     return t.select(*ROW_ID, *[tg for _, tg, _ in HORIZONS])
 
 
+def q_feature_table_hot_chunks(spark, sf):
+    """The feature table with every machine on the chunked (skew-guard) plan."""
+    cfg = V1.with_(**ALL_HOT)
+    return ds.feature_projection(_cleaned(spark, sf, cfg, "nulls"), cfg)
+
+
+def q_latest_per_atm_long_hot_chunks(spark, sf):
+    cfg = V1.with_(**ALL_HOT)
+    return panel.latest_per_atm(_cleaned(spark, sf, cfg, "long").select(*_latest_cols()))
+
+
 def q_eligible_rows(spark, sf):
     return _cleaned(spark, sf, V1, "nulls").select(*ROW_ID, "dispense_lag_7", "dispense_roll_mean_14")
 
@@ -273,11 +293,11 @@ def _latest_cols():
 
 
 def q_latest_per_atm(spark, sf):
-    return panel.latest_per_atm(_cleaned(spark, sf)).select(*_latest_cols())
+    return panel.latest_per_atm(_cleaned(spark, sf).select(*_latest_cols()))
 
 
 def q_latest_per_atm_long(spark, sf):
-    return panel.latest_per_atm(_cleaned(spark, sf, V1, "long")).select(*_latest_cols())
+    return panel.latest_per_atm(_cleaned(spark, sf, V1, "long").select(*_latest_cols()))
 
 
 # ----------------------------------------------------------------------------- D*
@@ -476,6 +496,8 @@ def _oracles() -> dict[str, str]:
             f"SELECT '{label}' AS horizon, is_val, atm_id, date, holiday_name, {t} AS target FROM split WHERE {t} IS NOT NULL"
             for label, t, _ in HORIZONS)),
         "feature_table": fq(_v1_features_proj()),
+        "feature_table_hot_chunks": fq(_v1_features_proj(), tx="tx_nulls"),
+        "latest_per_atm_long_hot_chunks": fq(LATEST_SQL, tx="tx_long"),
         "features_v0": fq(_sel(list(dict.fromkeys(["date", *V0.features, *[t for _, t, _ in HORIZONS]]))), preset="v0"),
         "features_v2": fq(_sel(list(dict.fromkeys(["date", *V2.features, *[t for _, t, _ in HORIZONS]]))), preset="v2"),
         "postprocess_predictions": fq("""SELECT atm_id, date, holiday_name, (dispense_lag_1 - dispense_lag_2) / 2 AS p_raw,

@@ -1,12 +1,18 @@
 """Feature plan: transactions (+ holidays / calendar / metadata) -> feature panel -> dataset.
 
-The whole chain is one lazy DataFrame. Planned shape on a panel of any size: the scans,
-one hash exchange on atm_id (created by the first window), broadcast holiday/metadata
-dimensions behind row-count checks, then sorts and windows inside the same partitions.
+The whole chain is one lazy DataFrame. Planned shape: the scans, one hash exchange on
+atm_id (created by the first window), broadcast holiday/metadata dimensions behind
+row-count checks, then sorts and windows inside the same partitions.
+
+Skew guard: machines with more than ``hot_key_min_rows`` rows (a bounded top-k found
+with one aggregation) take the chunked plan of ``tillcast.operators.skew`` instead,
+so no task ever holds one whole hot machine. Both branches give identical rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +21,8 @@ from tillcast.functions.calendar import calendar_columns
 from tillcast.functions.coerce import normalize_key, to_date_lenient, to_number
 from tillcast.operators import holidays as hol
 from tillcast.operators import metadata as meta
-from tillcast.operators import panel
+from tillcast.operators import panel, skew
+from tillcast.operators.joins import checked_broadcast
 from tillcast.sources.readers import TRANSACTION_COLUMNS, require_columns
 
 
@@ -35,28 +42,60 @@ def prepare_transactions(tx: DataFrame, cfg: ForecastConfig = V1, metadata: Data
     return tx.withColumns(cols)
 
 
-def engineer_features(tx: DataFrame, holidays: DataFrame | None = None, cfg: ForecastConfig = V1,
-                      calendar: DataFrame | None = None, metadata: DataFrame | None = None) -> DataFrame:
-    """Feature panel (the reference's load-and-engineer step), rows with missing
-    critical values already dropped (C8)."""
-    df = prepare_transactions(tx, cfg, metadata)
-    if cfg.drop_inactive:
-        df = panel.drop_inactive(df)
-    df = df.withColumns(calendar_columns("date"))
+def _holiday_joiner(cfg: ForecastConfig, holidays: DataFrame | None,
+                    calendar: DataFrame | None) -> Callable[[DataFrame], DataFrame]:
+    """Build (and size-check) the holiday dimension once; return the join step."""
     if cfg.holiday_source == "table":
         if holidays is None:
             raise ValueError(f"preset {cfg.name} needs the holiday_master table")
-        df = hol.join_holidays(df, hol.holiday_dimension(holidays, cfg), cfg)
-    else:
-        if calendar is None:
-            raise ValueError(f"preset {cfg.name} needs a country calendar (date, holiday_name)")
-        df = hol.join_country_calendar(df, calendar, cfg)
-    df = panel.add_row_features(df, cfg)
+        dim, _ = checked_broadcast(hol.holiday_dimension(holidays, cfg), cfg.broadcast_max_rows)
+        return lambda df: hol.join_holidays(df, dim, cfg, checked=True)
+    if calendar is None:
+        raise ValueError(f"preset {cfg.name} needs a country calendar (date, holiday_name)")
+    dim, _ = checked_broadcast(hol.calendar_dimension(calendar, cfg), cfg.broadcast_max_rows)
+    return lambda df: hol.join_country_calendar(df, calendar, cfg, dim=dim)
+
+
+def _chain(df: DataFrame, cfg: ForecastConfig, join: Callable[[DataFrame], DataFrame],
+           chunked: bool, targets: bool) -> DataFrame:
+    if cfg.drop_inactive:
+        df = skew.drop_inactive_by_aggregate(df, cfg) if chunked else panel.drop_inactive(df)
+    df = join(df.withColumns(calendar_columns("date")))
+    df = skew.chunked_row_features(df, cfg) if chunked else panel.add_row_features(df, cfg)
     if cfg.use_metadata:
         df = meta.fill_unknown(df)
-    return panel.drop_invalid_rows(df, cfg)
+    df = panel.drop_invalid_rows(df, cfg)
+    if targets:
+        df = skew.chunked_targets(df, cfg) if chunked else panel.add_targets(df, cfg)
+        df = panel.eligible_rows(df, cfg)
+    return df
+
+
+def _run(tx, holidays, cfg, calendar, metadata, targets: bool) -> DataFrame:
+    df = prepare_transactions(tx, cfg, metadata)
+    join = _holiday_joiner(cfg, holidays, calendar)
+    hot = panel.hot_keys(df, cfg) if cfg.skew_guard else []
+    if not hot:
+        return _chain(df, cfg, join, False, targets)
+    is_hot = F.col(panel.ENTITY).isin(hot)
+    cold = _chain(df.where(~is_hot | is_hot.isNull()), cfg, join, False, targets)
+    return cold.unionByName(_chain(df.where(is_hot), cfg, join, True, targets))
+
+
+def engineer_features(tx: DataFrame, holidays: DataFrame | None = None, cfg: ForecastConfig = V1,
+                      calendar: DataFrame | None = None, metadata: DataFrame | None = None) -> DataFrame:
+    """Feature panel (the reference's load-and-engineer step), rows with missing
+    critical values already dropped (C8)."""
+    return _run(tx, holidays, cfg, calendar, metadata, targets=False)
+
+
+def feature_dataset(tx: DataFrame, holidays: DataFrame | None = None, cfg: ForecastConfig = V1,
+                    calendar: DataFrame | None = None, metadata: DataFrame | None = None) -> DataFrame:
+    """Feature panel + horizon targets (W8) + eligibility (D1): the training/scoring set."""
+    return _run(tx, holidays, cfg, calendar, metadata, targets=True)
 
 
 def build_dataset(features: DataFrame, cfg: ForecastConfig = V1) -> DataFrame:
-    """W8 + D1: horizon targets on the filtered panel, then the eligibility filter."""
+    """W8 + D1 on a feature panel from ``engineer_features`` (one-exchange plan).
+    ``feature_dataset`` does both steps and keeps the skew guard through the targets."""
     return panel.eligible_rows(panel.add_targets(features, cfg), cfg)

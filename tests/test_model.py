@@ -62,3 +62,23 @@ def test_early_stopping_gate_on_mid_panel(spark):
     strict = cfg.with_(early_stop_min_val_rows=h.val_rows)
     _, run2 = train_and_forecast(cleaned, strict)
     assert not run2.horizons[0].early_stopping and run2.horizons[0].trees == 4
+
+
+def test_end_to_end_job_writes_partitioned_report(spark, tmp_path):
+    import argparse
+
+    from tillcast.plans import job
+
+    tx = tv.tx_dense(spark, SF_SMALL)
+    tx_path, hol_path, out = str(tmp_path / "tx"), str(tmp_path / "hol"), str(tmp_path / "report")
+    tx.write.parquet(tx_path)
+    tv.holidays_for(tx).write.parquet(hol_path)
+    args = argparse.Namespace(preset="v1", max_iter=3, transactions=tx_path, holidays=hol_path, calendar=None,
+                              metadata=None, input_format="parquet", out=out, format="parquet")
+    run = job.run(spark, args)
+    rep = spark.read.parquet(out)
+    n_atm = tx.select("atm_id").distinct().count()
+    assert rep.count() == 3 * n_atm
+    assert {r.horizon for r in rep.select("horizon").distinct().collect()} == {"Next_Day", "Next_3_Days", "Next_Week"}
+    assert rep.where("predicted_dispense_amount < 0").count() == 0
+    assert all(not h.skipped for h in run.horizons)

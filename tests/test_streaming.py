@@ -1,0 +1,19 @@
+"""Incremental part ingest: each part lands once, re-runs pick up only new parts."""
+
+from tillcast.streaming import ingest_parts
+
+
+def _write_part(path, rows):
+    path.write_text("atm_id,date,dispense,state\n" + "\n".join(",".join(r) for r in rows) + "\n")
+
+
+def test_ingest_parts_incremental(spark, tmp_path):
+    landing, out, ckpt = tmp_path / "landing", str(tmp_path / "table"), str(tmp_path / "ckpt")
+    landing.mkdir()
+    _write_part(landing / "sheet1.csv", [("ATM_1", "2024-01-01", "10", "S1"), ("ATM_1", "2024-01-02", "n/a", "S1")])
+    ingest_parts(spark, str(landing), out, ckpt)
+    assert spark.read.parquet(out).count() == 2
+    _write_part(landing / "sheet2.csv", [("ATM_2", "2024-01-01", "5", "S2")])
+    ingest_parts(spark, str(landing), out, ckpt)
+    t = spark.read.parquet(out)
+    assert t.count() == 3 and t.select("part").distinct().count() == 2

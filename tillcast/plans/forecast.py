@@ -109,9 +109,11 @@ def _numeric_inputs(df: DataFrame, nums: list[str]) -> DataFrame:
 
 
 def _stable(df: DataFrame) -> DataFrame:
-    """Materialise in a fixed layout: same partitions and row order on every read."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut_lineage(df.repartition(n, "atm_id").sortWithinPartitions("atm_id", *panel.panel_order(df)))
+    """Materialise once in the shared folder: every later read (fit, evaluation, refit)
+    sees the same partitions in the same row order, so tree building is repeatable.
+    No repartition: the data keeps the layout the feature plan produced (a hot machine
+    stays split over its chunks instead of becoming one straggler partition)."""
+    return cut_lineage(df)
 
 
 def train_and_forecast(cleaned: DataFrame, cfg: ForecastConfig = V1) -> tuple[DataFrame, ForecastRun]:

@@ -1,0 +1,5 @@
+"""Structured Streaming entry points (incremental ingest of transaction parts)."""
+
+from tillcast.streaming.ingest import ingest_parts
+
+__all__ = ["ingest_parts"]

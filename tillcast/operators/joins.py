@@ -6,18 +6,38 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+# Upper bound of what one broadcast may ship to every executor.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
-def checked_broadcast(dim: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Broadcast ``dim`` only when its row count is proven to be at most ``max_rows``.
+
+def estimated_row_bytes(schema: T.StructType) -> int:
+    """Conservative in-memory width of a row: fixed-width types at 8 bytes, strings
+    and nested values at a generous average, plus the row header."""
+    width = 16
+    for f in schema.fields:
+        dt = f.dataType
+        if isinstance(dt, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)):
+            width += 8
+        elif isinstance(dt, T.StringType):
+            width += 48
+        else:
+            width += 128
+    return width
+
+
+def checked_broadcast(dim: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
+    """Broadcast ``dim`` only when its counted size is proven small: at most ``max_rows``
+    rows and at most ``max_bytes`` by a conservative per-row width.
 
     The dimension is cached first so the count and the join read it once; a cached
-    block lost with an executor is recomputed from lineage. Above the cap the caller
+    block lost with an executor is recomputed from lineage. Above the caps the caller
     gets the plain DataFrame back and Spark shuffles both sides.
     """
     dim = dim.persist()
     n = dim.count()
-    if n <= max_rows:
+    if n <= max_rows and n * estimated_row_bytes(dim.schema) <= max_bytes:
         return F.broadcast(dim), True
     return dim, False
 

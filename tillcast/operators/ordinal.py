@@ -8,8 +8,8 @@ order. Each partition numbers its rows locally; a tiny table of per-(partition,
 counts gives the offset of every partition inside its group.
 
 The partition/group table has at most ``partitions + groups - 1`` rows, because a range
-boundary cuts at most one group. It is broadcast only when that bound is under the
-configured row cap; otherwise it is shuffled like any other join side.
+boundary cuts at most one group. It is broadcast only when its counted size is under the
+caps of ``checked_broadcast``; otherwise it is shuffled like any other join side.
 """
 
 from __future__ import annotations
@@ -19,15 +19,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillcast.operators.joins import checked_broadcast
 from tillcast.session import cut_lineage
 
-_LOCAL_BITS = 33  # monotonically_increasing_id: partition id in the upper bits
-
-
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
 def with_ordinal(df: DataFrame, group_cols: list[str], order: list[Column], name: str = "ordinal",
                  num_partitions: int | None = None, broadcast_max_rows: int = 2_000_000) -> DataFrame:
     """Add ``name`` = 1-based row number of each row inside its group, by ``order``.
@@ -51,8 +45,7 @@ def with_ordinal(df: DataFrame, group_cols: list[str], order: list[Column], name
     blocks = blocks.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     blocks = blocks.select(F.col("_pid").alias("_b_pid"), *[F.col(g).alias(f"_b_{g}") for g in group_cols],
                            "_first", "_offset")
-    if blocks.count() <= broadcast_max_rows:
-        blocks = F.broadcast(blocks)
+    blocks, _ = checked_broadcast(blocks, broadcast_max_rows)
     cond = ranged["_pid"] == blocks["_b_pid"]
     for g in group_cols:
         cond = cond & ranged[g].eqNullSafe(blocks[f"_b_{g}"])
@@ -66,7 +59,6 @@ def with_group_size(df: DataFrame, group_cols: list[str], name: str = "group_row
     """Add the row count of each group via a partial aggregation and a join (no window)."""
     sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias(name))
     sizes = sizes.select(*[F.col(g).alias(f"_s_{g}") for g in group_cols], name)
-    if sizes.count() <= broadcast_max_rows:
-        sizes = F.broadcast(sizes)
+    sizes, _ = checked_broadcast(sizes, broadcast_max_rows)
     cond = reduce(lambda a, b: a & b, [df[g].eqNullSafe(sizes[f"_s_{g}"]) for g in group_cols])
     return df.join(sizes, cond, "inner").drop(*[f"_s_{g}" for g in group_cols])

@@ -1,9 +1,8 @@
 """Row-based time logic per machine (W0-W9, A1, A2): the only module that builds windows.
 
 Every window is partitioned by ``atm_id`` with the same order keys, so the whole
-chain plans with a single hash exchange on ``atm_id``: Spark sorts inside the existing
-partitions for each new order, it does not shuffle again. Frames are ROWS frames: the
-reference counts rows, not calendar days.
+chain plans with a single hash exchange on ``atm_id`` and a single sort inside it.
+Frames are ROWS frames: the reference counts rows, not calendar days.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 from tillcast.config import ForecastConfig
 from tillcast.functions.calendar import compound_columns, flag
 from tillcast.functions.numeric import exact_mean
+from tillcast.operators.joins import checked_broadcast
 
 ENTITY = "atm_id"
 # Order inside a machine: date with undated rows last, then a tie-break for duplicate
@@ -41,14 +41,17 @@ def order_struct(df: DataFrame) -> Column:
     return F.struct(*parts)
 
 
-def drop_inactive(df: DataFrame) -> DataFrame:
+def drop_inactive(df: DataFrame, broadcast_max_rows: int = 2_000_000) -> DataFrame:
     """A1: keep machines whose total dispense (missing skipped) is > 0; drops NULL ids.
 
-    A partition-only window: it creates the exchange on atm_id that the later windows reuse.
+    Totals come from a partial aggregation (map-side combine, so a hot machine is no
+    problem) and the surviving ids filter the panel through a semi join, broadcast
+    behind a size check. The panel is not sorted or shuffled for this step.
     """
-    total = F.sum("dispense").over(Window.partitionBy(ENTITY))
-    return (df.where(F.col(ENTITY).isNotNull()).withColumn("_total", total)
-            .where(F.col("_total") > 0).drop("_total"))
+    active = (df.where(F.col(ENTITY).isNotNull()).groupBy(ENTITY).agg(F.sum("dispense").alias("_total"))
+              .where(F.col("_total") > 0).select(F.col(ENTITY).alias("_a_atm")))
+    active, _ = checked_broadcast(active, broadcast_max_rows)
+    return df.join(active, df[ENTITY] == active["_a_atm"], "left_semi")
 
 
 def removed_atm_count(df: DataFrame) -> DataFrame:
@@ -96,14 +99,26 @@ def finish_blocks(df: DataFrame, blk_len: Column) -> DataFrame:
 
 
 def add_row_features(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
-    """W1-W7 and P8-P11 on the joined panel (before any row is dropped)."""
+    """W1-W7 and P8-P11 on the joined panel (before any row is dropped).
+
+    Every window here uses the same partitioning and order, so the chain costs one
+    sort. W3 only needs to know whether an off-day block holds at least 3 dated rows:
+    dated rows of the block up to the current row come from running counts, and at
+    most 2 more are needed from the rows that follow (bounded leads). Undated rows
+    sort last, so no dated row of the block can hide behind them.
+    """
     w = entity_window(df)
-    df = df.withColumn("_off", off_flag()).withColumns(window_feature_columns(w, cfg))
-    # Gaps-and-islands block id = running count of block starts.
-    df = df.withColumn("_blk", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    # Block length counts dated rows of the (machine, block).
-    df = finish_blocks(df, F.count("date").over(Window.partitionBy(ENTITY, "_blk")))
-    return df.drop("_off", "_start", "_blk")
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    df = df.withColumns({"_off": off_flag(), "_dated": F.col("date").isNotNull().cast("int")})
+    df = df.withColumns({**window_feature_columns(w, cfg), "_cum": F.sum("_dated").over(run)})
+    same1 = F.coalesce(F.lead("_start", 1).over(w), F.lit(1)) == 0
+    same2 = same1 & (F.coalesce(F.lead("_start", 2).over(w), F.lit(1)) == 0)
+    ahead = (F.when(same1, F.coalesce(F.lead("_dated", 1).over(w), F.lit(0))).otherwise(0)
+             + F.when(same2, F.coalesce(F.lead("_dated", 2).over(w), F.lit(0))).otherwise(0))
+    block_start = F.max(F.when(F.col("_start") == 1, F.col("_cum") - F.col("_dated"))).over(run)
+    df = df.withColumn("_len", F.col("_cum") - block_start + ahead)
+    df = finish_blocks(df, F.col("_len"))
+    return df.drop("_off", "_dated", "_start", "_cum", "_len")
 
 
 def hot_keys(df: DataFrame, cfg: ForecastConfig) -> list:

@@ -82,11 +82,3 @@ def chunked_targets(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
     w = _chunk_window("_ord")
     d = d.withColumns({t: F.lead("dispense", k).over(w) for _, t, k in cfg.horizons}).where(F.col("_home"))
     return d.drop("_ord", "_chunk", "_home")
-
-
-def drop_inactive_by_aggregate(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
-    """A1 for hot machines: totals by a partial aggregation (a handful of rows), joined back."""
-    totals = (df.where(F.col(ENTITY).isNotNull()).groupBy(ENTITY).agg(F.sum("dispense").alias("_total"))
-              .where(F.col("_total") > 0).select(F.col(ENTITY).alias("_a_atm")))
-    totals, _ = checked_broadcast(totals, cfg.broadcast_max_rows)
-    return df.join(totals, df[ENTITY] == totals["_a_atm"], "left_semi")

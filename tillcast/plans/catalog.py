@@ -221,7 +221,7 @@ def q_atm_metadata_join(spark, sf):
 # ----------------------------------------------------------------------------- A*
 def q_active_atms(spark, sf):
     t = prepare_transactions(tv.tx_inactive(spark, sf), V1)
-    return panel.drop_inactive(t).select("atm_id", "date", "dispense")
+    return panel.drop_inactive(t, V1.broadcast_max_rows).select("atm_id", "date", "dispense")
 
 
 def q_removed_atm_count(spark, sf):

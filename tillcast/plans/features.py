@@ -59,7 +59,7 @@ def _holiday_joiner(cfg: ForecastConfig, holidays: DataFrame | None,
 def _chain(df: DataFrame, cfg: ForecastConfig, join: Callable[[DataFrame], DataFrame],
            chunked: bool, targets: bool) -> DataFrame:
     if cfg.drop_inactive:
-        df = skew.drop_inactive_by_aggregate(df, cfg) if chunked else panel.drop_inactive(df)
+        df = panel.drop_inactive(df, cfg.broadcast_max_rows)
     df = join(df.withColumns(calendar_columns("date")))
     df = skew.chunked_row_features(df, cfg) if chunked else panel.add_row_features(df, cfg)
     if cfg.use_metadata:

@@ -82,3 +82,26 @@ def test_end_to_end_job_writes_partitioned_report(spark, tmp_path):
     assert {r.horizon for r in rep.select("horizon").distinct().collect()} == {"Next_Day", "Next_3_Days", "Next_Week"}
     assert rep.where("predicted_dispense_amount < 0").count() == 0
     assert all(not h.skipped for h in run.horizons)
+
+
+def test_v2_preset_trains_on_long_panel(spark):
+    from tillcast.config import V2
+    from tillcast.plans.features import feature_dataset
+
+    tx = tv.tx_long(spark, SF_SMALL)
+    cfg = V2.with_(max_iter=3)
+    wide, run = train_and_forecast(feature_dataset(tx, tv.holidays_for(tx), cfg), cfg)
+    # v2: early stopping whenever there is any validation row; no floor at 0
+    assert all(h.early_stopping == (h.val_rows > 0) for h in run.horizons)
+    assert wide.count() == tx.select("atm_id").distinct().count()
+
+
+def test_v0_preset_without_training_rows_fails_like_the_reference(spark):
+    from tillcast.config import V0
+    from tillcast.plans.features import feature_dataset
+
+    tx = tv.tx_dense(spark, SF_SMALL)  # 30 days of data, 30-day validation window
+    cfg = V0.with_(max_iter=2, calendar_years=(2024,))
+    cleaned = feature_dataset(tx, cfg=cfg, calendar=tv.calendar_for(tx), metadata=tv.metadata(spark, SF_SMALL))
+    with pytest.raises(ValueError, match="no training rows"):
+        train_and_forecast(cleaned, cfg)

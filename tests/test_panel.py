@@ -144,3 +144,12 @@ def test_plan_single_exchange_on_atm_id(spark, tmp_path):
     assert "SortMergeJoin" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert 1 <= plan.count("Window [") <= 4  # windows of unused columns are pruned by Catalyst
+
+
+def test_empty_dataset_guard(spark):
+    from tillcast.operators.dataset import ensure_not_empty
+
+    tx = spark.createDataFrame(_series(5), TX)  # too short: nothing eligible
+    cleaned = build_dataset(engineer_features(tx, _hol(spark), V1), V1)
+    with pytest.raises(ValueError, match="No data available"):
+        ensure_not_empty(cleaned)

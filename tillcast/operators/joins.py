@@ -42,6 +42,14 @@ def checked_broadcast(dim: DataFrame, max_rows: int, max_bytes: int = BROADCAST_
     return dim, False
 
 
+def bounded_broadcast(df: DataFrame, bound_rows: int, max_rows: int,
+                      max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
+    """Broadcast on a row bound proven by construction (no counting job)."""
+    if bound_rows <= max_rows and bound_rows * estimated_row_bytes(df.schema) <= max_bytes:
+        return F.broadcast(df), True
+    return df, False
+
+
 def left_join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], prefix: str = "_r_") -> DataFrame:
     """LEFT JOIN on ``keys`` where NULL matches NULL (as the reference's frame merge does).
 

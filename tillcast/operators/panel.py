@@ -88,6 +88,14 @@ def window_feature_columns(w, cfg: ForecastConfig) -> dict[str, Column]:
     return cols
 
 
+def block_look_ahead(w) -> Column:
+    """Dated rows among the next two rows that stay in the current off/on block."""
+    same1 = F.coalesce(F.lead("_start", 1).over(w), F.lit(1)) == 0
+    same2 = same1 & (F.coalesce(F.lead("_start", 2).over(w), F.lit(1)) == 0)
+    return (F.when(same1, F.coalesce(F.lead("_dated", 1).over(w), F.lit(0))).otherwise(0)
+            + F.when(same2, F.coalesce(F.lead("_dated", 2).over(w), F.lit(0))).otherwise(0))
+
+
 def off_flag() -> Column:
     return flag((F.col("is_weekend") == 1) | (F.col("is_holiday") == 1))
 
@@ -111,21 +119,17 @@ def add_row_features(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumns({"_off": off_flag(), "_dated": F.col("date").isNotNull().cast("int")})
     df = df.withColumns({**window_feature_columns(w, cfg), "_cum": F.sum("_dated").over(run)})
-    same1 = F.coalesce(F.lead("_start", 1).over(w), F.lit(1)) == 0
-    same2 = same1 & (F.coalesce(F.lead("_start", 2).over(w), F.lit(1)) == 0)
-    ahead = (F.when(same1, F.coalesce(F.lead("_dated", 1).over(w), F.lit(0))).otherwise(0)
-             + F.when(same2, F.coalesce(F.lead("_dated", 2).over(w), F.lit(0))).otherwise(0))
     block_start = F.max(F.when(F.col("_start") == 1, F.col("_cum") - F.col("_dated"))).over(run)
-    df = df.withColumn("_len", F.col("_cum") - block_start + ahead)
+    df = df.withColumn("_len", F.col("_cum") - block_start + block_look_ahead(w))
     df = finish_blocks(df, F.col("_len"))
     return df.drop("_off", "_dated", "_start", "_cum", "_len")
 
 
-def hot_keys(df: DataFrame, cfg: ForecastConfig) -> list:
-    """Machines with more than ``hot_key_min_rows`` rows, largest first, at most
-    ``max_hot_keys`` of them (a top-k, so the driver receives a bounded list)."""
+def hot_keys(df: DataFrame, cfg: ForecastConfig) -> list[tuple[str, int]]:
+    """(machine, rows) for machines with more than ``hot_key_min_rows`` rows, largest
+    first, at most ``max_hot_keys`` of them (a top-k: the driver gets a bounded list)."""
     counts = df.groupBy(ENTITY).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > cfg.hot_key_min_rows)
-    return [r[ENTITY] for r in counts.orderBy(F.desc("_n")).limit(cfg.max_hot_keys).collect()]
+    return [(r[ENTITY], r["_n"]) for r in counts.orderBy(F.desc("_n")).limit(cfg.max_hot_keys).collect()]
 
 
 def off_day_blocks(df: DataFrame) -> DataFrame:

@@ -6,12 +6,9 @@ data. Row-based frames are bounded (14 rows back, at most 7 ahead), so a machine
 be cut into fixed-size chunks of its own row sequence, each chunk carrying copies of
 the few neighbouring rows its frames reach (a halo). Windows then partition by
 ``(atm_id, chunk)`` and give exactly the values of the unsplit window on the chunk's
-own rows. The two unbounded pieces are rebuilt without one-task groups:
-
-* block ids (running count of block starts): local running count + the sum of all
-  earlier chunks of the machine (a small per-chunk table);
-* block length: a group-by on (atm_id, block) with partial aggregation, joined back
-  (AQE's skew join splits one very long block on the large side).
+own rows. The running (unbounded) values are rebuilt without one-task groups: each
+chunk computes them locally and adds what all earlier chunks of the machine contribute,
+read from a small per-chunk table (dated rows, last block start, rows kept by C8).
 
 Row positions come from ``with_ordinal`` (range partitioning; no group in one task).
 """
@@ -23,8 +20,8 @@ from pyspark.sql import functions as F
 
 from tillcast.config import ForecastConfig
 from tillcast.operators import panel
-from tillcast.operators.joins import checked_broadcast
-from tillcast.operators.ordinal import with_ordinal
+from tillcast.operators.joins import bounded_broadcast
+from tillcast.operators.ordinal import with_ordinal, with_ordinal_and_sizes
 
 ENTITY = panel.ENTITY
 
@@ -50,34 +47,60 @@ def _chunk_window(ord_col: str):
     return Window.partitionBy(ENTITY, "_chunk").orderBy(ord_col)
 
 
-def chunked_row_features(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
-    """Same output as ``panel.add_row_features`` for the machines in ``df``."""
+def chunk_bound(sizes: dict, chunk_rows: int) -> int:
+    """Exact number of (machine, chunk) pairs from the machines' row counts."""
+    return sum(-(-n // chunk_rows) for n in sizes.values())
+
+
+def chunked_row_features(df: DataFrame, cfg: ForecastConfig, hot: list[tuple[str, int]]) -> DataFrame:
+    """Same output as ``panel.add_row_features`` for the machines in ``df`` (the ``hot``
+    list), plus ``_vord``: the row number among the rows that survive C8, used by
+    ``chunked_targets``."""
     back = max([*cfg.lags, cfg.roll_short, cfg.roll_long, 1])
-    d = with_ordinal(df, [ENTITY], panel.panel_order(df), "_ord", broadcast_max_rows=cfg.broadcast_max_rows)
-    d = with_halo(d.withColumn("_off", panel.off_flag()), "_ord", cfg.chunk_rows, back, 1)
+    d, sizes = with_ordinal_and_sizes(df, [ENTITY], panel.panel_order(df), "_ord",
+                                      broadcast_max_rows=cfg.broadcast_max_rows, sizes=True)
+    d = d.withColumns({"_off": panel.off_flag(), "_dated": F.col("date").isNotNull().cast("int")})
+    d = with_halo(d, "_ord", cfg.chunk_rows, back, 2)
     w = _chunk_window("_ord")
-    d = d.withColumns(panel.window_feature_columns(w, cfg)).where(F.col("_home"))
-    # W2 across chunks: local running count + counts of all earlier chunks.
-    d = d.withColumn("_local", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    per_chunk = d.groupBy(ENTITY, "_chunk").agg(F.sum("_start").alias("_cs"))
+    d = d.withColumns(panel.window_feature_columns(w, cfg))
+    d = d.withColumn("_ahead", panel.block_look_ahead(w)).where(F.col("_home"))
+    # Running values inside the chunk. The machine-wide values add what earlier chunks
+    # contribute, read from one small per-chunk table: dated rows (for the block length,
+    # W3), the last block start (W2) and the rows C8 keeps (row numbers for W8).
+    valid = F.lit(True)
+    for c in cfg.required_columns:
+        valid = valid & F.col(c).isNotNull()
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    start_base = F.when(F.col("_start") == 1, F.col("_lcum") - F.col("_dated"))
+    d = d.withColumns({"_valid": valid.cast("int"), "_lcum": F.sum("_dated").over(run)})
+    d = d.withColumns({"_lbase": F.max(start_base).over(run), "_vlocal": F.sum("_valid").over(run)})
+    per_chunk = d.groupBy(ENTITY, "_chunk").agg(
+        F.sum("_dated").alias("_cd"), F.max(start_base).alias("_cb"), F.sum("_valid").alias("_cv"))
     earlier = Window.partitionBy(ENTITY).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_chunk.select(F.col(ENTITY).alias("_o_atm"), F.col("_chunk").alias("_o_chunk"),
-                               F.coalesce(F.sum("_cs").over(earlier), F.lit(0)).alias("_o_off"))
-    offsets, _ = checked_broadcast(offsets, cfg.broadcast_max_rows)
+    per_chunk = per_chunk.withColumns({"_o_doff": F.coalesce(F.sum("_cd").over(earlier), F.lit(0)),
+                                       "_o_voff": F.coalesce(F.sum("_cv").over(earlier), F.lit(0))})
+    offsets = per_chunk.select(
+        F.col(ENTITY).alias("_o_atm"), F.col("_chunk").alias("_o_chunk"), "_o_doff", "_o_voff",
+        F.max(F.col("_cb") + F.col("_o_doff")).over(earlier).alias("_o_base"))
+    # proven size: one row per (machine, chunk), counted exactly by the ordinal pass
+    offsets, _ = bounded_broadcast(offsets, chunk_bound(sizes, cfg.chunk_rows), cfg.broadcast_max_rows)
     d = d.join(offsets, (d[ENTITY] == offsets["_o_atm"]) & (d["_chunk"] == offsets["_o_chunk"]), "inner")
-    d = d.withColumn("_blk", F.col("_o_off") + F.col("_local")).drop("_o_atm", "_o_chunk", "_o_off", "_local")
-    # Block length by aggregation, joined back on (machine, block).
-    lengths = d.groupBy(ENTITY, "_blk").agg(F.count("date").alias("_blen"))
-    lengths = lengths.select(F.col(ENTITY).alias("_l_atm"), F.col("_blk").alias("_l_blk"), "_blen")
-    d = d.join(lengths, (d[ENTITY] == lengths["_l_atm"]) & (d["_blk"] == lengths["_l_blk"]), "inner")
-    d = panel.finish_blocks(d, F.col("_blen"))
-    return d.drop("_off", "_start", "_blk", "_blen", "_l_atm", "_l_blk", "_ord", "_chunk", "_home")
+    base = F.coalesce(F.col("_o_doff") + F.col("_lbase"), F.col("_o_base"))
+    d = d.withColumns({"_len": F.col("_o_doff") + F.col("_lcum") - base + F.col("_ahead"),
+                       "_vord": F.col("_o_voff") + F.col("_vlocal")})
+    d = panel.finish_blocks(d, F.col("_len"))
+    return d.drop("_off", "_dated", "_start", "_ahead", "_valid", "_lcum", "_lbase", "_vlocal", "_len",
+                  "_o_atm", "_o_chunk", "_o_doff", "_o_voff", "_o_base", "_ord", "_chunk", "_home")
 
 
-def chunked_targets(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
-    """Same output as ``panel.add_targets`` (leads on the filtered panel)."""
+def chunked_targets(df: DataFrame, cfg: ForecastConfig, hot: list[tuple[str, int]]) -> DataFrame:
+    """Same output as ``panel.add_targets`` (leads on the filtered panel). Uses the
+    ``_vord`` row numbers of ``chunked_row_features`` when present."""
     fwd = max(k for _, _, k in cfg.horizons)
-    d = with_ordinal(df, [ENTITY], panel.panel_order(df), "_ord", broadcast_max_rows=cfg.broadcast_max_rows)
+    if "_vord" in df.columns:
+        d = df.withColumnRenamed("_vord", "_ord")
+    else:
+        d = with_ordinal(df, [ENTITY], panel.panel_order(df), "_ord", broadcast_max_rows=cfg.broadcast_max_rows)
     d = with_halo(d, "_ord", cfg.chunk_rows, 0, fwd)
     w = _chunk_window("_ord")
     d = d.withColumns({t: F.lead("dispense", k).over(w) for _, t, k in cfg.horizons}).where(F.col("_home"))

@@ -50,7 +50,8 @@ def _features(spark, sf, cfg: ForecastConfig = V1, tx: str = "dense") -> DataFra
 
 
 def _cleaned(spark, sf, cfg: ForecastConfig = V1, tx: str = "dense") -> DataFrame:
-    maker = {"dense": tv.tx_dense, "nulls": tv.tx_nulls, "inactive": tv.tx_inactive, "long": tv.tx_long}[tx]
+    maker = {"dense": tv.tx_dense, "nulls": tv.tx_nulls, "inactive": tv.tx_inactive, "long": tv.tx_long,
+             "skewed": tv.tx_skewed}[tx]
     t = maker(spark, sf)
     if cfg.holiday_source == "calendar":
         return feature_dataset(t, cfg=cfg, calendar=tv.calendar_for(t), metadata=tv.metadata(spark, sf))
@@ -60,6 +61,9 @@ def _cleaned(spark, sf, cfg: ForecastConfig = V1, tx: str = "dense") -> DataFram
 # Skew-guard settings that send every machine through the chunked plan, with chunks
 # small enough that every machine spans several of them (results must not change).
 ALL_HOT = dict(hot_key_min_rows=0, max_hot_keys=100_000, chunk_rows=16)
+# Skew-guard settings for the skewed panel: only the machine holding a third of the rows
+# is above the threshold (from sf0.01 on); it is cut into chunks of 4096 rows.
+SKEW_GUARD = dict(hot_key_min_rows=5_000, chunk_rows=4_096)
 
 
 ROW_ID = ["atm_id", "date", "holiday_name"]
@@ -278,6 +282,16 @@ def q_feature_table_hot_chunks(spark, sf):
     return ds.feature_projection(_cleaned(spark, sf, cfg, "nulls"), cfg)
 
 
+def q_feature_table_skewed(spark, sf):
+    cfg = V1.with_(**SKEW_GUARD)
+    return ds.feature_projection(_cleaned(spark, sf, cfg, "skewed"), cfg)
+
+
+def q_latest_per_atm_skewed(spark, sf):
+    cfg = V1.with_(**SKEW_GUARD)
+    return panel.latest_per_atm(_cleaned(spark, sf, cfg, "skewed").select(*_latest_cols()))
+
+
 def q_latest_per_atm_long_hot_chunks(spark, sf):
     cfg = V1.with_(**ALL_HOT)
     return panel.latest_per_atm(_cleaned(spark, sf, cfg, "long").select(*_latest_cols()))
@@ -498,6 +512,8 @@ def _oracles() -> dict[str, str]:
         "feature_table": fq(_v1_features_proj()),
         "feature_table_hot_chunks": fq(_v1_features_proj(), tx="tx_nulls"),
         "latest_per_atm_long_hot_chunks": fq(LATEST_SQL, tx="tx_long"),
+        "feature_table_skewed": fq(_v1_features_proj(), tx="tx_skewed"),
+        "latest_per_atm_skewed": fq(LATEST_SQL, tx="tx_skewed"),
         "features_v0": fq(_sel(list(dict.fromkeys(["date", *V0.features, *[t for _, t, _ in HORIZONS]]))), preset="v0"),
         "features_v2": fq(_sel(list(dict.fromkeys(["date", *V2.features, *[t for _, t, _ in HORIZONS]]))), preset="v2"),
         "postprocess_predictions": fq("""SELECT atm_id, date, holiday_name, (dispense_lag_1 - dispense_lag_2) / 2 AS p_raw,

@@ -57,18 +57,19 @@ def _holiday_joiner(cfg: ForecastConfig, holidays: DataFrame | None,
 
 
 def _chain(df: DataFrame, cfg: ForecastConfig, join: Callable[[DataFrame], DataFrame],
-           chunked: bool, targets: bool) -> DataFrame:
+           hot: list[tuple[str, int]] | None, targets: bool) -> DataFrame:
+    chunked = hot is not None
     if cfg.drop_inactive:
         df = panel.drop_inactive(df, cfg.broadcast_max_rows)
     df = join(df.withColumns(calendar_columns("date")))
-    df = skew.chunked_row_features(df, cfg) if chunked else panel.add_row_features(df, cfg)
+    df = skew.chunked_row_features(df, cfg, hot) if chunked else panel.add_row_features(df, cfg)
     if cfg.use_metadata:
         df = meta.fill_unknown(df)
     df = panel.drop_invalid_rows(df, cfg)
     if targets:
-        df = skew.chunked_targets(df, cfg) if chunked else panel.add_targets(df, cfg)
+        df = skew.chunked_targets(df, cfg, hot) if chunked else panel.add_targets(df, cfg)
         df = panel.eligible_rows(df, cfg)
-    return df
+    return df.drop("_vord")
 
 
 def _run(tx, holidays, cfg, calendar, metadata, targets: bool) -> DataFrame:
@@ -76,10 +77,10 @@ def _run(tx, holidays, cfg, calendar, metadata, targets: bool) -> DataFrame:
     join = _holiday_joiner(cfg, holidays, calendar)
     hot = panel.hot_keys(df, cfg) if cfg.skew_guard else []
     if not hot:
-        return _chain(df, cfg, join, False, targets)
-    is_hot = F.col(panel.ENTITY).isin(hot)
-    cold = _chain(df.where(~is_hot | is_hot.isNull()), cfg, join, False, targets)
-    return cold.unionByName(_chain(df.where(is_hot), cfg, join, True, targets))
+        return _chain(df, cfg, join, None, targets)
+    is_hot = F.col(panel.ENTITY).isin([k for k, _ in hot])
+    cold = _chain(df.where(~is_hot | is_hot.isNull()), cfg, join, None, targets)
+    return cold.unionByName(_chain(df.where(is_hot), cfg, join, hot, targets))
 
 
 def engineer_features(tx: DataFrame, holidays: DataFrame | None = None, cfg: ForecastConfig = V1,

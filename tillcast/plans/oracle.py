@@ -36,6 +36,9 @@ TX_LONG = """SELECT concat('ATM_', l_suppkey) AS atm_id, CAST(l_shipdate AS DATE
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
   GROUP BY 1, 2, 3"""
 
+TX_SKEWED = """SELECT CASE WHEN state IN ('NATION_0', 'NATION_1', 'NATION_2', 'NATION_3', 'NATION_4', 'NATION_5',
+    'NATION_6', 'NATION_7') THEN 'ATM_HOT' ELSE atm_id END AS atm_id, date, state, dispense FROM tx_long"""
+
 TX_DIRTY = """SELECT event_id, concat('ATM_', user_id) AS atm_id,
     CASE event_id % 50 WHEN 5 THEN 'bad' WHEN 6 THEN '15/01/2024' ELSE strftime(ts, '%Y-%m-%d') END AS date,
     CASE event_id % 50 WHEN 0 THEN 'n/a' WHEN 1 THEN '' WHEN 2 THEN '1,000' WHEN 3 THEN ' 12 '
@@ -210,6 +213,8 @@ def dense(preset: str = "v1", tx: str = "tx_dense", **kw) -> tuple[dict[str, str
         base["tx_inactive"] = TX_INACTIVE
     elif tx == "tx_long":
         base = {"tx_long": TX_LONG}
+    elif tx == "tx_skewed":
+        base = {"tx_long": TX_LONG, "tx_skewed": TX_SKEWED}
     if preset == "v0":
         base["calendar"] = calendar_sql(tx)
         base["metadata"] = METADATA

@@ -3,6 +3,7 @@
 Each view is derived by Spark from the given tables, so its work grows with them:
   tx_dense   machine-day panel from ``events`` (near-daily, January 2024)
   tx_long    machine-day panel from ``lineitem`` x ``supplier`` x ``nation`` (1995-2001)
+  tx_skewed  tx_long with one machine holding about a third of all rows
   tx_dirty   raw text amounts/dates/states from ``events`` (cleaning cases)
   tx_inactive / tx_nulls   tx_dense with zero, missing, negative or scattered NULL amounts
   holidays   holiday master: fixed (month, day, state, name) entries placed on the
@@ -80,6 +81,18 @@ def tx_long(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.sum(_cents(F.col("l_extendedprice"))).cast("bigint").alias("dispense")))
 
 
+# Nations whose suppliers are merged into one machine in the skewed panel (8 of 25).
+HOT_NATIONS = tuple(f"NATION_{i}" for i in range(8))
+
+
+def tx_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B2 with every row of the suppliers of 8 nations relabelled to one machine
+    ``ATM_HOT``: one key holding about a third of all rows, many rows per day."""
+    t = tx_long(spark, sf_dir)
+    return t.withColumn("atm_id", F.when(F.col("state").isin(*HOT_NATIONS), F.lit("ATM_HOT"))
+                        .otherwise(F.col("atm_id")))
+
+
 def tx_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw event rows with text amounts, text dates and untidy states."""
     ev = table(spark, sf_dir, "events")

@@ -72,6 +72,7 @@ class ForecastConfig:
     clip_lower: bool = True
     encoding_smoothing: float = 20.0
     train_rows_per_partition: int = 1_000_000
+    parallel_horizons: int = 3  # horizons fitted concurrently (1 = one after another)
     # report
     report_date_column: str = "reference_date"
     report_extra_columns: tuple[str, ...] = ()

@@ -16,6 +16,7 @@ missing-value handling is re-expressed as:
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
@@ -27,7 +28,7 @@ from tillcast.config import CATEGORICAL, ForecastConfig, V1
 from tillcast.functions.numeric import postprocess_prediction
 from tillcast.operators import panel
 from tillcast.operators.dataset import ensure_not_empty
-from tillcast.operators.joins import checked_broadcast
+from tillcast.operators.joins import bounded_broadcast
 from tillcast.session import cut_lineage
 
 MISSING = -1.0
@@ -63,12 +64,14 @@ def best_iteration(errors: list[float], patience: int) -> int:
     return best_i + 1
 
 
-def fit_target_encodings(train: DataFrame, cols: list[str], targets: list[str], smoothing: float):
+def fit_target_encodings(train: DataFrame, cols: list[str], targets: list[str], smoothing: float,
+                         broadcast_max_rows: int):
     """Smoothed target means of every categorical column for every horizon, in ONE
     aggregation (GROUPING SETS, one shuffle, partial aggregation before it).
 
-    Returns ``{column: DataFrame(_k_<column>, _enc_<column>_<target>...)}`` and the
-    global mean of every target (the value for unseen or missing categories).
+    Returns ``{column: DataFrame(_k_<column>, _enc_<column>_<target>...)}`` (each table
+    already wrapped for broadcast when its counted size allows) and the global mean of
+    every target (the value for unseen or missing categories).
     """
     n = len(cols)
     aggs = []
@@ -76,6 +79,8 @@ def fit_target_encodings(train: DataFrame, cols: list[str], targets: list[str],
         aggs += [F.sum(t).alias(f"_s_{t}"), F.count(t).alias(f"_n_{t}")]
     stats = train.groupingSets([[c] for c in cols] + [[]], *cols).agg(*aggs, F.grouping_id().alias("_gid"))
     stats = stats.persist()
+    # one small job: the grand total and the size of every column's table
+    sizes = {r["_gid"]: r["_rows"] for r in stats.groupBy("_gid").agg(F.count(F.lit(1)).alias("_rows")).collect()}
     total = stats.where(F.col("_gid") == (1 << n) - 1).first()
     mu = {t: (total[f"_s_{t}"] / total[f"_n_{t}"]) if total and total[f"_n_{t}"] else 0.0 for t in targets}
     tables = {}
@@ -83,15 +88,14 @@ def fit_target_encodings(train: DataFrame, cols: list[str], targets: list[str],
         gid = (1 << n) - 1 - (1 << (n - 1 - i))
         enc = [((F.col(f"_s_{t}") + F.lit(smoothing * mu[t])) / (F.col(f"_n_{t}") + F.lit(smoothing)))
                .alias(f"_enc_{c}_{t}") for t in targets]
-        tables[c] = stats.where(F.col("_gid") == gid).select(F.col(c).alias(f"_k_{c}"), *enc)
+        table = stats.where(F.col("_gid") == gid).select(F.col(c).alias(f"_k_{c}"), *enc)
+        tables[c], _ = bounded_broadcast(table, sizes.get(gid, 0), broadcast_max_rows)
     return tables, mu
 
 
-def apply_target_encodings(df: DataFrame, tables: dict[str, DataFrame], mu: dict[str, float],
-                           max_rows: int) -> DataFrame:
-    """LEFT JOIN each encoding table (broadcast behind a row-count check), NULL-safe."""
+def apply_target_encodings(df: DataFrame, tables: dict[str, DataFrame], mu: dict[str, float]) -> DataFrame:
+    """LEFT JOIN each encoding table, NULL-safe; unseen categories get the global mean."""
     for c, t in tables.items():
-        t, _ = checked_broadcast(t, max_rows)
         df = df.join(t, df[c].eqNullSafe(t[f"_k_{c}"]), "left").drop(f"_k_{c}")
         df = df.withColumns({f"_enc_{c}_{tg}": F.coalesce(F.col(f"_enc_{c}_{tg}"), F.lit(m))
                              for tg, m in mu.items()})
@@ -141,22 +145,14 @@ def train_and_forecast(cleaned: DataFrame, cfg: ForecastConfig = V1) -> tuple[Da
     trained = [t for _, t, _ in cfg.horizons if by_side.get(False) is not None and by_side[False][t]]
     latest = cut_lineage(panel.latest_per_atm(data.drop("is_val")))
     if trained:
-        tables, mu = fit_target_encodings(data.where(~F.col("is_val")), cats, trained, cfg.encoding_smoothing)
-        data_x = _numeric_inputs(apply_target_encodings(data, tables, mu, cfg.broadcast_max_rows), nums)
-        data_x = cut_lineage(data_x)
-        latest_x = cut_lineage(_numeric_inputs(apply_target_encodings(latest, tables, mu, cfg.broadcast_max_rows),
-                                               nums))
-    wide = latest
-    for label, target, _ in cfg.horizons:
-        n_tr = by_side[False][target] if False in by_side else 0
-        n_vl = by_side[True][target] if True in by_side else 0
-        h = HorizonRun(label, target, n_tr, n_vl)
-        run.horizons.append(h)
-        if n_tr == 0:
-            if cfg.skip_empty_horizon:
-                h.skipped = True
-                continue
-            raise ValueError(f"no training rows for {target}")
+        tables, mu = fit_target_encodings(data.where(~F.col("is_val")), cats, trained, cfg.encoding_smoothing,
+                                          cfg.broadcast_max_rows)
+        # joins against small tables over checkpointed inputs: cheap to repeat, deterministic
+        data_x = _numeric_inputs(apply_target_encodings(data, tables, mu), nums)
+        latest_x = _numeric_inputs(apply_target_encodings(latest, tables, mu), nums)
+    def fit_and_score(h: HorizonRun) -> DataFrame:
+        """M1, M3, M4, M6-M8 for one horizon; returns (atm_id, prediction)."""
+        target = h.target
         assembler = _assembler(cfg, cats, target)
 
         def rows(is_val: bool) -> DataFrame:
@@ -170,7 +166,7 @@ def train_and_forecast(cleaned: DataFrame, cfg: ForecastConfig = V1) -> tuple[Da
                            maxBins=cfg.max_bins, minInstancesPerNode=cfg.min_instances_per_node,
                            seed=cfg.seed, checkpointInterval=10)
         model = gbt.fit(tr_x)
-        if n_vl > cfg.early_stop_min_val_rows:
+        if h.val_rows > cfg.early_stop_min_val_rows:
             h.early_stopping = True
             errors = model.evaluateEachIteration(rows(True), "squared")
             k = best_iteration(list(errors), cfg.patience)
@@ -179,8 +175,28 @@ def train_and_forecast(cleaned: DataFrame, cfg: ForecastConfig = V1) -> tuple[Da
         h.trees = model.getNumTrees
         scored = model.transform(assembler.transform(latest_x)).select(
             F.col("atm_id").alias("_p_atm"), postprocess_prediction(F.col("_pred"), cfg.clip_lower)
-            .alias(f"predicted_dispense_{label}"))
+            .alias(f"predicted_dispense_{h.label}"))
         scored = cut_lineage(scored)
         tr_x.unpersist()
+        return scored
+
+    todo = []
+    for label, target, _ in cfg.horizons:
+        h = HorizonRun(label, target, by_side[False][target] if False in by_side else 0,
+                       by_side[True][target] if True in by_side else 0)
+        run.horizons.append(h)
+        if h.train_rows == 0:
+            if not cfg.skip_empty_horizon:
+                raise ValueError(f"no training rows for {target}")
+            h.skipped = True  # M5: the horizon disappears from the output
+        else:
+            todo.append(h)
+    # The horizons are independent fits on the same materialised data: submit them from
+    # driver threads so their (small, many) jobs share the cluster instead of queueing.
+    workers = max(1, min(len(todo), cfg.parallel_horizons))
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        scored_all = list(pool.map(fit_and_score, todo))
+    wide = latest
+    for scored in scored_all:
         wide = wide.join(scored, wide["atm_id"].eqNullSafe(scored["_p_atm"]), "left").drop("_p_atm")
     return wide, run

@@ -20,7 +20,7 @@ def horizon_days(cfg: ForecastConfig) -> Column:
     return F.create_map(*pairs)
 
 
-def report_long(wide: DataFrame, cfg: ForecastConfig) -> DataFrame:
+def report_long(wide: DataFrame, cfg: ForecastConfig, reference_max=None) -> DataFrame:
     """R1 + R2: one row per machine and horizon that has a prediction column.
 
     R3: the forecast date is the global max reference date + k days for every row,
@@ -30,7 +30,8 @@ def report_long(wide: DataFrame, cfg: ForecastConfig) -> DataFrame:
     ids = ["atm_id", *cfg.report_extra_columns, "date", "is_salary_period", "is_long_weekend", "holiday_name"]
     long = wide.unpivot(ids, pred_cols, "horizon", "predicted_dispense_amount")
     long = long.withColumn("horizon", F.regexp_replace("horizon", f"^{PRED_PREFIX}", ""))
-    ref_max = wide.select(F.max("date")).scalar()
+    # a known value (the forecast run computed it for the split) avoids a subquery
+    ref_max = F.lit(reference_max) if reference_max is not None else wide.select(F.max("date")).scalar()
     long = long.withColumn("forecast_date", F.date_add(ref_max, F.element_at(horizon_days(cfg), F.col("horizon"))))
     long = long.withColumnRenamed("date", cfg.report_date_column)
     if cfg.forecast_date_label:

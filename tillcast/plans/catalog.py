@@ -398,8 +398,8 @@ def q_forecast_gbt(spark, sf):
 
 def q_forecast_report(spark, sf):
     from tillcast.plans.forecast import train_and_forecast
-    wide, _ = train_and_forecast(_cleaned(spark, sf), MODEL_CFG)
-    return sheet_names(report_long(wide, MODEL_CFG), MODEL_CFG).select(*REPORT_COLS, "sheet")
+    wide, run = train_and_forecast(_cleaned(spark, sf), MODEL_CFG)
+    return sheet_names(report_long(wide, MODEL_CFG, run.max_date), MODEL_CFG).select(*REPORT_COLS, "sheet")
 
 
 # ============================================================================ registry

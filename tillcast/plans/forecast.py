@@ -15,6 +15,7 @@ missing-value handling is re-expressed as:
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -47,6 +48,7 @@ class HorizonRun:
 
 @dataclass
 class ForecastRun:
+    max_date: object = None
     split_date: object = None
     cleaned_rows: int = 0
     horizons: list[HorizonRun] = field(default_factory=list)
@@ -129,7 +131,8 @@ def train_and_forecast(cleaned: DataFrame, cfg: ForecastConfig = V1) -> tuple[Da
     run = ForecastRun()
     data = _stable(ensure_not_empty(cleaned))
     max_date = data.agg(F.max("date")).first()[0]
-    run.split_date = F.date_sub(F.lit(max_date), cfg.val_days)
+    run.max_date = max_date
+    run.split_date = max_date - dt.timedelta(days=cfg.val_days) if max_date else None
     data = data.withColumn("is_val", F.col("date") > F.date_sub(F.lit(max_date), cfg.val_days))
     targets = [t for _, t, _ in cfg.horizons]
     counts = data.groupBy("is_val").agg(F.count(F.lit(1)).alias("n"), *[F.count(t).alias(t) for t in targets])

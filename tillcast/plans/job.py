@@ -25,7 +25,8 @@ def forecast_report(tx: DataFrame, cfg: ForecastConfig, holidays: DataFrame | No
     """Features -> models -> long report with sheet names (not yet written)."""
     cleaned = feature_dataset(tx, holidays, cfg, calendar=calendar, metadata=metadata)
     wide, run = train_and_forecast(cleaned, cfg)
-    return sheet_names(report_long(wide, cfg), cfg), run
+    # the latest rows hold the global max date of the cleaned set: reuse the known value
+    return sheet_names(report_long(wide, cfg, run.max_date), cfg), run
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> ForecastRun:

@@ -17,3 +17,15 @@ def test_ingest_parts_incremental(spark, tmp_path):
     ingest_parts(spark, str(landing), out, ckpt)
     t = spark.read.parquet(out)
     assert t.count() == 3 and t.select("part").distinct().count() == 2
+
+
+def test_replayed_batch_does_not_duplicate(spark, tmp_path):
+    from tillcast.streaming.ingest import _append_batch
+
+    out = str(tmp_path / "table")
+    batch = spark.createDataFrame([("ATM_1", "2024-01-01", "1", "S")], "atm_id string, date string, dispense string, state string")
+    write = _append_batch(out)
+    write(batch, 0)
+    write(batch, 0)  # the same batch again, as after a failed commit
+    write(batch, 1)
+    assert spark.read.parquet(out).count() == 2

@@ -2,9 +2,7 @@
 
 import datetime as dt
 
-import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from tillcast.config import V1, V2
 from tillcast.operators import panel

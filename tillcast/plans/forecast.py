@@ -4,9 +4,11 @@ One global regressor per horizon (not per machine), trained with Spark ML on the
 whole training set. The reference's leaf-wise booster with native categorical and
 missing-value handling is re-expressed as:
 
-* categorical inputs -> smoothed target means computed on the training rows with a
-  group-by and joined back (scales with the number of machines; no label array on
-  the driver as a string indexer would need);
+* categorical inputs -> categorical tree splits for columns whose cardinality (read from
+  the same aggregation) fits ``max_bins`` (state, holiday name/type, metadata tiers), via a
+  string indexer with a bounded label list; the machine id and any wider column ->
+  smoothed target means computed on the training rows with a group-by and joined back
+  (scales with the number of machines; no label array on the driver);
 * missing numeric inputs -> a -1 sentinel (amounts are never negative once active);
 * early stopping with patience -> ``evaluateEachIteration`` on the validation rows,
   best iteration by the patience rule, refit with that many trees on the same
@@ -20,7 +22,7 @@ import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -92,7 +94,8 @@ def fit_target_encodings(train: DataFrame, cols: list[str], targets: list[str],
                .alias(f"_enc_{c}_{t}") for t in targets]
         table = stats.where(F.col("_gid") == gid).select(F.col(c).alias(f"_k_{c}"), *enc)
         tables[c], _ = bounded_broadcast(table, sizes.get(gid, 0), broadcast_max_rows)
-    return tables, mu
+    cardinality = {c: sizes.get((1 << n) - 1 - (1 << (n - 1 - i)), 0) for i, c in enumerate(cols)}
+    return tables, mu, cardinality
 
 
 def apply_target_encodings(df: DataFrame, tables: dict[str, DataFrame], mu: dict[str, float]) -> DataFrame:
@@ -104,12 +107,22 @@ def apply_target_encodings(df: DataFrame, tables: dict[str, DataFrame], mu: dict
     return df
 
 
-def _assembler(cfg: ForecastConfig, cats: list[str], target: str) -> VectorAssembler:
-    nums = [f for f in cfg.features if f not in cats]
-    inputs = [f"_x_{f}" for f in nums] + [f"_enc_{c}_{target}" for c in cats]
+def _assembler(cfg: ForecastConfig, nominal: list[str], encoded: list[str], target: str) -> VectorAssembler:
+    """Numeric inputs, indexed low-cardinality categories (their nominal metadata makes
+    the trees split them as categories) and target-encoded wide categories."""
+    nums = [f for f in cfg.features if f not in CATEGORICAL]
+    inputs = ([f"_x_{f}" for f in nums] + [f"_idx_{c}" for c in nominal]
+              + [f"_enc_{c}_{target}" for c in encoded])
     return VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="keep")
 
 
+def split_categoricals(cats: list[str], cardinality: dict[str, int], max_bins: int) -> tuple[list[str], list[str]]:
+    """Categories that fit the tree's bins (plus one slot for unseen values) are used as
+    categorical features; the machine id and any wider column are target-encoded."""
+    nominal = [c for c in cats if c != "atm_id" and 0 < cardinality.get(c, 0) + 1 <= max_bins]
+    return nominal, [c for c in cats if c not in nominal]
+
+
 def _numeric_inputs(df: DataFrame, nums: list[str]) -> DataFrame:
     return df.withColumns({f"_x_{f}": F.coalesce(F.col(f).cast("double"), F.lit(MISSING)) for f in nums})
 
@@ -148,15 +161,26 @@ def train_and_forecast(cleaned: DataFrame, cfg: ForecastConfig = V1) -> tuple[Da
     trained = [t for _, t, _ in cfg.horizons if by_side.get(False) is not None and by_side[False][t]]
     latest = cut_lineage(panel.latest_per_atm(data.drop("is_val")))
     if trained:
-        tables, mu = fit_target_encodings(data.where(~F.col("is_val")), cats, trained, cfg.encoding_smoothing,
-                                          cfg.broadcast_max_rows)
-        # joins against small tables over checkpointed inputs: cheap to repeat, deterministic
-        data_x = _numeric_inputs(apply_target_encodings(data, tables, mu), nums)
-        latest_x = _numeric_inputs(apply_target_encodings(latest, tables, mu), nums)
+        train_side = data.where(~F.col("is_val"))
+        tables, mu, cardinality = fit_target_encodings(train_side, cats, trained, cfg.encoding_smoothing,
+                                                       cfg.broadcast_max_rows)
+        nominal, encoded = split_categoricals(cats, cardinality, cfg.max_bins)
+        tables = {c: t for c, t in tables.items() if c in encoded}
+
+        def encode(df: DataFrame) -> DataFrame:
+            # joins against small tables over checkpointed inputs: cheap to repeat, deterministic
+            return _numeric_inputs(apply_target_encodings(df, tables, mu), nums)
+
+        data_x, latest_x = encode(data), encode(latest)
+        if nominal:
+            # the label lists are bounded by max_bins (checked above)
+            indexer = StringIndexer(inputCols=nominal, outputCols=[f"_idx_{c}" for c in nominal],
+                                    handleInvalid="keep", stringOrderType="alphabetAsc").fit(train_side)
+            data_x, latest_x = indexer.transform(data_x), indexer.transform(latest_x)
     def fit_and_score(h: HorizonRun) -> DataFrame:
         """M1, M3, M4, M6-M8 for one horizon; returns (atm_id, prediction)."""
         target = h.target
-        assembler = _assembler(cfg, cats, target)
+        assembler = _assembler(cfg, nominal, encoded, target)
 
         def rows(is_val: bool) -> DataFrame:
             side = F.col("is_val") if is_val else ~F.col("is_val")

@@ -105,3 +105,21 @@ def test_v0_preset_without_training_rows_fails_like_the_reference(spark):
     cleaned = feature_dataset(tx, cfg=cfg, calendar=tv.calendar_for(tx), metadata=tv.metadata(spark, SF_SMALL))
     with pytest.raises(ValueError, match="no training rows"):
         train_and_forecast(cleaned, cfg)
+
+
+def test_first_k_trees_equal_a_k_tree_fit(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+
+    from tillcast.plans.forecast import score_first_trees
+
+    df = spark.range(0, 800).select((F.rand(1) * 10).alias("a"), (F.rand(2) * 5).alias("b"))
+    df = df.withColumn("y", F.col("a") * 2 + F.sin("b"))
+    x = VectorAssembler(inputCols=["a", "b"], outputCol="_features").transform(df).select("_features", "y").persist()
+    params = dict(featuresCol="_features", labelCol="y", maxDepth=3, seed=42)
+    full = GBTRegressor(maxIter=12, predictionCol="_pred", **params).fit(x)
+    for k in (1, 5):
+        ref = GBTRegressor(maxIter=k, predictionCol="_ref", **params).fit(x)
+        got = [r._pred for r in score_first_trees(full, x, k).collect()]
+        want = [r._ref for r in ref.transform(x).collect()]
+        assert max(abs(a - b) for a, b in zip(got, want)) < 1e-9

@@ -11,8 +11,8 @@ missing-value handling is re-expressed as:
   (scales with the number of machines; no label array on the driver);
 * missing numeric inputs -> a -1 sentinel (amounts are never negative once active);
 * early stopping with patience -> ``evaluateEachIteration`` on the validation rows,
-  best iteration by the patience rule, refit with that many trees on the same
-  materialised, ordered input (tree building is deterministic for a fixed seed).
+  best iteration by the patience rule, then the latest rows are scored with the first
+  ``k`` trees of the fitted ensemble (sum of weighted tree outputs): no refit.
 """
 
 from __future__ import annotations
@@ -107,6 +107,31 @@ def apply_target_encodings(df: DataFrame, tables: dict[str, DataFrame], mu: dict
     return df
 
 
+TREE_BATCH = 50  # trees summed per step before the partial sum is materialised
+
+
+def score_first_trees(model, df: DataFrame, k: int) -> DataFrame:
+    """Prediction of the ensemble cut after its first ``k`` trees (the early-stopping
+    choice), without refitting: a boosted regression predicts sum(weight_i * tree_i(x)).
+    Each tree scores the rows with its own model; every ``TREE_BATCH`` trees the partial
+    sum is checkpointed so the plan stays shallow. Only the rows to score pass here."""
+    trees, weights = model.trees[:k], model.treeWeights[:k]
+    out = df.withColumn("_pred", F.lit(0.0))
+    for start in range(0, k, TREE_BATCH):
+        cols = []
+        for i in range(start, min(k, start + TREE_BATCH)):
+            tree = trees[i].copy().setFeaturesCol("_features").setPredictionCol(f"_t{i}")
+            out = tree.transform(out)
+            cols.append(F.lit(float(weights[i])) * F.col(f"_t{i}"))
+        total = cols[0]
+        for c in cols[1:]:
+            total = total + c
+        out = out.withColumn("_pred", F.col("_pred") + total).drop(*[f"_t{i}" for i in range(start, start + len(cols))])
+        if start + TREE_BATCH < k:
+            out = cut_lineage(out)
+    return out
+
+
 def _assembler(cfg: ForecastConfig, nominal: list[str], encoded: list[str], target: str) -> VectorAssembler:
     """Numeric inputs, indexed low-cardinality categories (their nominal metadata makes
     the trees split them as categories) and target-encoded wide categories."""
@@ -193,19 +218,22 @@ def train_and_forecast(cleaned: DataFrame, cfg: ForecastConfig = V1) -> tuple[Da
                            maxBins=cfg.max_bins, minInstancesPerNode=cfg.min_instances_per_node,
                            seed=cfg.seed, checkpointInterval=10)
         model = gbt.fit(tr_x)
+        k = model.getNumTrees
         if h.val_rows > cfg.early_stop_min_val_rows:
             h.early_stopping = True
             errors = model.evaluateEachIteration(rows(True), "squared")
             k = best_iteration(list(errors), cfg.patience)
-            if k < model.getNumTrees:
-                model = gbt.copy().setMaxIter(k).fit(tr_x)
-        h.trees = model.getNumTrees
-        scored = model.transform(assembler.transform(latest_x)).select(
-            F.col("atm_id").alias("_p_atm"), postprocess_prediction(F.col("_pred"), cfg.clip_lower)
-            .alias(f"predicted_dispense_{h.label}"))
-        scored = cut_lineage(scored)
+        h.trees = k
         tr_x.unpersist()
-        return scored
+        latest_v = assembler.transform(latest_x)
+        if k < model.getNumTrees:
+            pred = score_first_trees(model, latest_v, k)
+        else:
+            pred = model.transform(latest_v)
+        scored = pred.select(F.col("atm_id").alias("_p_atm"),
+                             postprocess_prediction(F.col("_pred"), cfg.clip_lower)
+                             .alias(f"predicted_dispense_{h.label}"))
+        return cut_lineage(scored)
 
     todo = []
     for label, target, _ in cfg.horizons:

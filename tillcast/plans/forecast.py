@@ -153,8 +153,9 @@ def _numeric_inputs(df: DataFrame, nums: list[str]) -> DataFrame:
 
 
 def _stable(df: DataFrame) -> DataFrame:
-    """Materialise once in the shared folder: every later read (fit, evaluation, refit)
-    sees the same partitions in the same row order, so tree building is repeatable.
+    """Materialise once in the shared folder: every later read (three fits, evaluation,
+    scoring) sees the same partitions in the same row order, so tree building is
+    repeatable, and a lost executor re-reads the checkpoint instead of the feature plan.
     No repartition: the data keeps the layout the feature plan produced (a hot machine
     stays split over its chunks instead of becoming one straggler partition)."""
     return cut_lineage(df)

@@ -179,8 +179,11 @@ def train_and_forecast(cleaned: DataFrame, cfg: ForecastConfig = V1) -> tuple[Da
     run.cleaned_rows = sum(r["n"] for r in by_side.values())
     # Tree growth runs a few jobs per level: size the training partitions by rows, not by
     # the shuffle setting (a narrow coalesce, no shuffle).
-    train_parts = max(1, min(data.rdd.getNumPartitions(),
-                             math.ceil(run.cleaned_rows / cfg.train_rows_per_partition)))
+    try:
+        current = data.rdd.getNumPartitions()
+    except Exception:  # no RDD view in a remote session
+        current = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    train_parts = max(1, min(current, math.ceil(run.cleaned_rows / cfg.train_rows_per_partition)))
 
     cats = [c for c in cfg.features if c in CATEGORICAL]
     nums = [f for f in cfg.features if f not in cats]

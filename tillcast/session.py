@@ -52,12 +52,15 @@ def shared_dir(spark: SparkSession) -> str:
     Taken from ``spark.checkpoint.dir`` (set by the cluster). Only when it is unset,
     as in local tests, a private temporary folder is created and registered.
     """
-    sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no local context: conf only
+        sc = None
+    base = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not base:
         base = tempfile.mkdtemp(prefix="tillcast-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
     return base
 

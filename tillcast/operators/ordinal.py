@@ -37,10 +37,11 @@ def with_ordinal_and_sizes(df: DataFrame, group_cols: list[str], order: list[Col
                            sizes: bool = False) -> tuple[DataFrame, dict | None]:
     """``with_ordinal`` that can also return the exact row count of every group, read
     from the small cached offset table (only for callers with few groups)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(g).asc_nulls_last() for g in group_cols] + list(order)
-    ranged = (df.repartitionByRange(n, *keys)
+    # Without an explicit count the range shuffle uses the session's partition setting and
+    # AQE may coalesce it for small inputs; a caller-given count is kept as is.
+    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys))
+    ranged = (ranged
               .sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))

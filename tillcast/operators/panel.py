@@ -41,15 +41,22 @@ def order_struct(df: DataFrame) -> Column:
     return F.struct(*parts)
 
 
-def drop_inactive(df: DataFrame, broadcast_max_rows: int = 2_000_000) -> DataFrame:
+def machine_stats(df: DataFrame) -> DataFrame:
+    """One row per machine: rows and total dispense (missing skipped), from one partial
+    aggregation over the input. Cached: the skew check and A1 both read it."""
+    return (df.where(F.col(ENTITY).isNotNull()).groupBy(ENTITY)
+            .agg(F.count(F.lit(1)).alias("_n"), F.sum("dispense").alias("_total")).persist())
+
+
+def drop_inactive(df: DataFrame, broadcast_max_rows: int = 2_000_000, stats: DataFrame | None = None) -> DataFrame:
     """A1: keep machines whose total dispense (missing skipped) is > 0; drops NULL ids.
 
     Totals come from a partial aggregation (map-side combine, so a hot machine is no
     problem) and the surviving ids filter the panel through a semi join, broadcast
     behind a size check. The panel is not sorted or shuffled for this step.
     """
-    active = (df.where(F.col(ENTITY).isNotNull()).groupBy(ENTITY).agg(F.sum("dispense").alias("_total"))
-              .where(F.col("_total") > 0).select(F.col(ENTITY).alias("_a_atm")))
+    stats = stats if stats is not None else machine_stats(df)
+    active = stats.where(F.col("_total") > 0).select(F.col(ENTITY).alias("_a_atm"))
     active, _ = checked_broadcast(active, broadcast_max_rows)
     return df.join(active, df[ENTITY] == active["_a_atm"], "left_semi")
 
@@ -125,10 +132,11 @@ def add_row_features(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
     return df.drop("_off", "_dated", "_start", "_cum", "_len")
 
 
-def hot_keys(df: DataFrame, cfg: ForecastConfig) -> list[tuple[str, int]]:
+def hot_keys(df: DataFrame, cfg: ForecastConfig, stats: DataFrame | None = None) -> list[tuple[str, int]]:
     """(machine, rows) for machines with more than ``hot_key_min_rows`` rows, largest
     first, at most ``max_hot_keys`` of them (a top-k: the driver gets a bounded list)."""
-    counts = df.groupBy(ENTITY).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > cfg.hot_key_min_rows)
+    stats = stats if stats is not None else machine_stats(df)
+    counts = stats.where(F.col("_n") > cfg.hot_key_min_rows)
     return [(r[ENTITY], r["_n"]) for r in counts.orderBy(F.desc("_n")).limit(cfg.max_hot_keys).collect()]
 
 

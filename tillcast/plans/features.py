@@ -57,10 +57,10 @@ def _holiday_joiner(cfg: ForecastConfig, holidays: DataFrame | None,
 
 
 def _chain(df: DataFrame, cfg: ForecastConfig, join: Callable[[DataFrame], DataFrame],
-           hot: list[tuple[str, int]] | None, targets: bool) -> DataFrame:
+           hot: list[tuple[str, int]] | None, targets: bool, stats: DataFrame | None) -> DataFrame:
     chunked = hot is not None
     if cfg.drop_inactive:
-        df = panel.drop_inactive(df, cfg.broadcast_max_rows)
+        df = panel.drop_inactive(df, cfg.broadcast_max_rows, stats)
     df = join(df.withColumns(calendar_columns("date")))
     df = skew.chunked_row_features(df, cfg, hot) if chunked else panel.add_row_features(df, cfg)
     if cfg.use_metadata:
@@ -73,14 +73,18 @@ def _chain(df: DataFrame, cfg: ForecastConfig, join: Callable[[DataFrame], DataF
 
 
 def _run(tx, holidays, cfg, calendar, metadata, targets: bool) -> DataFrame:
-    df = prepare_transactions(tx, cfg, metadata)
+    # Rows without a machine id are dropped by C8 in every preset and never reach another
+    # machine's window: remove them first so they cannot form one giant window group.
+    df = prepare_transactions(tx, cfg, metadata).where(F.col(panel.ENTITY).isNotNull())
     join = _holiday_joiner(cfg, holidays, calendar)
-    hot = panel.hot_keys(df, cfg) if cfg.skew_guard else []
+    # one pass over the input serves both the skew check and A1
+    stats = panel.machine_stats(df) if (cfg.skew_guard or cfg.drop_inactive) else None
+    hot = panel.hot_keys(df, cfg, stats) if cfg.skew_guard else []
     if not hot:
-        return _chain(df, cfg, join, None, targets)
+        return _chain(df, cfg, join, None, targets, stats)
     is_hot = F.col(panel.ENTITY).isin([k for k, _ in hot])
-    cold = _chain(df.where(~is_hot | is_hot.isNull()), cfg, join, None, targets)
-    return cold.unionByName(_chain(df.where(is_hot), cfg, join, hot, targets))
+    cold = _chain(df.where(~is_hot), cfg, join, None, targets, stats)
+    return cold.unionByName(_chain(df.where(is_hot), cfg, join, hot, targets, stats))
 
 
 def engineer_features(tx: DataFrame, holidays: DataFrame | None = None, cfg: ForecastConfig = V1,

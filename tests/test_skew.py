@@ -59,3 +59,11 @@ def test_halo_copies(spark):
     copies = sorted((r._ord, r._chunk) for r in h if not r._home)
     # rows 4,5 -> chunk 1 (history), row 6 -> chunk 0 (lookahead), ...
     assert (4, 1) in copies and (5, 1) in copies and (6, 0) in copies and (3, 1) not in copies
+
+
+def test_hot_keys_is_a_bounded_top_k(spark):
+    rows = [("A", 1.0)] * 5 + [("B", 1.0)] * 3 + [("C", 1.0)] * 2 + [(None, 1.0)] * 9
+    df = spark.createDataFrame(rows, "atm_id string, dispense double")
+    stats = panel.machine_stats(df)
+    assert panel.hot_keys(df, V1.with_(hot_key_min_rows=1, max_hot_keys=2), stats) == [("A", 5), ("B", 3)]
+    assert panel.hot_keys(df, V1.with_(hot_key_min_rows=4), stats) == [("A", 5)]

@@ -31,4 +31,19 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source
 """
 
-ORACLES = {"op3_quality_rules": OP3}
+OP2 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, {WORDS.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+             ELSE list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM d),
+x AS MATERIALIZED (SELECT doc_id, len(g) AS n, unnest(g) AS gram FROM s),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c, any_value(a.n) AS na, any_value(b.n) AS nb
+          FROM x a JOIN x b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS MATERIALIZED (SELECT a, b FROM pairs WHERE 100 * c >= 75 * (na + nb - c)),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+low AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT s.doc_id, len(g)::BIGINT AS n_shingles, least(s.doc_id, coalesce(m, s.doc_id)) AS component_id,
+       least(s.doc_id, coalesce(m, s.doc_id)) = s.doc_id AS kept
+FROM s LEFT JOIN low ON s.doc_id = low.a
+"""
+
+ORACLES = {"op2_minhash_near_dedup": OP2, "op3_quality_rules": OP3}

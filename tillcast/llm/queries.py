@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import piece_codec, quality_rules
+from tillcast.llm import near_dedup, piece_codec, quality_rules
 from tillcast.llm.common import read_table
 from tillcast.llm.oracle import ORACLES
 
@@ -16,13 +16,17 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.code_digests(read_table(spark, sf_dir, "documents"))
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op3_quality_rules)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_minhash_near_dedup, op3_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

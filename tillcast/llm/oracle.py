@@ -46,4 +46,43 @@ SELECT s.doc_id, len(g)::BIGINT AS n_shingles, least(s.doc_id, coalesce(m, s.doc
 FROM s LEFT JOIN low ON s.doc_id = low.a
 """
 
-ORACLES = {"op2_minhash_near_dedup": OP2, "op3_quality_rules": OP3}
+HOST = "translate(regexp_extract({u}, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+PATH = "regexp_extract({u}, '^(?s:.*?)://[^/?#]*([^?#]*)', 1)"
+PLAIN = ("CASE WHEN " + HOST + " <> '' THEN '//' || regexp_replace(" + HOST + r", '^(www|m)\.', '') || "
+         r"regexp_replace(regexp_replace(" + PATH + r", '\.html?$', ''), '/+$', '') END")
+OP6 = rf"""
+WITH RECURSIVE u AS (
+  SELECT page_id, url, coalesce({HOST.format(u="url")}, '') AS host, coalesce({PATH.format(u="url")}, '') AS path, html FROM pages),
+r AS (SELECT *, CASE
+    WHEN (host = 'example.net' OR suffix(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR suffix(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR suffix(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR suffix(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM u),
+o AS (SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS own FROM r),
+e AS MATERIALIZED (SELECT DISTINCT url AS a, {PLAIN.format(u="url")} AS b FROM o WHERE host <> ''),
+both_ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+reach(a, b) AS (SELECT a, b FROM both_ways UNION SELECT reach.a, x.b FROM reach JOIN both_ways x ON reach.b = x.a),
+g AS (SELECT reach.a AS url, bool_or(own = 'block') AS blocked, bool_or(own = 'allow') AS allowed
+      FROM reach JOIN o ON reach.b = o.url GROUP BY reach.a)
+SELECT page_id, host, path, rule, coalesce(own, CASE WHEN g.blocked AND NOT coalesce(g.allowed, FALSE) THEN 'block' ELSE 'allow' END) AS verdict
+FROM o LEFT JOIN g USING (url)
+"""
+
+ALNUM = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+OP8 = rf"""
+WITH d AS (SELECT doc_id, {ALNUM} AS w FROM documents),
+i AS (SELECT item_id, {ALNUM} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 13) AS n, unnest(list_transform(generate_series(1, greatest(len(w) - 12, 1)), lambda k: array_to_string(w[k:k + 12], ' '))) AS t
+        FROM i WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM win),
+pos AS (SELECT doc_id, n, unnest(generate_series(1, len(w) - n + 1)) AS k, unnest(list_transform(generate_series(1, len(w) - n + 1), lambda k: array_to_string(w[k:k + n - 1], ' '))) AS t
+        FROM d, sizes WHERE len(w) >= n),
+hit AS MATERIALIZED (SELECT doc_id, n, k, item_id FROM pos JOIN win USING (n, t)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(k, k + n - 1)) AS p FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ORACLES = {"op2_minhash_near_dedup": OP2, "op3_quality_rules": OP3, "op6_url_filter": OP6, "op8_decontamination": OP8}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import near_dedup, piece_codec, quality_rules
+from tillcast.llm import decontaminate, near_dedup, piece_codec, quality_rules, url_filter
 from tillcast.llm.common import read_table
 from tillcast.llm.oracle import ORACLES
 
@@ -25,8 +25,19 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return url_filter.judge_urls(pages, url_filter.page_edges(pages))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_minhash_near_dedup, op3_quality_rules)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_minhash_near_dedup, op3_quality_rules, op6_url_filter, op8_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import decontaminate, near_dedup, piece_codec, quality_rules, url_filter
+from tillcast.llm import decontaminate, near_dedup, piece_codec, quality_rules, secret_scan, url_filter
 from tillcast.llm.common import read_table
 from tillcast.llm.oracle import ORACLES
 
@@ -36,8 +36,13 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_crf")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_minhash_near_dedup, op3_quality_rules, op6_url_filter, op8_decontamination)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_minhash_near_dedup, op3_quality_rules, op6_url_filter, op8_decontamination, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -46,6 +46,17 @@ SELECT s.doc_id, len(g)::BIGINT AS n_shingles, least(s.doc_id, coalesce(m, s.doc
 FROM s LEFT JOIN low ON s.doc_id = low.a
 """
 
+OP5 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+h AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha1(b) AS x FROM p),
+f AS (SELECT x, max(page_id) AS first FROM h GROUP BY x)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (((('0x' || substr(x, (i // 4) * 5 + 1, 5))::INT >> (15 - 5 * (i % 4))) & 31))::INT, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM h JOIN f USING (x)
+"""
+
 HOST = "translate(regexp_extract({u}, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 PATH = "regexp_extract({u}, '^(?s:.*?)://[^/?#]*([^?#]*)', 1)"
 PLAIN = ("CASE WHEN " + HOST + " <> '' THEN '//' || regexp_replace(" + HOST + r", '^(www|m)\.', '') || "
@@ -85,4 +96,4 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLES = {"op2_minhash_near_dedup": OP2, "op3_quality_rules": OP3, "op6_url_filter": OP6, "op8_decontamination": OP8}
+ORACLES = {"op2_minhash_near_dedup": OP2, "op3_quality_rules": OP3, "op5_warc": OP5, "op6_url_filter": OP6, "op8_decontamination": OP8}

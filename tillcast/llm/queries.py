@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import decontaminate, near_dedup, piece_codec, quality_rules, secret_scan, url_filter
-from tillcast.llm.common import read_table
+from tillcast.llm import decontaminate, near_dedup, piece_codec, quality_rules, secret_scan, url_filter, warc
+from tillcast.llm.common import read_table, scratch_path
 from tillcast.llm.oracle import ORACLES
 
 
@@ -25,6 +25,16 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_warc(warc.archive_records(read_table(spark, sf_dir, "pages")), path)
+    read = warc.read_warc(spark, path)
+    response = F.col("warc_type") == "response"
+    digest = F.when(response & ~F.coalesce("digest_ok", F.lit(False)), F.raise_error(F.lit("payload differs from its digest"))).otherwise(F.col("payload_digest"))
+    return read.select(warc.page_of(F.col("record_id")).alias("page_id"), F.when(response, F.octet_length("payload")).otherwise(F.col("payload_length")).cast("long").alias("payload_bytes"),
+                       digest.alias("payload_digest"), F.col("warc_type").alias("record_type"), warc.page_of(F.col("refers_to")).alias("refers_to"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages")
     return url_filter.judge_urls(pages, url_filter.page_edges(pages))
@@ -42,7 +52,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_minhash_near_dedup, op3_quality_rules, op6_url_filter, op8_decontamination, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_minhash_near_dedup, op3_quality_rules, op5_warc, op6_url_filter, op8_decontamination, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:

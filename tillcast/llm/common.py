@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tillcast.operators.joins import BROADCAST_MAX_BYTES, estimated_row_bytes
 from tillcast.session import scratch_path, shared_dir
 
-__all__ = ["BROADCAST_MAX_BYTES", "stored", "small_enough", "map_arrow", "narrow", "read_table", "scratch_path", "shared_dir"]
+__all__ = ["BROADCAST_MAX_BYTES", "stored", "small_enough", "map_arrow", "narrow", "read_table", "small_batches", "scratch_path", "shared_dir"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,10 +38,21 @@ def small_enough(df: DataFrame, rows: int | None = None, most: int = BROADCAST_M
     return rows * estimated_row_bytes(df.schema) <= most
 
 
+#: Rows of one Arrow batch between Spark and a Python worker: texts of a few KB make batches of a few MB.
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keeps a worker's memory to a few batches of texts; a smaller setting of the session stands."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], schema: T.StructType) -> DataFrame:
     """``fn`` turns one Arrow batch into column dicts (name -> array or list); each becomes a batch."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    small_batches(df.sparkSession)
     target = to_arrow_schema(schema)
 
     def run(batches):

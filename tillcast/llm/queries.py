@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import decontaminate, near_dedup, piece_codec, quality_rules, secret_scan, url_filter, warc
+from tillcast.llm import decontaminate, near_dedup, piece_codec, quality_classifier, quality_rules, secret_scan, sharding, training_order, url_filter, warc
 from tillcast.llm.common import read_table, scratch_path
 from tillcast.llm.oracle import ORACLES
 
@@ -25,6 +25,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality_classifier.score(docs, quality_classifier.train(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_warc(warc.archive_records(read_table(spark, sf_dir, "pages")), path)
@@ -40,19 +45,32 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, url_filter.page_edges(pages))
 
 
+def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "order")
+    training_order.materialise(read_table(spark, sf_dir, "documents"), path)
+    read = training_order.read_order(spark, path)
+    return read.select("doc_id", "sequence", "slot", "shard", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
                         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.interleave(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_crf")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_minhash_near_dedup, op3_quality_rules, op5_warc, op6_url_filter, op8_decontamination, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_minhash_near_dedup, op3_quality_rules, op4_quality_classifier, op5_warc, op6_url_filter, op7_training_order,
+                                   op8_decontamination, op9_sharding, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:

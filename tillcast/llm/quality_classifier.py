@@ -167,7 +167,8 @@ def minimise(loss, x: np.ndarray, rounds: int, memory: int = 10) -> np.ndarray:
 def graded(labels: DataFrame, id_col: str = "doc_id", quality_col: str = "quality", toxic_col: str = "toxic") -> DataFrame:
     """(label_id, grade) of every labelled document."""
     grade = F.when(F.col(quality_col) == 0, 0).when(F.col(toxic_col) == 1, 1).when(F.col(toxic_col) == 0, 2)
-    return labels.select(F.col(id_col).alias("label_id"), grade.alias("grade")).where("grade is not null and label_id is not null").groupBy("label_id").agg(
+    whole = labels.dropna(subset=[id_col, quality_col, toxic_col])
+    return whole.select(F.col(id_col).alias("label_id"), grade.alias("grade")).where("grade is not null").groupBy("label_id").agg(
         F.min("grade").alias("grade"))
 
 

@@ -152,9 +152,9 @@ def keep_good(docs: DataFrame, rules: QualityRules = QualityRules(), id_col: str
               host_col: str = "source") -> DataFrame:
     """The documents that the rules keep, with the columns they came with.
 
-    Verdicts are joined back on the id; documents with the same id share one verdict
-    (kept if any of them is), and those without an id are judged but not returned.
+    Verdicts are joined back on the id: rows that share an id (none, too) share the mildest verdict.
     """
-    kept = judge(docs, rules, id_col, text_col, host_col).where("kept").select(F.col(id_col).alias("kept_id")).distinct()
+    judged = judge(docs, rules, id_col, text_col, host_col)
+    kept = stored(judged.where("kept").select(F.col(id_col).alias("kept_id")).distinct(), "kept")
     kept = F.broadcast(kept) if small_enough(kept) else kept
-    return docs.join(kept, F.col(id_col) == F.col("kept_id"), "left_semi")
+    return docs.join(kept, docs[id_col].eqNullSafe(kept["kept_id"]), "left_semi")

@@ -9,22 +9,33 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "tillcast") -> SparkSession:
-    """Session for local runs and tests. On a cluster the submitter's config wins."""
+# Settings the plans want where nobody has chosen otherwise.
+RUNTIME_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "tillcast") -> SparkSession:
+    """The running session, or a new one in which every setting of the submitter stands.
+
+    ``master`` and ``shuffle_partitions`` are for local runs (tests, bench): with a master
+    the session also gets the local defaults (no web page, driver memory).
+    """
     builder = SparkSession.builder.appName(app)
     if master:
-        builder = builder.master(master)
-    spark = (
-        builder.config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.driver.memory", os.environ.get("TILLCAST_DRIVER_MEMORY", "16g"))
-        .getOrCreate()
-    )
+        builder = (builder.master(master).config("spark.ui.enabled", "false")
+                   .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+                   .config("spark.driver.memory", os.environ.get("TILLCAST_DRIVER_MEMORY", "16g")))
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    spark = builder.getOrCreate()
+    submitted = spark.sparkContext.getConf()
+    for key, value in RUNTIME_DEFAULTS.items():
+        if not submitted.contains(key):
+            spark.conf.set(key, value)
     spark.sparkContext.setLogLevel("ERROR")
     tune(spark)
     return spark
@@ -38,19 +49,23 @@ WINDOW_BUFFER_ROWS = 16_384
 
 def tune(spark: SparkSession) -> None:
     """Settings every plan of this package relies on; safe to call on any session."""
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     current = int(spark.conf.get("spark.sql.windowExec.buffer.in.memory.threshold", "4096"))
     if current < WINDOW_BUFFER_ROWS:
         spark.conf.set("spark.sql.windowExec.buffer.in.memory.threshold", str(WINDOW_BUFFER_ROWS))
     shared_dir(spark)
 
 
+def is_local(master: str) -> bool:
+    """True if driver and executors are one process (not ``local-cluster``)."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors for checkpoints and written intermediates.
 
-    Taken from ``spark.checkpoint.dir`` (set by the cluster). Only when it is unset,
-    as in local tests, a private temporary folder is created and registered.
+    Taken from ``spark.checkpoint.dir`` (set by the cluster). Only when it is unset and the
+    master is local, as in tests, a private temporary folder is created and registered;
+    elsewhere a machine-local folder would be lost on other machines, so it is an error.
     """
     try:
         sc = spark.sparkContext
@@ -58,6 +73,8 @@ def shared_dir(spark: SparkSession) -> str:
         sc = None
     base = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not base:
+        if sc is None or not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tillcast-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     if sc is not None and not sc.getCheckpointDir():

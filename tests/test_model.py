@@ -73,8 +73,8 @@ def test_end_to_end_job_writes_partitioned_report(spark, tmp_path):
     tx_path, hol_path, out = str(tmp_path / "tx"), str(tmp_path / "hol"), str(tmp_path / "report")
     tx.write.parquet(tx_path)
     tv.holidays_for(tx).write.parquet(hol_path)
-    args = argparse.Namespace(preset="v1", max_iter=3, transactions=tx_path, holidays=hol_path, calendar=None,
-                              metadata=None, input_format="parquet", out=out, format="parquet")
+    args = argparse.Namespace(preset="v1", max_iter=3, transactions=[tx_path], holidays=hol_path, calendar=None,
+                              metadata=None, date_formats=None, input_format="parquet", out=out, format="parquet")
     run = job.run(spark, args)
     rep = spark.read.parquet(out)
     n_atm = tx.select("atm_id").distinct().count()
@@ -123,3 +123,65 @@ def test_first_k_trees_equal_a_k_tree_fit(spark):
         got = [r._pred for r in score_first_trees(full, x, k).collect()]
         want = [r._ref for r in ref.transform(x).collect()]
         assert max(abs(a - b) for a, b in zip(got, want)) < 1e-9
+
+
+def test_stages_stop_like_the_whole_fit(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    from tillcast.plans import forecast as fc
+
+    df = spark.range(0, 600).select((F.rand(1) * 10).alias("a"), (F.rand(2) * 5).alias("b"), (F.rand(3) * 4).alias("e"))
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="_features").transform(df.withColumn("_label", F.col("a") + F.col("e"))).persist()
+    train, val = df.where("b < 4"), df.where("b >= 4")
+    est = fc.boosted_trees(V1.with_(max_iter=24, step_size=0.3, max_depth=3)).setFeaturesCol("_features").setLabelCol("_label").setPredictionCol("_pred")
+    whole = est.fit(train)
+    want = best_iteration(list(whole.evaluateEachIteration(val, "squared")), 3)
+    fc.GROWTH, before = 4, fc.GROWTH
+    try:
+        model, k = fc.fit_stopped(est, train, val, 3)
+    finally:
+        fc.GROWTH = before
+    assert k == want and model.getNumTrees <= whole.getNumTrees
+
+
+def test_encoding_choice_does_not_follow_the_data():
+    from tillcast.plans.forecast import split_categoricals
+
+    cats = ["atm_id", "state", "holiday_name", "holiday_type"]
+    for names in (10, 63, 64, 5_000):
+        card = {"atm_id": 9, "state": 30, "holiday_name": names, "holiday_type": 5}
+        assert split_categoricals(cats, card, V1) == (["state", "holiday_type"], ["atm_id", "holiday_name"])
+    with pytest.raises(ValueError, match="max_bins"):
+        split_categoricals(cats, {"state": 256}, V1)
+
+
+def test_estimator_is_a_parameter(spark, cleaned_small):
+    import numpy as np
+    from pyspark.ml.regression import LinearRegression
+
+    cfg = V1.with_(features=("dispense_lag_7",), horizons=(("Next_Day", "target_1day", 1),), clip_lower=False)
+    wide, run = train_and_forecast(cleaned_small, cfg, LinearRegression(solver="normal"))
+    train = cleaned_small.where(F.col("date") <= F.lit(run.split_date)).dropna(subset=["target_1day"]).toPandas()
+    slope, intercept = np.polyfit(train.dispense_lag_7, train.target_1day, 1)
+    for r in wide.collect():
+        assert r.predicted_dispense_Next_Day == pytest.approx(round(slope * r.dispense_lag_7 + intercept), abs=1)
+    assert not run.horizons[0].early_stopping
+
+
+def test_job_reads_csv_parts_in_any_column_order(spark, tmp_path, capsys):
+    from tillcast.plans import job
+    from tillcast.sources.readers import read_parts
+
+    tx = tv.tx_dense(spark, SF_SMALL)
+    a, b, hol = (str(tmp_path / x) for x in ("a", "b", "hol"))
+    first = F.col("atm_id") < "ATM_2"
+    tx.where(first).select("date", "dispense", "state", "atm_id").write.csv(a, header=True)
+    tx.where(~first).select("state", "atm_id", F.date_format("date", "dd-MMM-yyyy").alias("date"), "dispense").write.csv(b, header=True)
+    tv.holidays_for(tx).write.csv(hol, header=True)
+    argv = ["--transactions", a, b, "--holidays", hol, "--out", str(tmp_path / "out"), "--input-format", "csv", "--max-iter", "2",
+            "--date-formats", "yyyy-MM-dd", "dd-MMM-yyyy"]
+    job.main(argv)
+    assert "could not be read: 0, 0" in capsys.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3 * tx.select("atm_id").distinct().count()
+    parts = read_parts(spark, [a, b], "csv", None, header="true")
+    assert job.rows_lost(parts, V1)["date"] == tx.where(~first).count()

@@ -151,3 +151,12 @@ def test_empty_dataset_guard(spark):
     cleaned = build_dataset(engineer_features(tx, _hol(spark), V1), V1)
     with pytest.raises(ValueError, match="No data available"):
         ensure_not_empty(cleaned)
+
+
+def test_feature_chain_runs_once_for_splits_and_report(spark):
+    """The final plans read the materialised panel: no window, sort or panel exchange is repeated."""
+    from tillcast.plans import catalog
+
+    for q in (catalog.q_time_split, catalog.q_split_diagnostics, catalog.q_horizon_training_sets, catalog.q_report_long):
+        plan = q(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "hashpartitioning(atm_id" not in plan, q.__name__

@@ -11,7 +11,7 @@ from tillcast.sources import testviews as tv
 
 from tests.conftest import SF_SMALL
 
-ALL_HOT = dict(hot_key_min_rows=0, max_hot_keys=100_000, chunk_rows=15)
+ALL_HOT = dict(hot_key_min_rows=0, chunk_rows=15)
 
 
 def _same(a, b):
@@ -47,7 +47,7 @@ def test_partial_hot_set_unions_both_branches(spark):
     counts = sorted(r["n"] for r in tx.groupBy("atm_id").agg(F.count(F.lit(1)).alias("n")).collect())
     mid = counts[len(counts) // 2]
     cfg = V1.with_(hot_key_min_rows=mid, chunk_rows=50)
-    assert 0 < len(panel.hot_keys(tx, cfg)) < len(counts)
+    assert 0 < panel.hot_machines(panel.machine_stats(tx), cfg).count() < len(counts)
     _same(feature_dataset(tx, hols, V1.with_(skew_guard=False)), feature_dataset(tx, hols, cfg))
 
 
@@ -61,9 +61,11 @@ def test_halo_copies(spark):
     assert (4, 1) in copies and (5, 1) in copies and (6, 0) in copies and (3, 1) not in copies
 
 
-def test_hot_keys_is_a_bounded_top_k(spark):
-    rows = [("A", 1.0)] * 5 + [("B", 1.0)] * 3 + [("C", 1.0)] * 2 + [(None, 1.0)] * 9
-    df = spark.createDataFrame(rows, "atm_id string, dispense double")
-    stats = panel.machine_stats(df)
-    assert panel.hot_keys(df, V1.with_(hot_key_min_rows=1, max_hot_keys=2), stats) == [("A", 5), ("B", 3)]
-    assert panel.hot_keys(df, V1.with_(hot_key_min_rows=4), stats) == [("A", 5)]
+def test_any_number_of_hot_machines(spark):
+    """More than a thousand machines above the threshold all take the chunked plan."""
+    rows = spark.range(1_200).selectExpr("concat('ATM_', id) AS atm_id", "'S' AS state", "explode(sequence(0, 19)) AS d").selectExpr(
+        "atm_id", "state", "date_add(DATE '2024-01-01', d) AS date", "cast(d * 100 + 100 as double) AS dispense")
+    hols = spark.createDataFrame([], "date date, state string, holiday_name string")
+    cfg = V1.with_(hot_key_min_rows=10, chunk_rows=15)
+    assert panel.hot_machines(panel.machine_stats(rows), cfg).count() == 1_200
+    _same(feature_dataset(rows, hols, V1.with_(skew_guard=False)), feature_dataset(rows, hols, cfg))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # Horizon label -> (target column, rows ahead). Fixed values of the report.
 HORIZONS: tuple[tuple[str, str, int], ...] = (
@@ -11,6 +11,8 @@ HORIZONS: tuple[tuple[str, str, int], ...] = (
     ("Next_Week", "target_7day", 7),
 )
 
+# Names and order of the feature lists (D6), and the model's rounds, rate and
+# patience in ForecastConfig below, must equal the reference's.
 V1_FEATURES: tuple[str, ...] = (
     "atm_id", "state",
     "day_of_week", "day_of_month", "month", "is_friday", "is_weekend", "is_salary_period",
@@ -62,7 +64,9 @@ class ForecastConfig:
     max_iter: int = 400
     step_size: float = 0.03
     max_depth: int = 5
-    max_bins: int = 64
+    max_bins: int = 256
+    # inputs that the trees split as categories; other categoricals become target means
+    nominal: tuple[str, ...] = ("state", "holiday_type", "location_type", "city_tier")
     min_instances_per_node: int = 20
     seed: int = 42
     patience: int = 30
@@ -71,7 +75,6 @@ class ForecastConfig:
     skip_empty_horizon: bool = True
     clip_lower: bool = True
     encoding_smoothing: float = 20.0
-    train_rows_per_partition: int = 1_000_000
     parallel_horizons: int = 3  # horizons fitted concurrently (1 = one after another)
     # report
     report_date_column: str = "reference_date"
@@ -83,9 +86,7 @@ class ForecastConfig:
     skew_guard: bool = True
     broadcast_max_rows: int = 2_000_000
     hot_key_min_rows: int = 5_000_000
-    max_hot_keys: int = 1_000
     chunk_rows: int = 1_000_000
-    extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "ForecastConfig":
         return replace(self, **kw)

@@ -2,27 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.config import ForecastConfig
+from tillcast.session import cut_lineage
 
 
 def ensure_not_empty(df: DataFrame, message: str = "No data available after feature engineering.") -> DataFrame:
-    """Fail early when nothing is left (one cheap LIMIT 1 job)."""
+    """Fail early when nothing is left. For a materialised panel: on a plan with windows
+    even one row costs the whole chain."""
     if df.isEmpty():
         raise ValueError(message)
     return df
 
 
-def split_date(cleaned: DataFrame, val_days: int) -> Column:
-    """D3: global max date minus N days, as a scalar subquery (no join, no driver round trip)."""
-    return F.date_sub(cleaned.select(F.max("date")).scalar(), val_days)
+def last_date(cleaned: DataFrame):
+    """Global max date of a materialised panel: one value."""
+    return cleaned.agg(F.max("date")).first()[0]
 
 
-def time_split(cleaned: DataFrame, cfg: ForecastConfig) -> DataFrame:
-    """D3: ``is_val`` = date after the split date; train is date <= split."""
-    cut = split_date(cleaned, cfg.val_days)
+def time_split(cleaned: DataFrame, cfg: ForecastConfig, max_date=None) -> DataFrame:
+    """D3: ``split_date`` = max date minus N days, ``is_val`` = date after it.
+
+    Without a known max date the panel is materialised first, so that the date and the
+    split read one result instead of running the feature chain twice.
+    """
+    if max_date is None:
+        cleaned = cut_lineage(cleaned)
+        max_date = last_date(cleaned)
+    cut = F.date_sub(F.lit(max_date).cast("date"), cfg.val_days)
     return cleaned.withColumns({"split_date": cut, "is_val": (F.col("date") > cut)})
 
 
@@ -35,14 +44,11 @@ def split_diagnostics(split: DataFrame, cfg: ForecastConfig) -> DataFrame:
 
 
 def horizon_training_sets(split: DataFrame, cfg: ForecastConfig, columns: list[str] | None = None) -> DataFrame:
-    """D5 for all horizons as one long DataFrame: (horizon, is_val, columns..., target)."""
+    """D5 for all horizons as one long DataFrame, in one pass: (horizon, is_val, columns..., target)."""
     cols = columns or ["atm_id", "date"]
-    parts = None
-    for label, target, _ in cfg.horizons:
-        part = (split.where(F.col(target).isNotNull())
-                .select(F.lit(label).alias("horizon"), "is_val", *cols, F.col(target).alias("target")))
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+    sets = F.array(*[F.struct(F.lit(label).alias("horizon"), F.col(t).alias("target")) for label, t, _ in cfg.horizons])
+    long = split.select("is_val", *cols, F.inline(sets)).where(F.col("target").isNotNull())
+    return long.select("horizon", "is_val", *cols, "target")
 
 
 def feature_projection(df: DataFrame, cfg: ForecastConfig, with_targets: bool = True) -> DataFrame:

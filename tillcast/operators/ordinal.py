@@ -29,14 +29,6 @@ def with_ordinal(df: DataFrame, group_cols: list[str], order: list[Column], name
     ``order`` must be a total order inside a group for a deterministic result (rows
     equal in every order key are interchangeable, so any numbering of them is valid).
     """
-    return with_ordinal_and_sizes(df, group_cols, order, name, num_partitions, broadcast_max_rows)[0]
-
-
-def with_ordinal_and_sizes(df: DataFrame, group_cols: list[str], order: list[Column], name: str = "ordinal",
-                           num_partitions: int | None = None, broadcast_max_rows: int = 2_000_000,
-                           sizes: bool = False) -> tuple[DataFrame, dict | None]:
-    """``with_ordinal`` that can also return the exact row count of every group, read
-    from the small cached offset table (only for callers with few groups)."""
     keys = [F.col(g).asc_nulls_last() for g in group_cols] + list(order)
     # Without an explicit count the range shuffle uses the session's partition setting and
     # AQE may coalesce it for small inputs; a caller-given count is kept as is.
@@ -55,16 +47,12 @@ def with_ordinal_and_sizes(df: DataFrame, group_cols: list[str], order: list[Col
     blocks = blocks.select(F.col("_pid").alias("_b_pid"), *[F.col(g).alias(f"_b_{g}") for g in group_cols],
                            "_first", "_offset", "_n")
     blocks, _ = checked_broadcast(blocks, broadcast_max_rows)
-    group_sizes = None
-    if sizes:
-        tot = blocks.groupBy(*[f"_b_{g}" for g in group_cols]).agg(F.sum("_n").alias("_t")).collect()
-        group_sizes = {tuple(r[f"_b_{g}"] for g in group_cols): r["_t"] for r in tot}
     cond = ranged["_pid"] == blocks["_b_pid"]
     for g in group_cols:
         cond = cond & ranged[g].eqNullSafe(blocks[f"_b_{g}"])
     out = ranged.join(blocks, cond, "inner")
     out = out.withColumn(name, F.col("_offset") + F.col("_mid") - F.col("_first") + F.lit(1))
-    return out.drop("_pid", "_mid", "_b_pid", "_first", "_offset", "_n", *[f"_b_{g}" for g in group_cols]), group_sizes
+    return out.drop("_pid", "_mid", "_b_pid", "_first", "_offset", "_n", *[f"_b_{g}" for g in group_cols])
 
 
 def with_group_size(df: DataFrame, group_cols: list[str], name: str = "group_rows",

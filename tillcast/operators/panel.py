@@ -132,15 +132,12 @@ def add_row_features(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
     return df.drop("_off", "_dated", "_start", "_cum", "_len")
 
 
-def hot_keys(df: DataFrame, cfg: ForecastConfig, stats: DataFrame | None = None) -> list[tuple[str, int]]:
-    """(machine, rows) for machines with more than ``hot_key_min_rows`` rows, largest
-    first, at most ``max_hot_keys`` of them (a top-k: the driver gets a bounded list)."""
-    stats = stats if stats is not None else machine_stats(df)
-    counts = stats.where(F.col("_n") > cfg.hot_key_min_rows)
-    return [(r[ENTITY], r["_n"]) for r in counts.orderBy(F.desc("_n")).limit(cfg.max_hot_keys).collect()]
+def hot_machines(stats: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    """``_h_atm``: every machine with more than ``hot_key_min_rows`` rows."""
+    return stats.where(F.col("_n") > cfg.hot_key_min_rows).select(F.col(ENTITY).alias("_h_atm"))
 
 
-def off_day_blocks(df: DataFrame) -> DataFrame:
+def off_day_blocks(df: DataFrame, cfg: ForecastConfig | None = None) -> DataFrame:
     """W2/W3 exposed for inspection: off flag, block id and block length per row."""
     w = entity_window(df)
     off = flag((F.col("is_weekend") == 1) | (F.col("is_holiday") == 1))

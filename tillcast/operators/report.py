@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.config import ForecastConfig
+from tillcast.operators.dataset import last_date
 from tillcast.operators.ordinal import with_group_size, with_ordinal
+from tillcast.session import cut_lineage
 
 PRED_PREFIX = "predicted_dispense_"
 DATE_LABEL = "dd-MMM-yyyy"
@@ -26,12 +28,14 @@ def report_long(wide: DataFrame, cfg: ForecastConfig, reference_max=None) -> Dat
     R3: the forecast date is the global max reference date + k days for every row,
     also for machines whose own last row is older (as in the reference).
     """
+    if reference_max is None:  # not known from the split: materialise, so the chain runs once
+        wide = cut_lineage(wide)
+        reference_max = last_date(wide)
     pred_cols = [f"{PRED_PREFIX}{label}" for label, _, _ in cfg.horizons if f"{PRED_PREFIX}{label}" in wide.columns]
     ids = ["atm_id", *cfg.report_extra_columns, "date", "is_salary_period", "is_long_weekend", "holiday_name"]
     long = wide.unpivot(ids, pred_cols, "horizon", "predicted_dispense_amount")
     long = long.withColumn("horizon", F.regexp_replace("horizon", f"^{PRED_PREFIX}", ""))
-    # a known value (the forecast run computed it for the split) avoids a subquery
-    ref_max = F.lit(reference_max) if reference_max is not None else wide.select(F.max("date")).scalar()
+    ref_max = F.lit(reference_max).cast("date")
     long = long.withColumn("forecast_date", F.date_add(ref_max, F.element_at(horizon_days(cfg), F.col("horizon"))))
     long = long.withColumnRenamed("date", cfg.report_date_column)
     if cfg.forecast_date_label:

@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from tillcast.config import ForecastConfig
 from tillcast.operators import panel
-from tillcast.operators.joins import bounded_broadcast
-from tillcast.operators.ordinal import with_ordinal, with_ordinal_and_sizes
+from tillcast.operators.joins import checked_broadcast
+from tillcast.operators.ordinal import with_ordinal
+from tillcast.session import cut_lineage
 
 ENTITY = panel.ENTITY
 
@@ -47,18 +48,11 @@ def _chunk_window(ord_col: str):
     return Window.partitionBy(ENTITY, "_chunk").orderBy(ord_col)
 
 
-def chunk_bound(sizes: dict, chunk_rows: int) -> int:
-    """Exact number of (machine, chunk) pairs from the machines' row counts."""
-    return sum(-(-n // chunk_rows) for n in sizes.values())
-
-
-def chunked_row_features(df: DataFrame, cfg: ForecastConfig, hot: list[tuple[str, int]]) -> DataFrame:
-    """Same output as ``panel.add_row_features`` for the machines in ``df`` (the ``hot``
-    list), plus ``_vord``: the row number among the rows that survive C8, used by
+def chunked_row_features(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    """Same output as ``panel.add_row_features`` for the machines in ``df``, plus ``_vord``: the row number among the rows that survive C8, used by
     ``chunked_targets``."""
     back = max([*cfg.lags, cfg.roll_short, cfg.roll_long, 1])
-    d, sizes = with_ordinal_and_sizes(df, [ENTITY], panel.panel_order(df), "_ord",
-                                      broadcast_max_rows=cfg.broadcast_max_rows, sizes=True)
+    d = with_ordinal(df, [ENTITY], panel.panel_order(df), "_ord", broadcast_max_rows=cfg.broadcast_max_rows)
     d = d.withColumns({"_off": panel.off_flag(), "_dated": F.col("date").isNotNull().cast("int")})
     d = with_halo(d, "_ord", cfg.chunk_rows, back, 2)
     w = _chunk_window("_ord")
@@ -82,8 +76,8 @@ def chunked_row_features(df: DataFrame, cfg: ForecastConfig, hot: list[tuple[str
     offsets = per_chunk.select(
         F.col(ENTITY).alias("_o_atm"), F.col("_chunk").alias("_o_chunk"), "_o_doff", "_o_voff",
         F.max(F.col("_cb") + F.col("_o_doff")).over(earlier).alias("_o_base"))
-    # proven size: one row per (machine, chunk), counted exactly by the ordinal pass
-    offsets, _ = bounded_broadcast(offsets, chunk_bound(sizes, cfg.chunk_rows), cfg.broadcast_max_rows)
+    # one row per (machine, chunk): read twice (size check and join), so written once
+    offsets, _ = checked_broadcast(cut_lineage(offsets), cfg.broadcast_max_rows)
     d = d.join(offsets, (d[ENTITY] == offsets["_o_atm"]) & (d["_chunk"] == offsets["_o_chunk"]), "inner")
     base = F.coalesce(F.col("_o_doff") + F.col("_lbase"), F.col("_o_base"))
     d = d.withColumns({"_len": F.col("_o_doff") + F.col("_lcum") - base + F.col("_ahead"),
@@ -93,7 +87,7 @@ def chunked_row_features(df: DataFrame, cfg: ForecastConfig, hot: list[tuple[str
                   "_o_atm", "_o_chunk", "_o_doff", "_o_voff", "_o_base", "_ord", "_chunk", "_home")
 
 
-def chunked_targets(df: DataFrame, cfg: ForecastConfig, hot: list[tuple[str, int]]) -> DataFrame:
+def chunked_targets(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
     """Same output as ``panel.add_targets`` (leads on the filtered panel). Uses the
     ``_vord`` row numbers of ``chunked_row_features`` when present."""
     fwd = max(k for _, _, k in cfg.horizons)
@@ -105,3 +99,23 @@ def chunked_targets(df: DataFrame, cfg: ForecastConfig, hot: list[tuple[str, int
     w = _chunk_window("_ord")
     d = d.withColumns({t: F.lead("dispense", k).over(w) for _, t, k in cfg.horizons}).where(F.col("_home"))
     return d.drop("_ord", "_chunk", "_home")
+
+
+def chunked_off_day_blocks(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    """Same output as ``panel.off_day_blocks``: block starts are counted in chunks, block
+    lengths by an aggregation, so neither a machine nor a long block is one task's group."""
+    d = with_ordinal(df, [ENTITY], panel.panel_order(df), "_ord", broadcast_max_rows=cfg.broadcast_max_rows)
+    d = with_halo(d.withColumn("is_off_day", panel.off_flag()), "_ord", cfg.chunk_rows, 1, 0)
+    w = _chunk_window("_ord")
+    prev_off = F.lag("is_off_day", 1).over(w)
+    d = d.withColumn("_start", F.when(prev_off.isNull() | (prev_off != F.col("is_off_day")), 1).otherwise(0)).where(F.col("_home"))
+    d = d.withColumn("_local", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    earlier = Window.partitionBy(ENTITY).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = d.groupBy(ENTITY, "_chunk").agg(F.sum("_start").alias("_n")).select(
+        F.col(ENTITY).alias("_o_atm"), F.col("_chunk").alias("_o_chunk"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    starts, _ = checked_broadcast(cut_lineage(starts), cfg.broadcast_max_rows)
+    d = d.join(starts, d[ENTITY].eqNullSafe(starts["_o_atm"]) & (d["_chunk"] == starts["_o_chunk"]))
+    d = d.withColumn("off_block_id", F.col("_before") + F.col("_local"))
+    d = d.drop("_ord", "_chunk", "_home", "_start", "_local", "_o_atm", "_o_chunk", "_before")
+    lengths = d.groupBy(F.col(ENTITY).alias("_b_atm"), F.col("off_block_id").alias("_b_id")).agg(F.count("date").alias("off_block_length"))
+    return d.join(lengths, d[ENTITY].eqNullSafe(lengths["_b_atm"]) & (d["off_block_id"] == lengths["_b_id"])).drop("_b_atm", "_b_id")

@@ -19,11 +19,11 @@ from tillcast.functions.numeric import postprocess_prediction
 from tillcast.operators import dataset as ds
 from tillcast.operators import holidays as hol
 from tillcast.operators import metadata as meta
-from tillcast.operators import panel
-from tillcast.operators.ordinal import with_ordinal
+from tillcast.operators import panel, skew
+from tillcast.operators.categories import category_codes
 from tillcast.operators.report import report_long, sheet_names
 from tillcast.plans import oracle as O
-from tillcast.plans.features import engineer_features, feature_dataset, prepare_transactions
+from tillcast.plans.features import engineer_features, feature_dataset, guarded, prepare_transactions
 from tillcast.session import scratch_path
 from tillcast.sources import testviews as tv
 from tillcast.sources.readers import ingest_counts, union_parts
@@ -60,7 +60,7 @@ def _cleaned(spark, sf, cfg: ForecastConfig = V1, tx: str = "dense") -> DataFram
 
 # Skew-guard settings that send every machine through the chunked plan, with chunks
 # small enough that every machine spans several of them (results must not change).
-ALL_HOT = dict(hot_key_min_rows=0, max_hot_keys=100_000, chunk_rows=16)
+ALL_HOT = dict(hot_key_min_rows=0, chunk_rows=16)
 # Skew-guard settings for the skewed panel: only the machine holding a third of the rows
 # is above the threshold (from sf0.01 on); it is cut into chunks of 4096 rows.
 SKEW_GUARD = dict(hot_key_min_rows=5_000, chunk_rows=4_096)
@@ -134,13 +134,13 @@ def q_dirty_pipeline(spark, sf):
 
 def q_categorical_codes(spark, sf):
     """Category code = rank of the value among the column's sorted distinct values."""
-    c = _cleaned(spark, sf)
-    cols = ["atm_id", "state", "holiday_name", "holiday_type"]
-    long = c.select(F.explode(F.array(*[
-        F.struct(F.lit(k).alias("column_name"), F.col(k).cast("string").alias("value")) for k in cols])).alias("kv"))
-    distinct = long.select("kv.column_name", "kv.value").distinct()
-    coded = with_ordinal(distinct, ["column_name"], [F.col("value").asc_nulls_last()], "code")
-    return coded.withColumn("code", (F.col("code") - 1).cast("int"))
+    return category_codes(_cleaned(spark, sf), ["atm_id", "state", "holiday_name", "holiday_type"])
+
+
+def q_categorical_codes_missing(spark, sf):
+    """C9 on a panel where every machine of one state has lost its state."""
+    states = F.when(F.col("state") != "NATION_3", F.col("state"))
+    return category_codes(_dense(spark, sf).withColumn("state", states), ["atm_id", "state"])
 
 
 # ----------------------------------------------------------------------------- P*
@@ -242,8 +242,17 @@ def q_pre_holiday_flag(spark, sf):
 
 
 def q_off_day_blocks(spark, sf):
-    j = _joined(spark, sf, V1).withColumns(calendar_columns("date"))
-    return panel.off_day_blocks(j).select(*ROW_ID, "is_off_day", "off_block_id", "off_block_length")
+    return _off_day_blocks(_joined(spark, sf, V1), V1)
+
+
+def _off_day_blocks(joined, cfg):
+    blocks = guarded(joined.withColumns(calendar_columns("date")), cfg, panel.off_day_blocks, skew.chunked_off_day_blocks)
+    return blocks.select(*ROW_ID, "is_off_day", "off_block_id", "off_block_length")
+
+
+def q_off_day_blocks_hot_chunks(spark, sf):
+    """Every machine on the chunked plan."""
+    return _off_day_blocks(_joined(spark, sf, V1), V1.with_(**ALL_HOT))
 
 
 def q_long_weekend(spark, sf):
@@ -272,10 +281,19 @@ def q_drop_invalid_rows(spark, sf):
 
 
 def q_horizon_targets(spark, sf):
-    t = panel.add_targets(_features(spark, sf, V1, "nulls"), V1)
+    return _horizon_targets(_features(spark, sf, V1, "nulls"), V1)
+
+
+def _horizon_targets(features, cfg):
+    t = guarded(features, cfg, panel.add_targets, skew.chunked_targets)
     return t.select(*ROW_ID, *[tg for _, tg, _ in HORIZONS])
 
 
+def q_horizon_targets_hot_chunks(spark, sf):
+    """Every machine on the chunked plan."""
+    return _horizon_targets(_features(spark, sf, V1, "nulls"), V1.with_(**ALL_HOT))
+
+
 def q_feature_table_hot_chunks(spark, sf):
     """The feature table with every machine on the chunked (skew-guard) plan."""
     cfg = V1.with_(**ALL_HOT)
@@ -385,8 +403,25 @@ def q_report_sink_round_trip(spark, sf):
     return back.select(*REPORT_COLS, F.col("sheet").cast("string").alias("sheet"))
 
 
+# ----------------------------------------------------------------------------- M2, M4-M6
+def q_horizon_runs(spark, sf):
+    from tillcast.plans.forecast import horizon_runs
+    return horizon_runs(ds.time_split(_cleaned(spark, sf), V1), V1)
+
+
+def q_target_encodings(spark, sf):
+    """M6: the smoothed target means of the machine id and the holiday name, by horizon target."""
+    from tillcast.plans.forecast import fit_target_encodings
+    train = ds.time_split(_cleaned(spark, sf), V1).where(~F.col("is_val"))
+    targets = [t for _, t, _ in HORIZONS]
+    tables, _, _ = fit_target_encodings(train, ["atm_id", "holiday_name"], targets, V1.encoding_smoothing, V1.broadcast_max_rows)
+    rows = [t.select(F.lit(c).alias("column_name"), F.col(f"_k_{c}").alias("value"),
+                     *[F.col(f"_enc_{c}_{tg}").alias(tg) for tg in targets]) for c, t in tables.items()]
+    return rows[0].unionByName(rows[1])
+
+
 # ----------------------------------------------------------------------------- M1-M7 (rows only)
-MODEL_CFG = V1.with_(max_iter=15)
+MODEL_CFG = V1
 
 
 def q_forecast_gbt(spark, sf):
@@ -450,7 +485,11 @@ def _oracles() -> dict[str, str]:
   CAST(dense_rank() OVER (PARTITION BY column_name ORDER BY value) - 1 AS INT) AS code FROM (
   SELECT DISTINCT 'atm_id' AS column_name, atm_id AS value FROM cleaned
   UNION SELECT 'state', state FROM cleaned UNION SELECT 'holiday_name', holiday_name FROM cleaned
-  UNION SELECT 'holiday_type', holiday_type FROM cleaned) v"""),
+  UNION SELECT 'holiday_type', holiday_type FROM cleaned) v WHERE value IS NOT NULL"""),
+        "categorical_codes_missing": f"""WITH t AS ({O.TX_DENSE}) SELECT column_name, value,
+  CAST(dense_rank() OVER (PARTITION BY column_name ORDER BY value) - 1 AS INT) AS code FROM (
+  SELECT DISTINCT 'atm_id' AS column_name, atm_id AS value FROM t
+  UNION SELECT 'state', state FROM t WHERE state <> 'NATION_3') v""",
         "calendar_parts": f"WITH t AS ({O.TX_DENSE}) SELECT atm_id, date, CAST(isodow(date) - 1 AS INT) AS day_of_week, "
                           f"CAST(day(date) AS INT) AS day_of_month, CAST(month(date) AS INT) AS month, "
                           f"{O.flag('isodow(date) = 5')} AS is_friday, {O.flag('isodow(date) IN (6, 7)')} AS is_weekend FROM t",
@@ -490,6 +529,9 @@ def _oracles() -> dict[str, str]:
         "pre_holiday_flag": fq(_sel(ROW_ID_SQL + ["is_holiday", "is_pre_holiday"], "valid")),
         "off_day_blocks": fq(f"""SELECT atm_id, date, holiday_name, off AS is_off_day, CAST(blk AS BIGINT) AS off_block_id,
   blk_len AS off_block_length FROM w4"""),
+        "off_day_blocks_hot_chunks": fq(f"""SELECT atm_id, date, holiday_name, off AS is_off_day, CAST(blk AS BIGINT) AS off_block_id,
+  blk_len AS off_block_length FROM w4"""),
+        "horizon_targets_hot_chunks": fq(_sel(ROW_ID_SQL + ["target_1day", "target_3day", "target_7day"], "tgt"), tx="tx_nulls"),
         "long_weekend": fq(_sel(ROW_ID_SQL + ["is_weekend", "is_holiday", "is_long_weekend"], "valid")),
         "lag_features": fq(_sel(ROW_ID_SQL + ["dispense", "dispense_lag_1", "dispense_lag_2", "dispense_lag_7"], "valid"),
                            tx="tx_nulls"),
@@ -501,6 +543,13 @@ def _oracles() -> dict[str, str]:
         "eligible_rows": fq(_sel(ROW_ID_SQL + ["dispense_lag_7", "dispense_roll_mean_14"]), tx="tx_nulls"),
         "latest_per_atm": fq(LATEST_SQL),
         "latest_per_atm_long": fq(LATEST_SQL, tx="tx_long"),
+        "horizon_runs": fq("SELECT horizon, target, train_rows, val_rows, val_rows > 100 AS early_stopping, train_rows = 0 AS skipped FROM (" + " UNION ALL ".join(
+            f"SELECT '{label}' AS horizon, '{t}' AS target, count({t}) FILTER (NOT is_val) AS train_rows, count({t}) FILTER (is_val) AS val_rows FROM split"
+            for label, t, _ in HORIZONS) + ") x"),
+        "target_encodings": fq(" UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, {c} AS value, " + ", ".join(
+                f"(CAST(coalesce(sum({t}), 0) AS DOUBLE) + 20.0::DOUBLE * (SELECT CAST(sum({t}) AS DOUBLE) / count({t}) FROM split WHERE NOT is_val)) / (count({t}) + 20.0::DOUBLE) AS {t}"
+                for _, t, _ in HORIZONS) + f" FROM split WHERE NOT is_val GROUP BY {c}" for c in ("atm_id", "holiday_name"))),
         "time_split": fq(_sel(ROW_ID_SQL + ["split_date", "is_val"], "split")),
         "split_diagnostics": fq("""SELECT count(*) AS n_rows, count(target_1day) AS n_target_1day,
   count(target_3day) AS n_target_3day, count(target_7day) AS n_target_7day,

@@ -4,8 +4,8 @@ The whole chain is one lazy DataFrame. Planned shape: the scans, one hash exchan
 atm_id (created by the first window), broadcast holiday/metadata dimensions behind
 row-count checks, then sorts and windows inside the same partitions.
 
-Skew guard: machines with more than ``hot_key_min_rows`` rows (a bounded top-k found
-with one aggregation) take the chunked plan of ``tillcast.operators.skew`` instead,
+Skew guard: machines with more than ``hot_key_min_rows`` rows (found with one
+aggregation, any number of them, kept as a table) take the chunked plan of ``tillcast.operators.skew`` instead,
 so no task ever holds one whole hot machine. Both branches give identical rows.
 """
 
@@ -57,17 +57,16 @@ def _holiday_joiner(cfg: ForecastConfig, holidays: DataFrame | None,
 
 
 def _chain(df: DataFrame, cfg: ForecastConfig, join: Callable[[DataFrame], DataFrame],
-           hot: list[tuple[str, int]] | None, targets: bool, stats: DataFrame | None) -> DataFrame:
-    chunked = hot is not None
+           chunked: bool, targets: bool, stats: DataFrame | None) -> DataFrame:
     if cfg.drop_inactive:
         df = panel.drop_inactive(df, cfg.broadcast_max_rows, stats)
     df = join(df.withColumns(calendar_columns("date")))
-    df = skew.chunked_row_features(df, cfg, hot) if chunked else panel.add_row_features(df, cfg)
+    df = skew.chunked_row_features(df, cfg) if chunked else panel.add_row_features(df, cfg)
     if cfg.use_metadata:
         df = meta.fill_unknown(df)
     df = panel.drop_invalid_rows(df, cfg)
     if targets:
-        df = skew.chunked_targets(df, cfg, hot) if chunked else panel.add_targets(df, cfg)
+        df = skew.chunked_targets(df, cfg) if chunked else panel.add_targets(df, cfg)
         df = panel.eligible_rows(df, cfg)
     return df.drop("_vord")
 
@@ -79,12 +78,13 @@ def _run(tx, holidays, cfg, calendar, metadata, targets: bool) -> DataFrame:
     join = _holiday_joiner(cfg, holidays, calendar)
     # one pass over the input serves both the skew check and A1
     stats = panel.machine_stats(df) if (cfg.skew_guard or cfg.drop_inactive) else None
-    hot = panel.hot_keys(df, cfg, stats) if cfg.skew_guard else []
-    if not hot:
-        return _chain(df, cfg, join, None, targets, stats)
-    is_hot = F.col(panel.ENTITY).isin([k for k, _ in hot])
-    cold = _chain(df.where(~is_hot), cfg, join, None, targets, stats)
-    return cold.unionByName(_chain(df.where(is_hot), cfg, join, hot, targets, stats))
+    hot = panel.hot_machines(stats, cfg) if cfg.skew_guard else None
+    if hot is None or hot.isEmpty():
+        return _chain(df, cfg, join, False, targets, stats)
+    hot, _ = checked_broadcast(hot, cfg.broadcast_max_rows)
+    is_hot = df[panel.ENTITY] == hot["_h_atm"]
+    cold = _chain(df.join(hot, is_hot, "left_anti"), cfg, join, False, targets, stats)
+    return cold.unionByName(_chain(df.join(hot, is_hot, "left_semi"), cfg, join, True, targets, stats))
 
 
 def engineer_features(tx: DataFrame, holidays: DataFrame | None = None, cfg: ForecastConfig = V1,
@@ -101,6 +101,16 @@ def feature_dataset(tx: DataFrame, holidays: DataFrame | None = None, cfg: Forec
 
 
 def build_dataset(features: DataFrame, cfg: ForecastConfig = V1) -> DataFrame:
-    """W8 + D1 on a feature panel from ``engineer_features`` (one-exchange plan).
-    ``feature_dataset`` does both steps and keeps the skew guard through the targets."""
-    return panel.eligible_rows(panel.add_targets(features, cfg), cfg)
+    """W8 + D1 on a feature panel from ``engineer_features``, with the same skew guard."""
+    return panel.eligible_rows(guarded(features, cfg, panel.add_targets, skew.chunked_targets), cfg)
+
+
+def guarded(df: DataFrame, cfg: ForecastConfig, whole: Callable, chunked: Callable) -> DataFrame:
+    """One windowed step: ``whole`` for ordinary machines, ``chunked`` for hot ones."""
+    stats = panel.machine_stats(df) if cfg.skew_guard else None
+    hot = panel.hot_machines(stats, cfg) if cfg.skew_guard else None
+    if hot is None or hot.isEmpty():
+        return whole(df, cfg)
+    hot, _ = checked_broadcast(hot, cfg.broadcast_max_rows)
+    is_hot = df[panel.ENTITY].eqNullSafe(hot["_h_atm"])
+    return whole(df.join(hot, is_hot, "left_anti"), cfg).unionByName(chunked(df.join(hot, is_hot, "left_semi"), cfg))

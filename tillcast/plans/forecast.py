@@ -4,15 +4,21 @@ One global regressor per horizon (not per machine), trained with Spark ML on the
 whole training set. The reference's leaf-wise booster with native categorical and
 missing-value handling is re-expressed as:
 
-* categorical inputs -> categorical tree splits for columns whose cardinality (read from
-  the same aggregation) fits ``max_bins`` (state, holiday name/type, metadata tiers), via a
-  string indexer with a bounded label list; the machine id and any wider column ->
-  smoothed target means computed on the training rows with a group-by and joined back
-  (scales with the number of machines; no label array on the driver);
-* missing numeric inputs -> a -1 sentinel (amounts are never negative once active);
-* early stopping with patience -> ``evaluateEachIteration`` on the validation rows,
-  best iteration by the patience rule, then the latest rows are scored with the first
-  ``k`` trees of the fitted ensemble (sum of weighted tree outputs): no refit.
+* categorical inputs -> categorical tree splits for the columns named in ``nominal`` (state,
+  holiday type, metadata tiers; a column with more values than ``max_bins`` is an error, not
+  another model), and for all others (machine id, holiday name) smoothed target means
+  computed on the training rows with a group-by and joined back (scales with the number
+  of machines; no label array on the driver);
+* missing numeric inputs -> 0 and a 0/1 indicator for each input that can be missing;
+* early stopping with patience -> ``evaluateEachIteration`` on the validation rows. The first
+  n trees of a boosted sequence do not depend on how many follow, so trees are grown to 50,
+  100, 200 and so on up to ``max_iter`` only until the patience rule has stopped; then the
+  latest rows are scored with the first ``k`` trees (sum of weighted tree outputs).
+
+The first tree of a Spark ML ensemble has weight 1, only later ones are shrunk by the step size.
+
+The regressor is a parameter: any ``pyspark.ml`` estimator with a features, label and prediction
+column; early stopping applies to boosted trees only.
 """
 
 from __future__ import annotations
@@ -34,9 +40,6 @@ from tillcast.operators.dataset import ensure_not_empty
 from tillcast.operators.joins import bounded_broadcast
 from tillcast.session import cut_lineage
 
-MISSING = -1.0
-
-
 @dataclass
 class HorizonRun:
     label: str
@@ -90,7 +93,7 @@ def fit_target_encodings(train: DataFrame, cols: list[str], targets: list[str],
     tables = {}
     for i, c in enumerate(cols):
         gid = (1 << n) - 1 - (1 << (n - 1 - i))
-        enc = [((F.col(f"_s_{t}") + F.lit(smoothing * mu[t])) / (F.col(f"_n_{t}") + F.lit(smoothing)))
+        enc = [((F.coalesce(F.col(f"_s_{t}"), F.lit(0.0)) + F.lit(smoothing * mu[t])) / (F.col(f"_n_{t}") + F.lit(smoothing)))
                .alias(f"_enc_{c}_{t}") for t in targets]
         table = stats.where(F.col("_gid") == gid).select(F.col(c).alias(f"_k_{c}"), *enc)
         tables[c], _ = bounded_broadcast(table, sizes.get(gid, 0), broadcast_max_rows)
@@ -136,20 +139,56 @@ def _assembler(cfg: ForecastConfig, nominal: list[str], encoded: list[str], targ
     """Numeric inputs, indexed low-cardinality categories (their nominal metadata makes
     the trees split them as categories) and target-encoded wide categories."""
     nums = [f for f in cfg.features if f not in CATEGORICAL]
-    inputs = ([f"_x_{f}" for f in nums] + [f"_idx_{c}" for c in nominal]
+    inputs = ([f"_x_{f}" for f in nums] + [f"_m_{f}" for f in nullable_inputs(nums, cfg)] + [f"_idx_{c}" for c in nominal]
               + [f"_enc_{c}_{target}" for c in encoded])
     return VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="keep")
 
 
-def split_categoricals(cats: list[str], cardinality: dict[str, int], max_bins: int) -> tuple[list[str], list[str]]:
-    """Categories that fit the tree's bins (plus one slot for unseen values) are used as
-    categorical features; the machine id and any wider column are target-encoded."""
-    nominal = [c for c in cats if c != "atm_id" and 0 < cardinality.get(c, 0) + 1 <= max_bins]
+def split_categoricals(cats: list[str], cardinality: dict[str, int], cfg: ForecastConfig) -> tuple[list[str], list[str]]:
+    """The configured split of the categorical inputs: (tree categories, target means)."""
+    nominal = [c for c in cats if c in cfg.nominal]
+    wide = [c for c in nominal if cardinality.get(c, 0) + 1 > cfg.max_bins]
+    if wide:
+        raise ValueError(f"more values than max_bins={cfg.max_bins} in {wide}: raise it, or take them out of ``nominal``")
     return nominal, [c for c in cats if c not in nominal]
 
 
-def _numeric_inputs(df: DataFrame, nums: list[str]) -> DataFrame:
-    return df.withColumns({f"_x_{f}": F.coalesce(F.col(f).cast("double"), F.lit(MISSING)) for f in nums})
+def nullable_inputs(nums: list[str], cfg: ForecastConfig) -> list[str]:
+    """Numeric inputs that can be missing in an eligible row: lags and means but those that
+    eligibility (D1) requires, and metadata percentages."""
+    required = {"dispense_lag_7", f"dispense_roll_mean_{cfg.roll_long}", *cfg.required_columns}
+    return [f for f in nums if (f.startswith("dispense_") or f.endswith("_pct")) and f not in required]
+
+
+def _numeric_inputs(df: DataFrame, nums: list[str], cfg: ForecastConfig) -> DataFrame:
+    values = {f"_x_{f}": F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in nums}
+    return df.withColumns(values | {f"_m_{f}": F.col(f).isNull().cast("double") for f in nullable_inputs(nums, cfg)})
+
+
+GROWTH = 50  # trees of the first stage; each further stage doubles them
+
+
+def boosted_trees(cfg: ForecastConfig) -> GBTRegressor:
+    """The default regressor (M1)."""
+    return GBTRegressor(maxIter=cfg.max_iter, stepSize=cfg.step_size, maxDepth=cfg.max_depth, maxBins=cfg.max_bins,
+                        minInstancesPerNode=cfg.min_instances_per_node, seed=cfg.seed, checkpointInterval=10)
+
+
+def fit_stopped(estimator, train: DataFrame, val: DataFrame | None, patience: int):
+    """(model, trees to use or None): without validation rows the whole fit (M4), else grown until
+    the patience rule stops (M3)."""
+    if not isinstance(estimator, GBTRegressor) or val is None:
+        model = estimator.fit(train)
+        return model, model.getNumTrees if isinstance(estimator, GBTRegressor) else None
+    most, n = estimator.getMaxIter(), GROWTH
+    while True:
+        n = min(n, most)
+        model = estimator.copy({estimator.maxIter: n}).fit(train)
+        errors = list(model.evaluateEachIteration(val, "squared"))
+        k = best_iteration(errors, patience)
+        if n == most or n - k >= patience:
+            return model, k
+        n *= 2
 
 
 def _stable(df: DataFrame) -> DataFrame:
@@ -161,48 +200,52 @@ def _stable(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
-def train_and_forecast(cleaned: DataFrame, cfg: ForecastConfig = V1) -> tuple[DataFrame, ForecastRun]:
+def horizon_runs(split: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    """M2, M4, M5 in one pass: for each horizon its train and validation rows, whether early stopping
+    applies and whether it is skipped (no training rows). ``split`` has ``is_val``."""
+    counts = split.agg(*[F.count_if(F.col(t).isNotNull() & (F.col("is_val") == v)).alias(f"{side}_{t}")
+                         for _, t, _ in cfg.horizons for side, v in (("train", False), ("val", True))])
+    rows = F.array(*[F.struct(F.lit(label).alias("horizon"), F.lit(t).alias("target"), F.col(f"train_{t}").alias("train_rows"),
+                              F.col(f"val_{t}").alias("val_rows")) for label, t, _ in cfg.horizons])
+    return counts.select(F.inline(rows)).withColumns({
+        "early_stopping": F.col("val_rows") > cfg.early_stop_min_val_rows, "skipped": F.col("train_rows") == 0})
+
+
+def train_and_forecast(cleaned: DataFrame, cfg: ForecastConfig = V1, estimator=None) -> tuple[DataFrame, ForecastRun]:
     """Train one model per horizon and score the latest row of every machine.
 
     Returns the wide frame (latest rows + one ``predicted_dispense_<label>`` column per
     trained horizon) and run diagnostics. Driver-side work is limited to a few scalars.
     """
     run = ForecastRun()
-    data = _stable(ensure_not_empty(cleaned))
+    data = ensure_not_empty(_stable(cleaned))
     max_date = data.agg(F.max("date")).first()[0]
     run.max_date = max_date
     run.split_date = max_date - dt.timedelta(days=cfg.val_days) if max_date else None
     data = data.withColumn("is_val", F.col("date") > F.date_sub(F.lit(max_date), cfg.val_days))
-    targets = [t for _, t, _ in cfg.horizons]
-    counts = data.groupBy("is_val").agg(F.count(F.lit(1)).alias("n"), *[F.count(t).alias(t) for t in targets])
-    by_side = {r["is_val"]: r for r in counts.collect()}  # at most two rows
-    run.cleaned_rows = sum(r["n"] for r in by_side.values())
-    # Tree growth runs a few jobs per level: size the training partitions by rows, not by
-    # the shuffle setting (a narrow coalesce, no shuffle).
-    try:
-        current = data.rdd.getNumPartitions()
-    except Exception:  # no RDD view in a remote session
-        current = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    train_parts = max(1, min(current, math.ceil(run.cleaned_rows / cfg.train_rows_per_partition)))
+    runs = [HorizonRun(r.horizon, r.target, r.train_rows, r.val_rows, r.early_stopping, skipped=r.skipped)
+            for r in horizon_runs(data, cfg).collect()]  # a row for each horizon
+    run.horizons = runs
+    run.cleaned_rows = data.count()
 
     cats = [c for c in cfg.features if c in CATEGORICAL]
     nums = [f for f in cfg.features if f not in cats]
-    trained = [t for _, t, _ in cfg.horizons if by_side.get(False) is not None and by_side[False][t]]
+    trained = [h.target for h in runs if not h.skipped]
     latest = cut_lineage(panel.latest_per_atm(data.drop("is_val")))
     if trained:
         train_side = data.where(~F.col("is_val"))
         tables, mu, cardinality = fit_target_encodings(train_side, cats, trained, cfg.encoding_smoothing,
                                                        cfg.broadcast_max_rows)
-        nominal, encoded = split_categoricals(cats, cardinality, cfg.max_bins)
+        nominal, encoded = split_categoricals(cats, cardinality, cfg)
         tables = {c: t for c, t in tables.items() if c in encoded}
 
         def encode(df: DataFrame) -> DataFrame:
             # joins against small tables over checkpointed inputs: cheap to repeat, deterministic
-            return _numeric_inputs(apply_target_encodings(df, tables, mu), nums)
+            return _numeric_inputs(apply_target_encodings(df, tables, mu), nums, cfg)
 
         data_x, latest_x = encode(data), encode(latest)
         if nominal:
-            # the label lists are bounded by max_bins (checked above)
+            # the label lists are bounded by max_bins (checked by split_categoricals)
             indexer = StringIndexer(inputCols=nominal, outputCols=[f"_idx_{c}" for c in nominal],
                                     handleInvalid="keep", stringOrderType="alphabetAsc").fit(train_side)
             data_x, latest_x = indexer.transform(data_x), indexer.transform(latest_x)
@@ -216,21 +259,15 @@ def train_and_forecast(cleaned: DataFrame, cfg: ForecastConfig = V1) -> tuple[Da
             part = data_x.where(side & F.col(target).isNotNull())
             return assembler.transform(part).select("_features", F.col(target).cast("double").alias("_label"))
 
-        tr_x = rows(False).coalesce(train_parts).persist()
-        gbt = GBTRegressor(featuresCol="_features", labelCol="_label", predictionCol="_pred",
-                           maxIter=cfg.max_iter, stepSize=cfg.step_size, maxDepth=cfg.max_depth,
-                           maxBins=cfg.max_bins, minInstancesPerNode=cfg.min_instances_per_node,
-                           seed=cfg.seed, checkpointInterval=10)
-        model = gbt.fit(tr_x)
-        k = model.getNumTrees
-        if h.val_rows > cfg.early_stop_min_val_rows:
-            h.early_stopping = True
-            errors = model.evaluateEachIteration(rows(True), "squared")
-            k = best_iteration(list(errors), cfg.patience)
-        h.trees = k
+        tr_x = rows(False).persist()
+        regressor = (estimator or boosted_trees(cfg)).copy()
+        regressor = regressor.setFeaturesCol("_features").setLabelCol("_label").setPredictionCol("_pred")
+        h.early_stopping = h.early_stopping and isinstance(regressor, GBTRegressor)
+        model, k = fit_stopped(regressor, tr_x, rows(True) if h.early_stopping else None, cfg.patience)
+        h.trees = k or 0
         tr_x.unpersist()
         latest_v = assembler.transform(latest_x)
-        if k < model.getNumTrees:
+        if k is not None and k < model.getNumTrees:
             pred = score_first_trees(model, latest_v, k)
         else:
             pred = model.transform(latest_v)
@@ -239,17 +276,10 @@ def train_and_forecast(cleaned: DataFrame, cfg: ForecastConfig = V1) -> tuple[Da
                              .alias(f"predicted_dispense_{h.label}"))
         return cut_lineage(scored)
 
-    todo = []
-    for label, target, _ in cfg.horizons:
-        h = HorizonRun(label, target, by_side[False][target] if False in by_side else 0,
-                       by_side[True][target] if True in by_side else 0)
-        run.horizons.append(h)
-        if h.train_rows == 0:
-            if not cfg.skip_empty_horizon:
-                raise ValueError(f"no training rows for {target}")
-            h.skipped = True  # M5: the horizon disappears from the output
-        else:
-            todo.append(h)
+    for h in runs:
+        if h.skipped and not cfg.skip_empty_horizon:
+            raise ValueError(f"no training rows for {h.target}")
+    todo = [h for h in runs if not h.skipped]  # M5: a skipped horizon disappears from the output
     # The horizons are independent fits on the same materialised data: submit them from
     # driver threads so their (small, many) jobs share the cluster instead of queueing.
     workers = max(1, min(len(todo), cfg.parallel_horizons))

@@ -10,9 +10,11 @@ pairs grow with the rows. Pairs whose sketches are clearly apart are left out, t
 confirmed on their full sets; the confirmed links give connected components.
 
 Stars alone could miss a link between two members that the centre is not linked with.
-So buckets that hold more than one component after the stars are looked at again: small ones
-pair the members of different components; larger ones are divided by further bands of the
-same sketches, again and again, until they are small or whole. No bucket is dropped or capped.
+So the documents of buckets that hold more than one component after that are looked at again:
+a prefix-filtered set join (rarest shingles first, with positional bounds) gives every pair of
+different components that could meet the limit. Copies of one text with many changes, or a
+passage that many documents share, thus cost a few rows a document instead of all their
+pairs. No bucket is dropped or capped.
 
 With 50 bands of 4 rows a pair at the limit (Jaccard 0.75) shares no band with probability
 about 6e-9.
@@ -20,8 +22,8 @@ about 6e-9.
 Defined results: null, empty and blank texts have an empty set and are linked with nothing;
 texts of fewer than five words have one shingle, the whole sequence. Repeated rows are returned
 each, with the same component. Ids are meant to be unique but for repeated rows: of different
-texts under one id any one is compared, and all classes they lead share its component. A null
-id is never linked, has no component and is not kept. An empty table gives an empty result; further columns are not read.
+texts under one id any one is compared, and all classes they lead share its component. A row without
+an id is never linked, has no component and is kept. An empty table gives an empty result; further columns are not read.
 """
 
 from __future__ import annotations
@@ -46,8 +48,6 @@ class NearDedup:
     bands: int = 50
     rows: int = 4
     floor: float = 0.5       # sketches that agree on fewer bins are not confirmed
-    small_bucket: int = 32   # buckets up to this size pair their components' members directly
-    refine_bands: int = 8    # bands that divide a larger bucket, at each level
     chunk: int = 64          # members confirmed against one copy of their centre's text
 
     @property
@@ -182,58 +182,106 @@ def confirm(pairs: DataFrame, docs: DataFrame, p: NearDedup) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
-def _label(reps: DataFrame, links: DataFrame) -> DataFrame:
-    """(row_id, component) of every representative."""
-    found = components(links)
-    return reps.select("row_id").join(found, F.col("row_id") == F.col("node"), "left").select(
-        "row_id", F.coalesce("component", "row_id").alias("component"))
+def _named(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """rows (row_id, ...) with their component so far; unlinked rows are their own."""
+    return rows.join(found, F.col("row_id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "row_id")).drop("node")
 
 
-def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, size, row_id, component) of the members of buckets that hold several components."""
-    seen = members.join(labels, "row_id")
+def _merged(found: DataFrame, new_links: DataFrame) -> DataFrame:
+    """(node, component) after further links: components of the components."""
+    ends = new_links.select("a", "b").join(found.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(
+        found.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left").select(
+        F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    higher = stored(components(ends).withColumnRenamed("component", "top"), "components")
+    moved = found.join(higher.select(F.col("node").alias("component"), "top"), "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    fresh = higher.select("node", F.col("top").alias("component")).join(found, "node", "left_anti")
+    return stored(moved.unionByName(fresh), "components")
+
+
+def _unsettled(members: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, row_id, component) in the buckets of three or more that hold several components; pairs have been tried."""
+    seen = _named(members.select("key", "row_id"), found)
     mixed = (seen.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .where("lo <> hi").select("key", "size"))
-    return seen.join(mixed, "key")
+             .where("size > 2 and lo <> hi").select("key"))
+    return stored(seen.join(mixed, "key"), "unsettled")
+
 
+def _prefix_pairs(unsettled: DataFrame, docs: DataFrame, p: NearDedup) -> DataFrame:
+    """Every pair of unsettled documents of different components that could still be linked.
 
-def links(reps: DataFrame, docs: DataFrame, p: NearDedup) -> DataFrame:
-    """Confirmed links between representatives (row_id, n_shingles, bands, sketch)."""
+    Shingles are ordered by rarity among these documents; two sets that meet the limit share
+    a shingle of their necessary prefixes, at places that leave room for the overlap they need.
+    """
+    ids = unsettled.select("row_id", "component").distinct()
+    wanted = ids.select(F.col("row_id").alias("wanted_id"), "component")
+    texts = docs.join(F.broadcast(wanted) if small_enough(wanted) else wanted, F.col("row_id") == F.col("wanted_id"))
+    schema = T.StructType([T.StructField("row_id", ids.schema["row_id"].dataType), T.StructField("component", ids.schema["row_id"].dataType),
+                           T.StructField("shingles", T.ArrayType(T.LongType()))])
+
+    def work(batch: pa.RecordBatch):
+        yield {"row_id": batch.column("row_id"), "component": batch.column("component"),
+               "shingles": [h.view(np.int64) for h in shingle_sets(batch.column("text"), p.shingle_words)]}
+
+    sets = stored(map_arrow(texts.select("row_id", "component", "text"), work, schema), "sets")
+    shingles = sets.select("row_id", F.explode("shingles").alias("shingle"))
+    shared = shingles.groupBy("shingle").agg(F.count("*").alias("docs")).where("docs > 1")
+    # shingles of one document only come first and match nothing, so their number is enough
+    common = shingles.join(shared, "shingle").groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("docs", "shingle"))).alias("common"))
+    n = F.size("shingles")
+    length = n - F.ceil(n * p.link_pct / 100) + 1
+    alone = n - F.size("common")
+    prefix = sets.join(common, "row_id").select("row_id", "component", n.alias("n"), alone.alias("alone"), length.alias("length"), "common").where("alone < length").select(
+        "row_id", "component", "n", "alone", F.posexplode(F.expr("slice(common, 1, cast(length - alone as int))")).alias("i", "x"))
+    prefix = stored(prefix.select("row_id", "component", "n", (F.col("alone") + F.col("i")).alias("pos"), F.col("x.shingle").alias("shingle")), "prefixes")
+    mixed = prefix.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("shingle")
+    prefix = stored(prefix.join(mixed, "shingle", "left_semi"), "prefixes")
+    x, y = prefix.alias("x"), prefix.alias("y")
+    need = F.ceil(p.link_pct * (F.col("x.n") + F.col("y.n")) / (100 + p.link_pct))
+    room = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+    on = ((F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.row_id") < F.col("y.row_id")) & (F.col("x.component") != F.col("y.component")) & (room >= need)
+          & (100 * F.least("x.n", "y.n") >= p.link_pct * F.greatest("x.n", "y.n")))
+    return x.join(y, on).select(F.col("x.row_id").alias("a"), F.col("y.row_id").alias("b")).distinct()
+
+
+def linked_components(reps: DataFrame, docs: DataFrame, p: NearDedup) -> DataFrame:
+    """(node, component) of the linked representatives (row_id, n_shingles, bands, sketch)."""
     rows = reps.select("row_id", F.posexplode("bands").alias("band", "hash")).select(
         F.xxhash64("band", "hash").alias("key"), "row_id")
     centres = rows.groupBy("key").agg(F.min("row_id").alias("centre"), F.max("row_id").alias("other")).where("centre <> other")
     members = stored(rows.join(centres.select("key", "centre"), "key"), "members")
     stars = members.where("row_id <> centre").select(F.col("centre").alias("a"), F.col("row_id").alias("b")).distinct()
     tried = stored(_alike(stars, reps, p), "stars")
-    linked = stored(confirm(tried, docs, p), "links")
-    labels = stored(_label(reps, linked), "labels")
-    members, level = stored(_unsettled(members.select("key", "row_id"), labels), "unsettled"), 0
-    while not members.isEmpty():
-        divisible = level * p.refine_bands < p.bands  # else every band has been used: sketches are all but equal
-        large = F.col("size") > p.small_bucket if divisible else F.lit(False)
-        small = members.where(~large).select("key", "row_id", "component")
-        pairs = small.alias("x").join(small.alias("y"), "key").where("x.row_id < y.row_id and x.component <> y.component").select(
-            F.col("x.row_id").alias("a"), F.col("y.row_id").alias("b")).distinct()
-        more = stored(confirm(stored(_alike(pairs.join(tried, ["a", "b"], "left_anti"), reps, p), "residue"), docs, p), "links")
-        linked = linked.unionByName(more)
-        large = members.where(large).select("key", "row_id")
-        if large.isEmpty():
-            break
-        first = 1 + level * p.refine_bands % p.bands
-        cut = (large.join(reps.select("row_id", "bands"), "row_id")
-               .select("key", "row_id", F.posexplode(F.slice(F.concat("bands", "bands"), first, p.refine_bands)).alias("band", "hash"))
-               .select(F.xxhash64("key", "band", "hash").alias("key"), "row_id"))
-        labels = stored(_label(reps, linked), "labels")
-        members, level = stored(_unsettled(stored(cut, "cut"), labels), "unsettled"), level + 1
-    return linked
+    found = stored(components(stored(confirm(tried, docs, p), "links")), "components")
+    unsettled = _unsettled(members, found)
+    if not unsettled.isEmpty():
+        pairs = _untried(_prefix_pairs(unsettled, docs, p), tried, reps, p)
+        found = _merged(found, stored(confirm(pairs, docs, p), "links"))
+    return found
+
+
+def _untried(pairs: DataFrame, tried: DataFrame, reps: DataFrame, p: NearDedup) -> DataFrame:
+    """Pairs not yet confirmed or refused, either way round, that their sketches allow."""
+    both = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return stored(_alike(pairs.join(both, ["a", "b"], "left_anti"), reps, p), "pairs")
 
 
 def keep_first(docs: DataFrame, p: NearDedup = NearDedup(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of every group, with the columns it came with (repeated rows stay repeated)."""
-    kept = near_duplicates(docs, p, id_col, text_col).where("kept").select(F.col(id_col).alias("kept_id")).distinct()
+    """One document of every group, with the columns it came with; of rows with one id, one. Rows without an id stay."""
+    judged = stored(near_duplicates(docs, p, id_col, text_col), "judged")
+    kept = judged.where(F.col("kept") & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("kept_id")).agg(F.count("*").alias("rows"))
     kept = stored(kept, "kept")
-    kept = F.broadcast(kept) if small_enough(kept) else kept
-    return docs.join(kept, F.col(id_col) == F.col("kept_id"), "left_semi")
+    dropped = judged.where(~F.col("kept")).select(F.col(id_col).alias("kept_id")).distinct()
+    out = docs.join(_hinted(dropped), docs[id_col] == dropped["kept_id"], "left_anti")
+    again = kept.where("rows > 1").select("kept_id")
+    if again.isEmpty():
+        return out
+    again = _hinted(again)
+    return out.join(again, out[id_col] == again["kept_id"], "left_anti").unionByName(
+        out.join(again, out[id_col] == again["kept_id"], "left_semi").dropDuplicates([id_col]))
+
+
+def _hinted(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if small_enough(df) else df
 
 
 def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,9 +293,9 @@ def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup(), id_col: str = "
                       (F.col("set_key") == F.col("rep_key")) & (F.col("row_id") == F.col("rep")), "left_semi")
     reps = stored(reps.dropDuplicates(["row_id"]).drop("set_key"), "reps")
     texts = narrow(docs, row_id=id_col, text=text_col)
-    labels = _label(reps, links(reps, texts, p))
+    labels = _named(reps.select("row_id"), linked_components(reps, texts, p))
     classes = classes.join(labels, F.col("rep") == F.col("row_id")).select(F.col("set_key").alias("class_key"), "component")
     out = made.select("row_id", "n_shingles", "set_key").join(classes, F.col("set_key") == F.col("class_key"), "left")
-    component = F.coalesce("component", "row_id")
+    component = F.when(F.col("row_id").isNotNull(), F.coalesce("component", "row_id"))
     return out.select(F.col("row_id").alias(id_col), "n_shingles", component.alias("component_id"),
-                      F.coalesce(F.col("row_id") == component, F.lit(False)).alias("kept"))
+                      F.col("row_id").eqNullSafe(component).alias("kept"))

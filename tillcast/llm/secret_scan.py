@@ -277,7 +277,7 @@ def silver_windows(docs: DataFrame, p: SecretScan) -> tuple[np.ndarray, np.ndarr
     does not depend on the layout.
     """
     schema = T.StructType([T.StructField("hit", T.BooleanType()), T.StructField("rank", T.LongType()),
-                           T.StructField("feats", T.ArrayType(T.IntegerType())), T.StructField("tags", T.ArrayType(T.IntegerType()))])
+                           T.StructField("feats", T.BinaryType()), T.StructField("tags", T.BinaryType())])
 
     def work(batch: pa.RecordBatch):
         best: dict[bool, list] = {True: [], False: []}
@@ -304,7 +304,7 @@ def silver_windows(docs: DataFrame, p: SecretScan) -> tuple[np.ndarray, np.ndarr
                 middle = int(np.flatnonzero(tags)[0]) if spans else int(key[i] >> tb.U64(8)) % n
                 x = min(max(0, middle - p.window // 2), max(0, n - p.window))
                 feats = features(own, whole, starts, ends, first, p.bits)[x:x + p.window]
-                best[bool(spans)].append((int(key[i]), feats.ravel(), tags[x:x + p.window]))
+                best[bool(spans)].append((int(key[i]), feats.astype(np.int32).tobytes(), tags[x:x + p.window].tobytes()))
         rows = [(h, *r) for h in best for r in sorted(best[h], key=lambda r: r[0])[:p.train_windows]]
         yield {"hit": [r[0] for r in rows], "rank": [r[1] for r in rows], "feats": [r[2] for r in rows], "tags": [r[3] for r in rows]}
 
@@ -323,7 +323,8 @@ def _pad(feats: list, tags: list, p: SecretScan) -> tuple[np.ndarray, np.ndarray
     x = np.zeros((len(feats), p.window, N_FEATURES), dtype=np.int64)
     y = np.full((len(feats), p.window), -1, dtype=np.int64)
     for i, (f, t) in enumerate(zip(feats, tags)):
-        x[i, :len(t)] = np.asarray(f, dtype=np.int64).reshape(-1, N_FEATURES)
+        t = np.frombuffer(t, dtype=np.int32)
+        x[i, :len(t)] = np.frombuffer(f, dtype=np.int32).reshape(-1, N_FEATURES)
         y[i, :len(t)] = t
     return x, y
 

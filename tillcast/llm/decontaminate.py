@@ -136,20 +136,28 @@ def candidates(docs: DataFrame, table: bytes, sizes: list[int], p: Decontaminati
 
     def work(batch: pa.RecordBatch):
         cells = np.frombuffer(shared.value, dtype=tb.U64)
-        n_words = np.zeros(batch.num_rows, dtype=np.int64)
-        hits: list[list[dict]] = [[] for _ in range(batch.num_rows)]
         for lo, hi, words, first in _words(batch.column("text")):
-            n_words[lo:hi] = np.diff(first)
             row = np.repeat(np.arange(hi - lo), np.diff(first))
-            signed = words.view(np.int64)
+            at, shingles, ends = [], [], []
             for k in sizes:
                 grams = tb.gram_hashes(words, k)
-                at = np.flatnonzero(_screened(grams, cells, p.table_bits))
-                at = at[row[at] == row[at + k - 1]]
-                for j, r, g in zip(at.tolist(), row[at].tolist(), grams[at].view(np.int64).tolist()):
-                    a, b = max(int(first[r]), j - p.window + k), min(int(first[r + 1]), j + p.window)
-                    hits[lo + r].append({"shingle": g, "pos": j - int(first[r]), "first": a - int(first[r]), "around": signed[a:b]})
-        yield {"row_id": batch.column("row_id"), "n_words": n_words, "found": hits}
+                j = np.flatnonzero(_screened(grams, cells, p.table_bits))
+                j = j[row[j] == row[j + k - 1]]
+                at.append(j)
+                shingles.append(grams[j].view(np.int64))
+                ends.append(j + k)
+            at, shingles, ends = (np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (at, shingles, ends))
+            order = np.argsort(at, kind="stable")
+            at, shingles, ends = at[order], shingles[order], ends[order]
+            start = first[row[at]] if len(at) else at
+            a, b = np.maximum(start, ends - p.window), np.minimum(first[row[at] + 1] if len(at) else at, at + p.window)
+            size = b - a
+            cut = np.r_[0, np.cumsum(size)]
+            around = words.view(np.int64)[np.arange(cut[-1]) + np.repeat(a - cut[:-1], size)]
+            hits = pa.StructArray.from_arrays([pa.array(shingles), pa.array((at - start).astype(np.int32)), pa.array((a - start).astype(np.int32)),
+                                               pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(around))], names=found.names)
+            per_row = np.searchsorted(at, first) if len(at) else np.zeros(hi - lo + 1, np.int64)
+            yield {"row_id": batch.column("row_id").slice(lo, hi - lo), "n_words": np.diff(first), "found": pa.ListArray.from_arrays(pa.array(per_row.astype(np.int32)), hits)}
 
     return map_arrow(docs.select("row_id", "text"), work, schema)
 
@@ -198,4 +206,4 @@ def keep_clean(docs: DataFrame, items: DataFrame, p: Decontamination = Decontami
     the verdict of the worst; those without an id stay."""
     bad = stored(contamination(docs, items, p, id_col, text_col).where("contaminated").select(F.col(id_col).alias("bad_id")).distinct(), "contaminated")
     bad = F.broadcast(bad) if small_enough(bad) else bad
-    return docs.join(bad, F.col(id_col) == F.col("bad_id"), "left_anti")
+    return docs.join(bad, docs[id_col] == bad["bad_id"], "left_anti")

@@ -1,7 +1,8 @@
 """Sharding by proportional stratified interleaving, in DataFrame functions.
 
 The rows of each source are shuffled by a seeded hash and ranked; a row's fractional rank is
-(rank + 1/2) / rows of its source; all rows sorted by fractional rank mix the sources
+(rank + phase) / rows of its source, the phase a fixed number of the source between 0 and 1 that
+keeps sources of equal size out of step; all rows sorted by fractional rank mix the sources
 evenly, and equal cuts of that order are the shards, so every shard has the sources in the
 proportions of the whole (law ``rows``: shards differ by one row at most).
 
@@ -41,8 +42,9 @@ def interleave(docs: DataFrame, shards: int = 24, seed: int = 1, id_col: str = "
                                   F.sum("n").over(W.partitionBy("stratum")).alias("in_stratum")), "strata")
     place = F.row_number().over(W.partitionBy("stratum", "slice").orderBy("shuffle", "row_id", "text_crc32", "size"))
     ranked = rows.withColumn("place", place).join(before, ["stratum", "slice"])
-    ranked = ranked.withColumn("fraction", (F.col("before") + F.col("place") - F.lit(0.5)) / F.col("in_stratum"))
-    ranked = stored(ranked.withColumn("cut", F.floor(F.col("fraction") * (1 << slice_bits))).select(
+    phase = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "stratum"), 12) / F.lit(float(1 << 52))
+    ranked = ranked.withColumn("fraction", (F.col("before") + F.col("place") - 1 + phase) / F.col("in_stratum"))
+    ranked = stored(ranked.withColumn("cut", F.least(F.floor(F.col("fraction") * (1 << slice_bits)), F.lit((1 << slice_bits) - 1))).select(
         "row_id", "source", "stratum", "size", "text_crc32", "fraction", "cut"), "ranked")
 
     cuts = ranked.groupBy("cut").agg(F.count("*").alias("n"))  # 2**slice_bits rows at most, whatever the input

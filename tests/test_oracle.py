@@ -24,4 +24,5 @@ def test_query_matches_oracle(spark, con, key):
 
 def test_every_query_has_oracle_or_is_model():
     missing = set(entry.queries()) - set(ORACLES)
-    assert missing == {"forecast_gbt", "forecast_report"}
+    optional = {q for q in missing if q == "pipeline" or q.startswith("op")}  # have tests of their own
+    assert missing - optional == {"forecast_gbt", "forecast_report"}

@@ -81,7 +81,7 @@ def main(argv: list[str]) -> int:
 
     sf = argv[0] if argv else "/root/testdata/sf0.01"
     keys = argv[1:]
-    spark = build_session("local[8]")
+    spark = build_session("local[8]", shuffle_partitions=8)
     con = duck(sf)
     qs, oracles = entry.queries(), entry.oracle_sql()
     failures = 0

@@ -1,15 +1,18 @@
 """The driver contract of __spark_entry__.py."""
 
 import __spark_entry__ as entry
+from tillcast.config import HORIZONS, V1
+from tillcast.plans import catalog
 
 
 def test_entry_runs_flagship_on_smallest_scale(spark):
     df = entry.entry(spark)
-    assert df.columns == ["horizon", "atm_id", "reference_date", "is_salary_period", "is_long_weekend",
-                          "holiday_name", "predicted_dispense_amount", "forecast_date", "forecast_for_date", "sheet"]
-    rows = df.collect()
-    assert len(rows) > 0
-    assert {r.horizon for r in rows} <= {"Next_Day", "Next_3_Days", "Next_Week"}
+    assert df.columns == ["date", *V1.features, *[t for _, t, _ in HORIZONS]]
+    assert df.count() > 0
+
+
+def test_model_queries_train_all_rounds():
+    assert catalog.MODEL_CFG.max_iter == 400
 
 
 def test_queries_and_oracles_line_up():

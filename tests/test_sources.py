@@ -60,3 +60,38 @@ def test_sheet_names_overflow_and_sink(spark, tmp_path):
     write_report(sheet_names(rep, V1, max_rows=10), out, max_rows_per_file=10)
     back = spark.read.parquet(out)
     assert back.count() == 25 and back.select("sheet").distinct().count() == 3
+
+
+def test_ingest_job_stacks_csv_parts_by_name(spark, tmp_path, capsys):
+    from pyspark.sql import functions as F
+
+    from tillcast.plans import ingest
+    from tillcast.sources import testviews as tv
+    from tests.conftest import SF_SMALL
+
+    tx = tv.tx_dense(spark, SF_SMALL)
+    a, b, hol, meta, out = (str(tmp_path / x) for x in ("a", "b", "hol", "meta", "out"))
+    first = F.col("atm_id") < "ATM_2"
+    tx.where(first).select("date", "dispense", "atm_id").write.csv(a, header=True)
+    tx.where(~first).select("state", "atm_id", "date", "dispense").write.csv(b, header=True)
+    days = tv.holidays_for(tx)
+    days.unionByName(days).write.csv(hol, header=True)
+    tv.metadata(spark, SF_SMALL).write.csv(meta, header=True)
+    ingest.main(["--out", out, "--transactions", a, b, "--holidays", hol, "--metadata", meta])
+    assert f"2 parts, {tx.count()} rows" in capsys.readouterr().out
+    back = spark.read.parquet(out + "/transactions").selectExpr("atm_id", "cast(date as date) as date", "cast(dispense as bigint) as dispense")
+    want = tx.selectExpr("atm_id", "date", "cast(dispense as bigint) as dispense")
+    assert back.exceptAll(want).count() == 0 and want.exceptAll(back).count() == 0
+    assert spark.read.parquet(out + "/holiday_master").count() == days.distinct().count()
+    assert spark.read.parquet(out + "/atm_metadata").count() == tv.metadata(spark, SF_SMALL).count()
+
+
+def test_held_tables_are_released(spark):
+    from tillcast.operators import joins
+
+    joins.release()
+    small, ok = joins.checked_broadcast(spark.range(5), 10)
+    big, no = joins.checked_broadcast(spark.range(50), 10)
+    assert ok and not no and len(joins._HELD) == 1 and not big.storageLevel.useMemory
+    joins.release()
+    assert not joins._HELD and small.count() == 5

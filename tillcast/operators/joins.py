@@ -27,18 +27,36 @@ def estimated_row_bytes(schema: T.StructType) -> int:
     return width
 
 
+_HELD: list[DataFrame] = []
+
+
+def hold(df: DataFrame) -> DataFrame:
+    """Cache a small table that one plan reads several times, until ``release``."""
+    df = df.persist()
+    _HELD.append(df)
+    return df
+
+
+def release() -> None:
+    """Drop every held table; a plan that still needs one computes it again."""
+    while _HELD:
+        _HELD.pop().unpersist()
+
+
 def checked_broadcast(dim: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
     """Broadcast ``dim`` only when its counted size is proven small: at most ``max_rows``
     rows and at most ``max_bytes`` by a conservative per-row width.
 
-    The dimension is cached first so the count and the join read it once; a cached
-    block lost with an executor is recomputed from lineage. Above the caps the caller
-    gets the plain DataFrame back and Spark shuffles both sides.
+    The dimension is held first so the count and the join read it once; a cached
+    block lost with an executor is recomputed from lineage. Above the caps nothing stays
+    cached: the caller gets the plain DataFrame back and Spark shuffles both sides.
     """
-    dim = dim.persist()
-    n = dim.count()
+    held = hold(dim)
+    n = held.count()
     if n <= max_rows and n * estimated_row_bytes(dim.schema) <= max_bytes:
-        return F.broadcast(dim), True
+        return F.broadcast(held), True
+    held.unpersist()
+    _HELD.remove(held)
     return dim, False
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tillcast.config import ForecastConfig
 from tillcast.functions.calendar import compound_columns, flag
 from tillcast.functions.numeric import exact_mean
-from tillcast.operators.joins import checked_broadcast
+from tillcast.operators.joins import checked_broadcast, hold
 
 ENTITY = "atm_id"
 # Order inside a machine: date with undated rows last, then a tie-break for duplicate
@@ -43,9 +43,9 @@ def order_struct(df: DataFrame) -> Column:
 
 def machine_stats(df: DataFrame) -> DataFrame:
     """One row per machine: rows and total dispense (missing skipped), from one partial
-    aggregation over the input. Cached: the skew check and A1 both read it."""
-    return (df.where(F.col(ENTITY).isNotNull()).groupBy(ENTITY)
-            .agg(F.count(F.lit(1)).alias("_n"), F.sum("dispense").alias("_total")).persist())
+    aggregation over the input. Held: the skew check and A1 both read it."""
+    return hold(df.where(F.col(ENTITY).isNotNull()).groupBy(ENTITY)
+                .agg(F.count(F.lit(1)).alias("_n"), F.sum("dispense").alias("_total")))
 
 
 def drop_inactive(df: DataFrame, broadcast_max_rows: int = 2_000_000, stats: DataFrame | None = None) -> DataFrame:
@@ -137,7 +137,7 @@ def hot_machines(stats: DataFrame, cfg: ForecastConfig) -> DataFrame:
     return stats.where(F.col("_n") > cfg.hot_key_min_rows).select(F.col(ENTITY).alias("_h_atm"))
 
 
-def off_day_blocks(df: DataFrame, cfg: ForecastConfig | None = None) -> DataFrame:
+def off_day_blocks(df: DataFrame, cfg: ForecastConfig | None = None) -> DataFrame:  # noqa: ARG001 - same form as the chunked plan
     """W2/W3 exposed for inspection: off flag, block id and block length per row."""
     w = entity_window(df)
     off = flag((F.col("is_weekend") == 1) | (F.col("is_holiday") == 1))

@@ -37,7 +37,7 @@ from tillcast.config import CATEGORICAL, ForecastConfig, V1
 from tillcast.functions.numeric import postprocess_prediction
 from tillcast.operators import panel
 from tillcast.operators.dataset import ensure_not_empty
-from tillcast.operators.joins import bounded_broadcast
+from tillcast.operators.joins import bounded_broadcast, hold
 from tillcast.session import cut_lineage
 
 @dataclass
@@ -85,7 +85,7 @@ def fit_target_encodings(train: DataFrame, cols: list[str], targets: list[str],
     for t in targets:
         aggs += [F.sum(t).alias(f"_s_{t}"), F.count(t).alias(f"_n_{t}")]
     stats = train.groupingSets([[c] for c in cols] + [[]], *cols).agg(*aggs, F.grouping_id().alias("_gid"))
-    stats = stats.persist()
+    stats = hold(stats)
     # one small job: the grand total and the size of every column's table
     sizes = {r["_gid"]: r["_rows"] for r in stats.groupBy("_gid").agg(F.count(F.lit(1)).alias("_rows")).collect()}
     total = stats.where(F.col("_gid") == (1 << n) - 1).first()

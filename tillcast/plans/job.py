@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tillcast.config import ForecastConfig, preset
 from tillcast.functions.coerce import to_date_lenient, to_number
+from tillcast.operators.joins import release
 from tillcast.operators.report import report_long, sheet_names
 from tillcast.plans.features import feature_dataset
 from tillcast.plans.forecast import ForecastRun, train_and_forecast
@@ -58,6 +59,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> ForecastRun:
         for path in (args.holidays, args.calendar, args.metadata))
     report, result = forecast_report(tx, cfg, holidays, calendar, metadata)
     write_report(report, args.out, args.format, cfg.max_rows_per_sheet)
+    release()
     return result
 
 

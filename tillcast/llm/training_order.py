@@ -2,11 +2,13 @@
 
 Texts become token sequences of a fixed length (here the vocabulary of UTF-8 bytes: the ids of
 a text are its bytes, 255 ends a document and 254 pads, both of which UTF-8 never uses; token
-tables of a wider vocabulary go through ``write_order`` directly). The sequences are numbered
+tables of a wider vocabulary go through ``blocks`` and ``write_order``). The sequences are numbered
 0 to N - 1 and a keyed Feistel permutation of the smallest even number of bits, walked until
 it falls below N, gives each its global slot, so the order is a function of the key alone
-and can be inverted. Every shard is a range of slots: its task sorts them and writes
-one file of fixed-stride records, so a slot is found by arithmetic and a reader resumes anywhere.
+and can be inverted. Every shard is a range of slots and one file of fixed-stride records, so a
+slot is found by arithmetic and a reader resumes anywhere. Records travel in compressed blocks, one
+for each shard and Arrow batch; the shard's task puts them in their places and writes the file. It
+holds one shard (``shard_records`` records, 34 MB by default), whatever the input.
 
 A record is a header (doc_id int64, sequence int32, tokens int32) and the padded ids.
 
@@ -83,8 +85,26 @@ def record_type(length: int, kind: str) -> np.dtype:
     return np.dtype([("doc_id", "<i8"), ("sequence", "<i4"), ("n_tokens", "<i4"), ("ids", kind, (length,))])
 
 
+BLOCK = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("places", T.BinaryType()), T.StructField("records", T.BinaryType())])
+
+
+def blocks(slots: np.ndarray, records: np.ndarray, shard_records: int) -> pa.RecordBatch:
+    """A row for each shard that the slots fall into: the places in it and the compressed records."""
+    import zstandard
+
+    pack = zstandard.ZstdCompressor(level=3).compress
+    order = np.argsort(slots, kind="stable")
+    slots, records = slots[order], records[order]
+    shard = slots // shard_records
+    at = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]) if len(slots) else slots
+    ends = np.r_[at[1:], len(slots)] if len(slots) else at
+    return pa.RecordBatch.from_arrays([pa.array(shard[at].astype(np.int32)),
+                                       pa.array([(slots[a:b] % shard_records).astype("<u4").tobytes() for a, b in zip(at, ends)], pa.binary()),
+                                       pa.array([pack(records[a:b].tobytes()) for a, b in zip(at, ends)], pa.binary())], schema=_arrow(BLOCK))
+
+
 def byte_sequences(docs: DataFrame, length: int, key: int, shard_records: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int]:
-    """(shard, slot, record) of every sequence, and their number."""
+    """Blocks of all sequences, and the number of sequences."""
     rows = narrow(docs, row_id=id_col, text=text_col)
     needed = F.floor((F.coalesce(F.octet_length("text"), F.lit(0)) + length) / length).cast("long")
     per_part = {r[0]: r[1] for r in rows.select(F.spark_partition_id().alias("part"), needed.alias("n")).groupBy("part").agg(F.sum("n")).collect()}
@@ -93,7 +113,6 @@ def byte_sequences(docs: DataFrame, length: int, key: int, shard_records: int, i
         starts[part], total = total, total + per_part[part]
     order, kind = Feistel(total, key), record_type(length, "u1")
     shared = docs.sparkSession.sparkContext.broadcast((starts, per_part))  # two numbers for each input partition
-    schema = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType()), T.StructField("record", T.BinaryType())])
 
     def run(batches):
         from pyspark import TaskContext
@@ -101,6 +120,7 @@ def byte_sequences(docs: DataFrame, length: int, key: int, shard_records: int, i
         part = TaskContext.get().partitionId()
         start, left = shared.value[0].get(part, 0), shared.value[1].get(part, 0)
         for batch in batches:
+            made, places = [], []
             ids = np.array([NO_ID if x is None else x for x in batch.column("row_id").to_pylist()], dtype=np.int64)
             for lo, hi, data, off in tb.slices(batch.column("text")):
                 sizes = np.diff(off)
@@ -118,49 +138,50 @@ def byte_sequences(docs: DataFrame, length: int, key: int, shard_records: int, i
                 left -= m
                 if left < 0:
                     raise RuntimeError("the input's partitions changed between two passes")
-                slots = order.slots(np.arange(start, start + m))
+                places.append(order.slots(np.arange(start, start + m)))
+                made.append(out)
                 start += m
-                records = pa.Array.from_buffers(pa.binary(), m, [None, pa.py_buffer((np.arange(m + 1) * kind.itemsize).astype(np.int32)), pa.py_buffer(out.tobytes())])
-                yield pa.RecordBatch.from_arrays([pa.array((slots // shard_records).astype(np.int32)), pa.array(slots), records], names=["shard", "slot", "record"])
+            yield blocks(np.concatenate(places), np.concatenate(made), shard_records)
         if left:
             raise RuntimeError("the input's partitions changed between two passes")
 
-    return rows.mapInArrow(run, schema), total
+    return rows.mapInArrow(run, BLOCK), total
 
 
 def write_order(sequences: DataFrame, total: int, path: str, length: int, shard_records: int, kind: str = "u1") -> DataFrame:
-    """Writes (shard, slot, record) as shard files; returns shard, records, bytes once they are written."""
-    stride, shards = record_type(length, kind).itemsize, -(-total // shard_records)
+    """Writes blocks as shard files; returns shard, records, bytes once they are written."""
+    record, shards = record_type(length, kind), -(-total // shard_records)
     schema = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("records", T.LongType()), T.StructField("bytes", T.LongType())])
 
     def run(batches):
-        store, root = file_system(path)
-        out, shard, n, temporary = None, None, 0, None
+        import zstandard
+
+        unpack, whole, shard = zstandard.ZstdDecompressor().decompress, None, None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            if out is None:
-                shard = batch.column("shard")[0].as_py()
-                store.create_dir(root, recursive=True)
-                temporary = f"{root}/.{shard}-{uuid.uuid4().hex}"
-                out = store.open_output_stream(temporary, compression=None)
-            slots = batch.column("slot").to_numpy()
-            if batch.column("shard")[batch.num_rows - 1].as_py() != shard or (slots != shard * shard_records + n + np.arange(len(slots))).any():
-                raise RuntimeError("a shard's slots are not whole")
-            recs = batch.column("record")
-            ends = np.frombuffer(recs.buffers()[1], dtype=np.int32)[recs.offset:recs.offset + len(recs) + 1]
-            out.write(recs.buffers()[2].slice(int(ends[0]), int(ends[-1] - ends[0])))  # they lie one behind the other
-            n += batch.num_rows
-        if out is not None:
-            out.close()
-            if n != min(shard_records, total - shard * shard_records):
+            for own, places, packed in zip(*(batch.column(c).to_pylist() for c in ("shard", "places", "records"))):
+                if whole is None:
+                    shard = own
+                    whole = np.zeros(min(shard_records, total - shard * shard_records), dtype=record)
+                    filled = np.zeros(len(whole), dtype=np.int64)
+                at = np.frombuffer(places, dtype="<u4")
+                whole[at] = np.frombuffer(unpack(packed), dtype=record)
+                np.add.at(filled, at, 1)
+                if own != shard:
+                    raise RuntimeError("two shards in one partition")
+        if whole is not None:
+            if (filled != 1).any():
                 raise RuntimeError("a shard's slots are not whole")
+            store, root = file_system(path)
+            store.create_dir(root, recursive=True)
+            temporary = f"{root}/.{shard}-{uuid.uuid4().hex}"
+            with store.open_output_stream(temporary, compression=None) as out:
+                out.write(whole)
             store.move(temporary, f"{root}/shard-{shard:06d}.bin")
-            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([n], pa.int64()), pa.array([n * stride], pa.int64())], schema=_arrow(schema))
+            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([len(whole)], pa.int64()), pa.array([whole.nbytes], pa.int64())], schema=_arrow(schema))
 
     store, root = file_system(path)
     store.create_dir(root, recursive=True)
-    written = sequences.repartitionById(max(shards, 1), F.col("shard")).sortWithinPartitions("slot").mapInArrow(run, schema)
+    written = sequences.repartitionById(max(shards, 1), F.col("shard")).mapInArrow(run, schema)
     rows = written.collect()  # a row for each shard
     with store.open_output_stream(f"{root}/{LAYOUT}") as f:
         f.write(json.dumps({"total": total, "length": length, "kind": kind, "shard_records": shard_records, "shards": shards}).encode())

@@ -16,8 +16,10 @@ different components that could meet the limit. Copies of one text with many cha
 passage that many documents share, thus cost a few rows a document instead of all their
 pairs. No bucket is dropped or capped.
 
-With 50 bands of 4 rows a pair at the limit (Jaccard 0.75) shares no band with probability
-about 6e-9.
+With 50 bands of 4 rows a pair at the limit (Jaccard 0.75) shares no band with probability about
+6e-9 if bins are independent; bins of small sets are not (many are copies). Simulated at the limit,
+6,000 pairs each of unions of 4, 8, 12, 20, 40, 80, 200 and 600 shingles: none missed, none below
+``floor`` (so under about 0.05% of such pairs at each size, at 95%).
 
 Defined results: null, empty and blank texts have an empty set and are linked with nothing;
 texts of fewer than five words have one shingle, the whole sequence. Repeated rows are returned

@@ -33,8 +33,8 @@ SPACE = "▁"
 #: Candidate cuts, finest first; a model uses the first that never divides one of its pieces.
 LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 CUTS = (rf"{SPACE}*[{LATIN}]+|{SPACE}*[^{LATIN}{SPACE}]+|{SPACE}+", rf"{SPACE}*[^{SPACE}]+|{SPACE}+", r"(?s:.+)")
-CACHED_CHUNKS, CACHED_CHARS = 300_000, 24
-CACHED_PAIRS = 400_000
+CACHED_CHUNKS, CACHED_CHARS = 120_000, 24
+CACHED_PAIRS = 120_000
 
 
 class PieceCodec:

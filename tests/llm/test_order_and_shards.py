@@ -51,6 +51,48 @@ def test_order_holds_every_text_once(spark, tmp_path):
         assert (tmp_path / "o" / name).read_bytes() == (tmp_path / "again" / name).read_bytes()
 
 
+def test_order_holds_the_tokens_of_every_text(spark, tmp_path):
+    import sentencepiece
+
+    from tillcast.llm import piece_codec
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").repartition(5, "doc_id").unionByName(
+        spark.createDataFrame([(10**6, None), (10**6 + 1, ""), (10**6 + 1, ""), (None, "x" * 64), (-5, "é日 " * 30_000)], "doc_id long, text string"))
+    path = str(tmp_path / "o")
+    shards = to.materialise_tokens(docs, path, length=64, shard_records=500).collect()
+    lib = sentencepiece.SentencePieceProcessor(model_file=piece_codec.default_model())
+    end, pad = lib.get_piece_size(), lib.get_piece_size() + 1
+    plan = to.layout(path)
+    assert plan["kind"] == "<u2" and sum(s.records for s in shards) == plan["total"]
+    recs = np.concatenate([r for _, r in to.records_at(path, plan, 0, plan["total"])])
+    rows = to.read_order(spark, path).orderBy("slot").collect()
+    assert [(r.doc_id if r.doc_id is not None else to.NO_ID, r.sequence, r.n_tokens, bytes(r.ids)) for r in rows] == [
+        (int(r["doc_id"]), int(r["sequence"]), int(r["n_tokens"]), r["ids"][:r["n_tokens"]].tobytes()) for r in recs]
+    by_doc = defaultdict(lambda: defaultdict(list))
+    for r in recs:
+        assert (r["ids"][r["n_tokens"]:] == pad).all()
+        by_doc[int(r["doc_id"])][int(r["sequence"])].append(r["ids"][:r["n_tokens"]].tolist())
+    for r in docs.where("doc_id <> 1000001 or doc_id is null").collect():
+        parts = by_doc.pop(to.NO_ID if r.doc_id is None else r.doc_id)
+        assert [t for i in range(len(parts)) for t in parts[i][0]] == lib.encode(r.text or "") + [end]
+    assert by_doc == {10**6 + 1: {0: [[end], [end]]}}
+
+
+def test_registered_order_is_of_tokens(spark):
+    from tillcast.llm import piece_codec, queries
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    counts = {r.doc_id: r.n_tokens for r in piece_codec.code_digests(docs).collect()}
+    got = Counter()
+    for r in queries.op7_training_order(spark, SF_SMALL).collect():
+        got[r.doc_id] += r.n_tokens
+    assert got == {i: n + 1 for i, n in counts.items()}  # and the end of each
+
+
+def test_order_of_no_tokens(spark, tmp_path):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert to.materialise_tokens(docs, str(tmp_path / "o")).count() == 0
+    assert to.read_order(spark, str(tmp_path / "o")).count() == 0
+
+
 def test_order_of_nothing(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert to.materialise(docs, str(tmp_path / "o")).count() == 0

@@ -47,7 +47,7 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "order")
-    training_order.materialise(read_table(spark, sf_dir, "documents"), path)
+    training_order.materialise_tokens(read_table(spark, sf_dir, "documents"), path)
     read = training_order.read_order(spark, path)
     return read.select("doc_id", "sequence", "slot", "shard", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"))
 

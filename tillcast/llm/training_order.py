@@ -1,20 +1,24 @@
 """Training-order materialisation of token sequences.
 
-Texts become token sequences of a fixed length (here the vocabulary of UTF-8 bytes: the ids of
-a text are its bytes, 255 ends a document and 254 pads, both of which UTF-8 never uses; token
-tables of a wider vocabulary go through ``blocks`` and ``write_order``). The sequences are numbered
+Texts become token sequences of a fixed length. ``materialise_tokens`` codes them with a SentencePiece
+model (``piece_codec``); the two ids after the vocabulary end a document and pad, and records hold u2
+ids, u4 for vocabularies beyond 65,534 pieces. ``materialise`` takes the vocabulary of UTF-8 bytes: the
+ids of a text are its bytes, 255 ends a document and 254 pads, both of which UTF-8 never uses. The sequences are numbered
 0 to N - 1 and a keyed Feistel permutation of the smallest even number of bits, walked until
 it falls below N, gives each its global slot, so the order is a function of the key alone
 and can be inverted. Every shard is a range of slots and one file of fixed-stride records, so a
 slot is found by arithmetic and a reader resumes anywhere. Records travel in compressed blocks, one
 for each shard and Arrow batch; the shard's task puts them in their places and writes the file. It
-holds one shard (``shard_records`` records, 34 MB by default), whatever the input.
+holds one shard (``shard_records`` records, by default 34 MB of bytes or 68 MB of u2 ids), whatever the input.
 
 A record is a header (doc_id int64, sequence int32, tokens int32) and the padded ids.
 
-Numbering needs no shuffle: one pass counts the sequences of each input partition, the second
-numbers them on from there and fails if it meets another count. Files are written under an
-attempt's name and then moved, so a repeated task replaces its own file.
+Numbering needs no shuffle. Bytes: one pass counts the sequences of each input partition, the second
+numbers them on from there and fails if it meets another count. Tokens: every text is coded once, and
+its ids are stored in the shared folder with the partition that coded it and the number of sequences
+before it there, so the counts of the partitions are all that is added later, however the stored table
+is split when it is read. Files are written under an attempt's name and then moved, so a repeated task
+replaces its own file.
 
 Defined results: null and empty texts are one sequence, only the end. A null id is stored as
 -2**63. Texts of any length are cut into as many sequences as they need. Repeated rows are
@@ -34,12 +38,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillcast.llm import textbytes as tb
-from tillcast.llm.common import narrow
+from tillcast.llm.common import narrow, scratch_path, small_batches
+from tillcast.llm.piece_codec import codec, default_model
 from tillcast.llm.warc import file_system
 
 END, PAD = 255, 254
 NO_ID = -(1 << 63)
 LAYOUT = "_layout.json"
+PACKED_RECORDS = 1 << 14  # of tokens, after which their blocks are handed on
 
 
 @dataclass(frozen=True)
@@ -103,6 +109,27 @@ def blocks(slots: np.ndarray, records: np.ndarray, shard_records: int) -> pa.Rec
                                        pa.array([pack(records[a:b].tobytes()) for a, b in zip(at, ends)], pa.binary())], schema=_arrow(BLOCK))
 
 
+def records_of(ids: np.ndarray, flat_ids: np.ndarray, off: np.ndarray, kind: np.dtype, length: int, end: int, pad: int) -> np.ndarray:
+    """Records of all sequences of some rows: ``ids`` of the rows, their tokens one after the other, where each row's begin and end."""
+    sizes = np.diff(off)
+    n = (sizes + length) // length
+    m = int(n.sum())
+    first = np.r_[0, np.cumsum(n)]
+    out = np.zeros(m, dtype=kind)
+    row = np.repeat(np.arange(len(sizes)), n)
+    out["doc_id"], out["sequence"] = ids[row], np.arange(m) - first[row]
+    flat = np.full(m * length, pad, dtype=kind["ids"].base)
+    flat[np.arange(len(flat_ids)) + np.repeat(first[:-1] * length - off[:-1], sizes)] = flat_ids
+    flat[first[:-1] * length + sizes] = end
+    out["ids"] = flat.reshape(m, length)
+    out["n_tokens"] = np.minimum(sizes[row] + 1 - out["sequence"].astype(np.int64) * length, length)
+    return out
+
+
+def _row_ids(batch: pa.RecordBatch) -> np.ndarray:
+    return np.array([NO_ID if x is None else x for x in batch.column("row_id").to_pylist()], dtype=np.int64)
+
+
 def byte_sequences(docs: DataFrame, length: int, key: int, shard_records: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int]:
     """Blocks of all sequences, and the number of sequences."""
     rows = narrow(docs, row_id=id_col, text=text_col)
@@ -121,20 +148,10 @@ def byte_sequences(docs: DataFrame, length: int, key: int, shard_records: int, i
         start, left = shared.value[0].get(part, 0), shared.value[1].get(part, 0)
         for batch in batches:
             made, places = [], []
-            ids = np.array([NO_ID if x is None else x for x in batch.column("row_id").to_pylist()], dtype=np.int64)
+            ids = _row_ids(batch)
             for lo, hi, data, off in tb.slices(batch.column("text")):
-                sizes = np.diff(off)
-                n = (sizes + length) // length
-                m = int(n.sum())
-                first = np.r_[0, np.cumsum(n)]
-                out = np.zeros(m, dtype=kind)
-                row = np.repeat(np.arange(hi - lo), n)
-                out["doc_id"], out["sequence"] = ids[lo:hi][row], np.arange(m) - first[row]
-                flat = np.full(m * length, PAD, dtype=np.uint8)
-                flat[np.arange(len(data)) + np.repeat(first[:-1] * length - off[:-1], sizes)] = data
-                flat[first[:-1] * length + sizes] = END
-                out["ids"] = flat.reshape(m, length)
-                out["n_tokens"] = np.minimum(sizes[row] + 1 - out["sequence"].astype(np.int64) * length, length)
+                out = records_of(ids[lo:hi], data, off, kind, length, END, PAD)
+                m = len(out)
                 left -= m
                 if left < 0:
                     raise RuntimeError("the input's partitions changed between two passes")
@@ -148,6 +165,71 @@ def byte_sequences(docs: DataFrame, length: int, key: int, shard_records: int, i
     return rows.mapInArrow(run, BLOCK), total
 
 
+def token_kind(model_path: str) -> tuple[str, int, int]:
+    """(type of an id in records, end, pad) for a model's vocabulary."""
+    import sentencepiece
+
+    size = sentencepiece.SentencePieceProcessor(model_file=model_path).get_piece_size()
+    return "<u2" if size + 2 <= 1 << 16 else "<u4", size, size + 1
+
+
+CODED = T.StructType([T.StructField("row_id", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("before", T.LongType()),
+                      T.StructField("n", T.LongType()), T.StructField("tokens", T.BinaryType())])
+
+
+def coded_texts(docs: DataFrame, length: int, model_path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The token ids of every text, coded once and stored: row_id, part (that coded it), before (sequences of earlier rows of the part), n (sequences), tokens."""
+    small_batches(docs.sparkSession)
+    kind = token_kind(model_path or default_model())[0]
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        c, part, before = codec(model_path or default_model()), TaskContext.get().partitionId(), 0
+        for batch in batches:
+            ids, texts = batch.column("row_id").cast(pa.int64()), batch.column("text")
+            for lo, hi, _, _ in tb.slices(texts):
+                tokens = [c.coded(t.as_py()) for t in texts.slice(lo, hi - lo)]
+                n = np.array([(len(t) + length) // length for t in tokens], dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(np.full(hi - lo, part, np.int32)), pa.array(before + np.cumsum(n) - n), pa.array(n),
+                                                  pa.array([t.astype(kind).tobytes() for t in tokens], pa.binary())], schema=_arrow(CODED))
+                before += int(n.sum())
+
+    path = scratch_path(docs.sparkSession, "tokens")
+    narrow(docs, row_id=id_col, text=text_col).mapInArrow(run, CODED).write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(CODED).parquet(path)
+
+
+def token_sequences(coded: DataFrame, length: int, key: int, shard_records: int, kind: str, end: int, pad: int) -> tuple[DataFrame, int]:
+    """Blocks of all sequences of ``coded_texts``, and the number of sequences."""
+    small_batches(coded.sparkSession)
+    per_part = {r[0]: r[1] for r in coded.groupBy("part").agg(F.sum("n")).collect()}
+    starts, total = {}, 0
+    for part in sorted(per_part):
+        starts[part], total = total, total + per_part[part]
+    order, record = Feistel(total, key), record_type(length, kind)
+    shared = coded.sparkSession.sparkContext.broadcast(starts)  # a number for each input partition
+    width = record["ids"].base.itemsize
+
+    def run(batches):
+        for batch in batches:
+            ids, n = _row_ids(batch), batch.column("n").to_numpy()
+            first = np.array([shared.value[p] for p in batch.column("part").to_pylist()], dtype=np.int64) + batch.column("before").to_numpy()
+            made, places, held = [], [], 0
+            for lo, hi, data, off in tb.slices(batch.column("tokens")):
+                made.append(records_of(ids[lo:hi], data.view(kind), off // width, record, length, end, pad))
+                index = np.repeat(first[lo:hi], n[lo:hi]) + made[-1]["sequence"]
+                places.append(order.slots(index))
+                held += len(index)
+                if held >= PACKED_RECORDS:
+                    yield blocks(np.concatenate(places), np.concatenate(made), shard_records)
+                    made, places, held = [], [], 0
+            if made:
+                yield blocks(np.concatenate(places), np.concatenate(made), shard_records)
+
+    return coded.select("row_id", "part", "before", "n", "tokens").mapInArrow(run, BLOCK), total
+
+
 def write_order(sequences: DataFrame, total: int, path: str, length: int, shard_records: int, kind: str = "u1") -> DataFrame:
     """Writes blocks as shard files; returns shard, records, bytes once they are written."""
     record, shards = record_type(length, kind), -(-total // shard_records)
@@ -240,3 +322,11 @@ def materialise(docs: DataFrame, path: str, length: int = 512, key: int = 20, sh
     """Writes the byte sequences of all texts in training order into a new folder; returns its shards."""
     sequences, total = byte_sequences(docs, length, key, shard_records, id_col, text_col)
     return write_order(sequences, total, path, length, shard_records)
+
+
+def materialise_tokens(docs: DataFrame, path: str, length: int = 512, key: int = 20, shard_records: int = 1 << 16, model_path: str | None = None,
+                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Writes the sequences of all texts' token ids in training order into a new folder; returns its shards."""
+    kind, end, pad = token_kind(model_path or default_model())
+    sequences, total = token_sequences(coded_texts(docs, length, model_path, id_col, text_col), length, key, shard_records, kind, end, pad)
+    return write_order(sequences, total, path, length, shard_records, kind)

@@ -50,6 +50,30 @@ def test_edges_from_pages(spark):
     assert sorted(r.target for r in uf.page_edges(pages).collect()) == ["http://a.net/1", "http://m.b.com/x?a=1&b=2", "https://h.com/p/2"]
 
 
+def test_whole_and_relative_targets_of_all_links(spark):
+    cases = [('<meta http-equiv=refresh content="0; url=/a;v=1/b">', ["https://h.com/a;v=1/b"]),
+             ("""<META content="5;URL='x?n=http://o.com/;k'" http-equiv='Refresh'>""", ["https://h.com/d/e/x?n=http://o.com/;k"]),
+             ("<meta http-equiv=refresh content=0;url=../p;q>", ["https://h.com/d/p;q"]),
+             ("<meta http-equiv=refresh content=0; url=/s;t>", ["https://h.com/s;t"]),
+             ('<link rel=canonical href=it\'s><link href="b>c" rel="canonical"/>', ["https://h.com/d/e/b>c", "https://h.com/d/e/it's"]),
+             ('<link\nrel="canonical"\ndata-href="/no" href="./y/../../z/.">', ["https://h.com/d/z/"]),
+             ('<link rel=canonical href="?a=1"><meta http-equiv="refresh" content="0;url=#top"><link rel=canonical href="../../../u">',
+              ["https://h.com/d/e/f.html?a=1", "https://h.com/d/e/f.html?q=/w/#top", "https://h.com/u"]),
+             ('<link rel=canonical href="mailto:a@b.c"><meta http-equiv=refresh content="30"><link rel="icon" href="/i">', [])]
+    pages = spark.createDataFrame([(f"https://h.com/d/e/f.html?q=/w/#{i}", x) for i, (x, _) in enumerate(cases)], "url string, html string")
+    got = [(int(r.url.split("#")[1]), r.target) for r in uf.page_edges(pages).collect()]
+    assert sorted(got) == sorted((i, t) for i, (_, want) in enumerate(cases) for t in want)
+    bare = spark.createDataFrame([("http://h.com", '<link rel=canonical href="x">'), ("none", '<link rel=canonical href="x">')], "url string, html string")
+    assert [r.target for r in uf.page_edges(bare).collect()] == ["http://h.com/x"]
+
+
+def test_long_and_open_tags(spark):
+    html = ["<link " + "a b=c " * 200_000 + "rel=canonical href=/x>", '<meta content="' + "x" * 500_000, '<link rel=canonical href="/a><p>"', "<link <link rel=canonical href=/y>"]
+    pages = spark.createDataFrame([(f"http://h.com/{i}", x) for i, x in enumerate(html)], "url string, html string")
+    got = {r.url[-1]: r.target for r in uf.page_edges(pages).collect()}
+    assert got["0"] == "http://h.com/x"
+
+
 @pytest.mark.parametrize("rules", [(), uf.DEFAULT_RULES])
 def test_nothing(spark, rules):
     assert verdicts(spark, [], rules=rules) == {}

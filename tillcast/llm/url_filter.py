@@ -11,6 +11,9 @@ explicit allow, its own or an alias's, has precedence. All others are allowed.
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; path: then
 up to ``?``, ``#`` or the end. Longest: most host labels first, then the longest path.
 
+Links: every canonical link and refresh of a page counts, up to the closing quote; relative ones stand
+against the page's folder (a ``<base>`` is not read).
+
 Defined results: null urls and those without ``://`` have empty host and path, no rule and no
 aliases, and are allowed. Repeated rows are judged each. Any number of pages may share a url,
 a host or a target. No rules, no edges or no pages: everything allowed, or an empty result.
@@ -30,8 +33,14 @@ from tillcast.llm.graph import components
 #: (verdict, host, path)
 DEFAULT_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 
-CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)"""
-REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*?\burl\s*=\s*["']?([^"'\s>;]+)"""
+#: A tag ends at the first ``>`` outside a quoted value; quotes count only right after ``=``.
+TAGS = r"""(?i)<(?:link|meta)\b(?:[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=\s*+[^\s>"'][^\s>]*+|=)*+>"""
+CANONICAL = r"""(?i)^<link\b.*(?<![\w-])rel\s*=\s*["']?canonical\b"""
+REFRESH = r"""(?i)^<meta\b.*(?<![\w-])http-equiv\s*=\s*["']?refresh\b"""
+VALUE = r"""(?i)(?<![\w-])%s\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*))"""
+#: In the content of a refresh: up to the closing quote if there is one, else to the end.
+REFRESH_URL = r"""(?is)\burl\s*=\s*(?:"([^"]*)|'([^']*)|([^\s"'].*))"""
+BARE_REFRESH_URL = r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)"""  # content without quotes, but with a space
 
 
 def lower_ascii(c: Column) -> Column:
@@ -63,20 +72,43 @@ def own_rule(host: Column, path: Column, rules: Iterable[tuple[str, str, str]])
     return rule, verdict
 
 
+def without_dots(path: Column) -> Column:
+    """A path from the root without the segments ``.`` and ``..``."""
+    steps = F.split(path, "/", -1)
+    kept = F.aggregate(steps, F.array().cast("array<string>"), lambda acc, x: F.when(x == ".", acc).when(
+        x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(1)))).otherwise(F.concat(acc, F.array(x))))
+    whole = F.concat(F.array_join(kept, "/"), F.when(path.rlike(r"/\.\.?$"), F.lit("/")).otherwise(F.lit("")))
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.when(whole.startswith("/"), whole).otherwise(F.concat(F.lit("/"), whole))).otherwise(path)
+
+
 def resolve(target: Column, url: Column) -> Column:
-    """Absolute form of a link found on a page (absolute, scheme-relative or from the root); others null."""
+    """Absolute form of a link found on a page; null for schemes without ``//`` and on pages without a host."""
     target = F.replace(target, F.lit("&amp;"), F.lit("&"))
     root = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
-    return (F.when(target.contains("://"), target)
+    folder = F.regexp_replace(url_path(url), r"[^/]*$", "")
+    own, rest = F.regexp_extract(target, r"(?s)^([^?#]*)", 1), F.regexp_extract(target, r"(?s)^[^?#]*(.*)$", 1)
+    below = F.concat(F.when(own.startswith("/"), F.lit("")).when(folder == "", F.lit("/")).otherwise(folder), own)
+    return (F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), target)
             .when(target.startswith("//"), F.concat(F.lit("http:"), target))
-            .when(target.startswith("/") & (root != ""), F.concat(root, target)))
+            .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:") | (root == ""), F.lit(None))
+            .when(target.startswith("#"), F.concat(F.regexp_replace(url, r"(?s)#.*$", ""), target))
+            .when(target.startswith("?"), F.concat(root, url_path(url), target))
+            .otherwise(F.concat(root, without_dots(below), rest)))
+
+
+def _any_group(text: Column, pattern: str) -> Column:
+    """The one of three groups that matched, else the empty text."""
+    return F.trim(F.concat(*[F.regexp_extract(text, pattern, i) for i in (1, 2, 3)]))
 
 
 def page_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(url, target) of canonical links and redirects stated in the pages."""
-    found = narrow(pages, url=url_col, html=html_col).select(
-        "url", F.array(F.regexp_extract("html", CANONICAL, 1), F.regexp_extract("html", REFRESH, 1)).alias("targets"))
-    return (found.select("url", F.explode("targets").alias("target")).where("target <> ''")
+    """(url, target) of all canonical links and redirects stated in the pages."""
+    found = narrow(pages, url=url_col, html=html_col).select("url", F.explode(F.regexp_extract_all("html", F.lit(TAGS), F.lit(0))).alias("tag"))
+    tag = F.regexp_replace("tag", r"\s", " ")
+    content = _any_group(_any_group(tag, VALUE % "content"), REFRESH_URL)
+    target = (F.when(tag.rlike(CANONICAL), _any_group(tag, VALUE % "href"))
+              .when(tag.rlike(REFRESH), F.when(content != "", content).otherwise(F.regexp_extract(tag, BARE_REFRESH_URL, 1))))
+    return (found.select("url", target.alias("target")).where("target <> ''")
             .select("url", resolve(F.col("target"), F.col("url")).alias("target")).where("target is not null"))
 
 

@@ -57,6 +57,21 @@ def test_equals_brute_force(spark, monkeypatch, small):
     assert sorted(r.doc_id or 0 for r in clean.collect()) == sorted((d or 0) for d, _ in docs if d not in bad)
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_shared_passage_is_joined_as_rows(spark, monkeypatch, small):
+    tables = {}
+    keep = dc.stored
+    monkeypatch.setattr(dc, "stored", lambda df, name: tables.setdefault(name, keep(df, name)))
+    if not small:
+        monkeypatch.setattr(dc, "small_enough", lambda df, **k: False)
+    passage = " ".join(f"p{i}" for i in range(16))
+    items = [(i, f"{passage} own{i}") for i in range(60)] + [(None, passage)]
+    docs = [(i, f"{passage} and {passage} text{i}") for i in range(1, 20)] + [(20, "nothing of it")]
+    got = rows_of(dc.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")))
+    assert got == sorted((i, len(words(t)), 32 if i < 20 else 0, sorted(map(str, range(60))) if i < 20 else [], i < 20) for i, t in docs)
+    assert "array<string>" not in {kind for t in ("prefixes", "hits", "owners") for _, kind in tables[t].dtypes}
+
+
 def test_full_bit_table_loses_nothing(spark):
     items = [(1, "a b c d e f g h i j k l m n o"), (2, "x y")]
     docs = [(1, "z a b c d e f g h i j k l m n o z"), (2, "y x y x"), (3, "q")]

@@ -176,8 +176,8 @@ def contamination(docs: DataFrame, items: DataFrame, p: Decontamination = Decont
     ranked = places.join(counts, "shingle").groupBy("words").agg(
         F.count_distinct("at").alias("known"), F.min_by(F.struct("shingle", "at"), F.struct("docs", "shingle", "at")).alias("prefix"))
     prefix = ranked.where(F.col("known") == F.size("words") - F.least(F.size("words"), F.lit(p.shingle)) + 1)
-    prefix = stored(prefix.select("prefix.shingle", "prefix.at", "words").join(
-        windows.groupBy("words").agg(F.collect_set(F.col("item").cast("string")).alias("items")), "words"), "prefixes")
+    prefix = stored(prefix.select("prefix.shingle", "prefix.at", "words", F.monotonically_increasing_id().alias("window")), "prefixes")
+    owners = stored(windows.join(prefix.select("words", "window"), "words").select("window", F.col("item").cast("string").alias("item")), "owners")
 
     made = stored(candidates(texts, bit_table(prefix, p.table_bits), sizes, p).withColumn("line", F.monotonically_increasing_id()), "candidates")
     around = made.where(F.size("found") > 0).select("line", F.inline("found"))
@@ -186,15 +186,18 @@ def contamination(docs: DataFrame, items: DataFrame, p: Decontamination = Decont
     start = F.col("pos") - F.col("at")
     inside = (start >= F.col("first")) & (start - F.col("first") + F.size("words") <= F.size("around"))
     exact = F.when(inside, F.slice("around", F.when(inside, start - F.col("first") + 1).otherwise(1), F.size("words")) == F.col("words"))
-    hits = joined.where(exact).select("line", start.alias("start"), (start + F.size("words")).alias("end"), "items")
-    by_line = hits.groupBy("line").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"),
-                                       F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("item_ids"))
+    hits = stored(joined.where(exact).select("line", start.alias("start"), (start + F.size("words")).alias("end"), "window"), "hits")
+    spans = hits.groupBy("line").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
+    # no row holds the items of a window: a window found often, or shared by many items, is rows here, distinct before they are gathered
+    owners = F.broadcast(owners) if small_enough(owners, most=1 << 23) else owners
+    found = hits.select("line", "window").distinct().join(owners, "window").where("item is not null").select("line", "item").distinct()
+    found = found.groupBy("line").agg(F.array_sort(F.collect_list("item")).alias("item_ids"))
     # words covered by the union of the sorted spans
     zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("reach"))
     n_hit = F.aggregate("spans", zero, lambda acc, x: F.struct(
         (acc["n"] + F.greatest(x["end"] - F.greatest(x["start"], acc["reach"]), F.lit(0))).alias("n"),
         F.greatest(acc["reach"], x["end"]).alias("reach")))["n"]
-    by_line = by_line.select(F.col("line").alias("hit_line"), n_hit.cast("long").alias("n_hit"), "item_ids")
+    by_line = spans.join(found, "line", "left").select(F.col("line").alias("hit_line"), n_hit.cast("long").alias("n_hit"), "item_ids")
     out = made.select("line", "row_id", "n_words").join(by_line, F.col("line") == F.col("hit_line"), "left")
     n = F.coalesce("n_hit", F.lit(0).cast("long"))
     return out.select(F.col("row_id").alias(id_col), "n_words", n.alias("n_hit"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),

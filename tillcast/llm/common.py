@@ -40,10 +40,15 @@ def small_enough(df: DataFrame, rows: int | None = None, most: int = BROADCAST_M
 
 #: Rows of one Arrow batch between Spark and a Python worker: texts of a few KB make batches of a few MB.
 BATCH_ROWS = 2000
+#: Bytes of one, for tables of long texts.
+BATCH_BYTES = 8 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
     """Keeps a worker's memory to a few batches of texts; a smaller setting of the session stands."""
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(limit).rstrip("b")) > BATCH_BYTES:  # read back as a number of bytes
+        spark.conf.set(limit, str(BATCH_BYTES))
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 

@@ -96,4 +96,21 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLES = {"op2_minhash_near_dedup": OP2, "op3_quality_rules": OP3, "op5_warc": OP5, "op6_url_filter": OP6, "op8_decontamination": OP8}
+# Rows with a null or non-finite component take no part; DuckDB's isfinite is false for both kinds.
+OP13 = """
+WITH v AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda c: floor(256 * c::DOUBLE)::BIGINT) AS x
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+             AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+                  list_inner_product(a.x::DOUBLE[], b.x::DOUBLE[])::BIGINT AS score
+           FROM v a, v b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+n AS (SELECT anchor_id, positive_id, positive_score, other AS negative_id, score AS negative_score,
+             (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other))::INTEGER AS rank
+      FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+ORACLES = {"op2_minhash_near_dedup": OP2, "op3_quality_rules": OP3, "op5_warc": OP5, "op6_url_filter": OP6, "op8_decontamination": OP8, "op13_hard_negatives": OP13}

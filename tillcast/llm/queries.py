@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import decontaminate, near_dedup, piece_codec, quality_classifier, quality_rules, secret_scan, sharding, training_order, url_filter, warc
+from tillcast.llm import decontaminate, near_dedup, negatives, packing, piece_codec, quality_classifier, quality_rules, secret_scan, sharding, training_order, url_filter, warc, whitening
 from tillcast.llm.common import read_table, scratch_path
 from tillcast.llm.oracle import ORACLES
 
@@ -68,9 +68,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_crf")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(read_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_sentencepiece, op2_minhash_near_dedup, op3_quality_rules, op4_quality_classifier, op5_warc, op6_url_filter, op7_training_order,
-                                   op8_decontamination, op9_sharding, op10_secret_scan)}
+                                   op8_decontamination, op9_sharding, op10_secret_scan, op11_packing, op12_whitening, op13_hard_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -49,6 +49,8 @@ class ForecastConfig:
     holiday_source: str = "table"
     holiday_join_keys: tuple[str, ...] = ("date", "state")
     calendar_years: tuple[int, ...] = (2025, 2026)
+    # False: several holidays on one day give several rows of a machine's day, as in the reference
+    one_holiday_per_day: bool = False
     use_metadata: bool = False
     # windows
     roll_short: int = 7
@@ -75,6 +77,8 @@ class ForecastConfig:
     skip_empty_horizon: bool = True
     clip_lower: bool = True
     encoding_smoothing: float = 20.0
+    encoding_folds: int = 5  # of the training rows, for target means out of fold
+    stage_trees: int = 25  # trees between two written stages of the boosting loop
     parallel_horizons: int = 3  # horizons fitted concurrently (1 = one after another)
     # report
     report_date_column: str = "reference_date"

@@ -34,7 +34,24 @@ def holiday_dimension(raw: DataFrame, cfg: ForecastConfig) -> DataFrame:
         F.lit(1).alias("is_holiday"),
         is_major_festival(name).alias("is_major_festival"),
     )
-    return h.dropDuplicates()
+    return one_per_day(h, list(cfg.holiday_join_keys)) if cfg.one_holiday_per_day else h.dropDuplicates()
+
+
+#: Which holiday names a day with several of them, the first type that occurs; equal types by name.
+TYPE_PRIORITY = ("NATIONAL", "FESTIVAL", "BANK", "STATE")
+
+
+def one_per_day(dim: DataFrame, keys: list[str]) -> DataFrame:
+    """One row for each key: name and type of the first holiday by type priority, flags of any of them.
+
+    Names are compared as they are, a missing one comes last. The join then keeps one row for each row
+    of the panel, so the row-based windows are not shifted.
+    """
+    place = F.coalesce(*[F.when(F.col("holiday_type") == t, F.lit(i)) for i, t in enumerate(TYPE_PRIORITY)])
+    order = F.struct(place, F.col("holiday_name").isNull(), "holiday_name")
+    first = F.min_by(F.struct("holiday_name", "holiday_type"), order).alias("first")
+    out = dim.groupBy(*keys).agg(first, F.max("is_holiday").alias("is_holiday"), F.max("is_major_festival").alias("is_major_festival"))
+    return out.select(*keys, "first.holiday_name", "first.holiday_type", "is_holiday", "is_major_festival")
 
 
 def fill_non_holiday(df: DataFrame) -> DataFrame:

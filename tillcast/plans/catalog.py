@@ -24,9 +24,10 @@ from tillcast.operators.categories import category_codes
 from tillcast.operators.report import report_long, sheet_names
 from tillcast.plans import oracle as O
 from tillcast.plans.features import engineer_features, feature_dataset, guarded, prepare_transactions
-from tillcast.session import scratch_path
+from tillcast.session import cut_lineage, scratch_path
 from tillcast.sources import testviews as tv
 from tillcast.sources.readers import ingest_counts, union_parts
+from tillcast.sources.panel_store import read_panel, write_panel
 from tillcast.sources.sinks import write_parquet, write_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -215,6 +216,18 @@ def q_holiday_join_date(spark, sf):
     return _joined(spark, sf, V2).select(*JOIN_COLS)
 
 
+ONE_PER_DAY = V1.with_(one_holiday_per_day=True)
+
+
+def q_holiday_join_one_per_day(spark, sf):
+    """The join with one row of the dimension for each date and state: no fan-out."""
+    return _joined(spark, sf, ONE_PER_DAY).select(*JOIN_COLS)
+
+
+def q_features_one_holiday_per_day(spark, sf):
+    return ds.feature_projection(_cleaned(spark, sf, ONE_PER_DAY), ONE_PER_DAY)
+
+
 def q_atm_metadata_join(spark, sf):
     t = _dense(spark, sf)
     j = prepare_transactions(t, V0, tv.metadata(spark, sf))
@@ -349,6 +362,15 @@ def q_feature_table(spark, sf):
     return ds.feature_projection(_cleaned(spark, sf), V1)
 
 
+def q_feature_table_stored(spark, sf):
+    """The panel stored in buckets of the machine id; features from the stored table."""
+    path = scratch_path(spark, "panel")
+    table = "panel_" + path.rsplit("-", 1)[1]
+    write_panel(_dense(spark, sf), table, path)
+    tx = read_panel(spark, table)
+    return ds.feature_projection(feature_dataset(tx, tv.holidays_for(tx), V1), V1)
+
+
 def q_features_v0(spark, sf):
     return ds.feature_projection(_cleaned(spark, sf, DENSE_V0), DENSE_V0)
 
@@ -403,7 +425,17 @@ def q_report_sink_round_trip(spark, sf):
     return back.select(*REPORT_COLS, F.col("sheet").cast("string").alias("sheet"))
 
 
-# ----------------------------------------------------------------------------- M2, M4-M6
+def q_report_dated_sink(spark, sf):
+    """A second forecast date beside the first, then the first written again with other sheets."""
+    wide = _stand_in_wide(spark, sf)
+    path = scratch_path(spark, "report")
+    for days, rows, more in ((0, REPORT_SHEET_ROWS // 2, 7), (7, REPORT_SHEET_ROWS, 1), (0, REPORT_SHEET_ROWS, 0)):
+        r = report_long(wide, V1).withColumns({"forecast_date": F.date_add("forecast_date", days), "predicted_dispense_amount": F.col("predicted_dispense_amount") + more})
+        write_report(sheet_names(r, V1, rows).select("horizon", "atm_id", "predicted_dispense_amount", "forecast_date", "sheet"), path, max_rows_per_file=rows)
+    return spark.read.parquet(path).select("horizon", "atm_id", "predicted_dispense_amount", "forecast_date", "sheet")
+
+
+# ----------------------------------------------------------------------------- M2, M4-M7
 def q_horizon_runs(spark, sf):
     from tillcast.plans.forecast import horizon_runs
     return horizon_runs(ds.time_split(_cleaned(spark, sf), V1), V1)
@@ -420,6 +452,43 @@ def q_target_encodings(spark, sf):
     return rows[0].unionByName(rows[1])
 
 
+def q_target_encodings_folds(spark, sf):
+    """M6 out of fold: the encodings that every training and validation row gets."""
+    from tillcast.plans import forecast as fc
+    split = ds.time_split(_cleaned(spark, sf), V1).withColumn("_fold", fc.encoding_fold(V1.encoding_folds, F.col("is_val")))
+    targets = [t for _, t, _ in HORIZONS]
+    tables, mu, _ = fc.fit_target_encodings_by_fold(split.where(~F.col("is_val")), ENCODED, targets, V1.encoding_smoothing, V1.broadcast_max_rows)
+    rows = fc.apply_encodings_by_fold(split, tables, mu)
+    return rows.select(*ROW_ID, F.col("_fold").alias("fold"), *[F.col(f"_enc_{c}_{t}").alias(f"{c}_{t}") for c in ENCODED for t in targets])
+
+
+ENCODED = ["atm_id", "holiday_name"]
+# Inputs of the node table below: a split at the mean for each, and one by category.
+NODE_INPUTS = ("dispense_lag_1", "dispense_lag_7", "dispense_roll_mean_14")
+WORK_DAYS = [0.0, 1.0, 2.0, 3.0]
+
+
+def q_tree_scores(spark, sf):
+    """M7: rows scored by a node table, for three values of k. The trees are grown from the rows
+    themselves: each splits at the (rounded) mean of one input, the third one also by weekday below its
+    left side, and has the (rounded) means of the target as leaves."""
+    from tillcast.operators.boosting import NODE_SCHEMA, score
+    rows = cut_lineage(_cleaned(spark, sf).where(F.col("target_1day").isNotNull()).select(*ROW_ID, "day_of_week", *NODE_INPUTS, F.col("target_1day").cast("double").alias("y")))
+    cut = rows.agg(*[F.round(F.avg(c), 2).alias(c) for c in NODE_INPUTS]).first()
+    nodes = []
+    for t, c in enumerate(NODE_INPUTS):
+        low, work = F.col(c) <= F.lit(cut[c]), F.col("day_of_week").isin([int(d) for d in WORK_DAYS])
+        leaves = [low, ~low] if t < 2 else [low & work, low & ~work, ~low]
+        m = rows.agg(*[F.round(F.avg(F.when(x, F.col("y"))) * 0.25, 2) for x in leaves]).first()
+        split = (t, 0, t, cut[c], None, 1, 2 if t < 2 else 4, None)
+        below = [(t, 1, 3, None, WORK_DAYS, 2, 3, None)] if t == 2 else []
+        at = [1, 2] if t < 2 else [2, 3, 4]
+        nodes += [split, *below, *[(t, n, None, None, None, None, None, v) for n, v in zip(at, m)]]
+    nodes = spark.createDataFrame(nodes, NODE_SCHEMA)
+    x = F.array(*[F.col(c).cast("double") for c in (*NODE_INPUTS, "day_of_week")])
+    return rows.select(*ROW_ID, *[score(nodes.where(F.col("tree") < k), x, 100.0).alias(f"score_{k}") for k in (1, 2, 3)])
+
+
 # ----------------------------------------------------------------------------- M1-M7 (rows only)
 MODEL_CFG = V1
 
@@ -550,6 +619,15 @@ def _oracles() -> dict[str, str]:
             f"SELECT '{c}' AS column_name, {c} AS value, " + ", ".join(
                 f"(CAST(coalesce(sum({t}), 0) AS DOUBLE) + 20.0::DOUBLE * (SELECT CAST(sum({t}) AS DOUBLE) / count({t}) FROM split WHERE NOT is_val)) / (count({t}) + 20.0::DOUBLE) AS {t}"
                 for _, t, _ in HORIZONS) + f" FROM split WHERE NOT is_val GROUP BY {c}" for c in ("atm_id", "holiday_name"))),
+        "target_encodings_folds": fq(_encodings_by_fold_sql()),
+        "tree_scores": fq(_tree_scores_sql()),
+        "holiday_join_one_per_day": _one_per_day_sql(_sel(JOIN_COLS, "joined")),
+        "features_one_holiday_per_day": _one_per_day_sql(_v1_features_proj()),
+        "feature_table_stored": fq(_v1_features_proj()),
+        "report_dated_sink": rep(f"""SELECT horizon, atm_id, predicted_dispense_amount + more AS predicted_dispense_amount,
+  CAST(forecast_date + days AS DATE) AS forecast_date, CASE WHEN n <= {sheet_rows} THEN strftime(forecast_date + days, '%d-%b-%Y')
+       ELSE left(strftime(forecast_date + days, '%d-%b-%Y') || '_P' || CAST({part_expr} AS VARCHAR), 31) END AS sheet
+  FROM ranked, (VALUES (0, 0), (7, 1)) v(days, more)""", [parts_sql]),
         "time_split": fq(_sel(ROW_ID_SQL + ["split_date", "is_val"], "split")),
         "split_diagnostics": fq("""SELECT count(*) AS n_rows, count(target_1day) AS n_target_1day,
   count(target_3day) AS n_target_3day, count(target_7day) AS n_target_7day,
@@ -584,6 +662,50 @@ def _oracles() -> dict[str, str]:
     }
 
 
+def _encodings_by_fold_sql() -> str:
+    targets = [t for _, t, _ in HORIZONS]
+    sums = lambda over: ", ".join(f"coalesce(sum({t}) {over}, 0)::DOUBLE AS s_{t}, count({t}) {over} AS n_{t}" for t in targets)
+    ctes = [f"f AS (SELECT *, CASE WHEN is_val THEN -1 ELSE (('0x' || substr(md5(concat_ws('|', atm_id, CAST(date AS VARCHAR))), 1, 8))::BIGINT % {V1.encoding_folds})::INT END AS fold FROM split)",
+            "tr AS (SELECT * FROM f WHERE fold >= 0)", f"g AS (SELECT {sums('')} FROM tr)", f"gf AS (SELECT fold, {sums('')} FROM tr GROUP BY fold)"]
+    joins, cols = "LEFT JOIN gf ON f.fold = gf.fold CROSS JOIN g", []
+    for c in ENCODED:
+        ctes += [f"a_{c} AS (SELECT {c} AS v, {sums('')} FROM tr GROUP BY {c})", f"b_{c} AS (SELECT {c} AS v, fold, {sums('')} FROM tr GROUP BY {c}, fold)"]
+        joins += f" LEFT JOIN a_{c} ON f.{c} IS NOT DISTINCT FROM a_{c}.v LEFT JOIN b_{c} ON f.{c} IS NOT DISTINCT FROM b_{c}.v AND f.fold = b_{c}.fold"
+        for t in targets:
+            rest = f"CASE WHEN g.n_{t} - gf.n_{t} > 0 THEN (g.s_{t} - gf.s_{t}) / (g.n_{t} - gf.n_{t}) ELSE 0 END"
+            cols.append(f"CASE WHEN f.fold < 0 THEN coalesce((a_{c}.s_{t} + 20.0::DOUBLE * (g.s_{t} / g.n_{t})) / (a_{c}.n_{t} + 20.0::DOUBLE), g.s_{t} / g.n_{t}) "
+                        f"ELSE (a_{c}.s_{t} - b_{c}.s_{t} + 20.0::DOUBLE * ({rest})) / (a_{c}.n_{t} - b_{c}.n_{t} + 20.0::DOUBLE) END AS {c}_{t}")
+    return f"SELECT * FROM (WITH {', '.join(ctes)} SELECT {', '.join('f.' + c for c in ROW_ID_SQL)}, f.fold, {', '.join(cols)} FROM f {joins}) z"
+
+
+def _tree_scores_sql() -> str:
+    cut = ", ".join(f"round(avg({c}), 2) AS cut_{c}" for c in NODE_INPUTS)
+    a, b, c = (f"{x} <= cut_{x}" for x in NODE_INPUTS)
+    work = "day_of_week IN (0, 1, 2, 3)"
+    leaf = lambda cond: f"(SELECT round(avg(y) FILTER ({cond}) * 0.25::DOUBLE, 2) FROM r, k)"
+    t0 = f"CASE WHEN {a} THEN {leaf(a)} ELSE {leaf(f'NOT ({a})')} END"
+    t1 = f"CASE WHEN {b} THEN {leaf(b)} ELSE {leaf(f'NOT ({b})')} END"
+    t2 = f"CASE WHEN {c} AND {work} THEN {leaf(f'{c} AND {work}')} WHEN {c} THEN {leaf(f'{c} AND NOT {work}')} ELSE {leaf(f'NOT ({c})')} END"
+    return (f"SELECT * FROM (WITH r AS (SELECT {', '.join(ROW_ID_SQL)}, day_of_week, {', '.join(NODE_INPUTS)}, target_1day::DOUBLE AS y FROM cleaned WHERE target_1day IS NOT NULL), "
+            f"k AS (SELECT {cut} FROM r), t AS (SELECT {', '.join(ROW_ID_SQL)}, {t0} AS t0, {t1} AS t1, {t2} AS t2 FROM r, k) "
+            f"SELECT {', '.join(ROW_ID_SQL)}, 100.0::DOUBLE + t0 AS score_1, 100.0::DOUBLE + (t0 + t1) AS score_2, 100.0::DOUBLE + (t0 + t1 + t2) AS score_3 FROM t) z")
+
+
+def _one_per_day_sql(select: str) -> str:
+    first = ("SELECT make_date(year(date), month(date), day(date)) AS date, state, holiday_name FROM (SELECT date, state, holiday_name, "
+             f"row_number() OVER (PARTITION BY date, {O.norm_sql('state')} ORDER BY CASE {O.holiday_type_sql('holiday_name')} WHEN 'NATIONAL' THEN 0 WHEN 'FESTIVAL' THEN 1 "
+             "WHEN 'BANK' THEN 2 ELSE 3 END, holiday_name NULLS LAST) AS place FROM all_h) WHERE place = 1")
+    base = {"tx_dense": O.TX_DENSE, "all_h": O.holidays_sql("tx_dense"), "holidays": first}
+    major = (f"major AS (SELECT date, {O.norm_sql('state')} AS state, max({O.major_sql('holiday_name')}) AS m FROM all_h GROUP BY 1, 2)")
+    ctes = O.feature_ctes("v1", "tx_dense", holidays="holidays")
+    at = next(i for i, x in enumerate(ctes) if x.startswith("joined AS"))
+    # the flag is of any holiday of the day, not of the one that names it
+    inner = ctes[at].replace("joined AS", "joined_first AS", 1)
+    flags = ("joined AS (SELECT j.* REPLACE (CAST(coalesce(m.m, 0) AS INT) AS is_major_festival) FROM joined_first j LEFT JOIN major m ON j.date IS NOT DISTINCT FROM m.date "
+             "AND j.state IS NOT DISTINCT FROM m.state)")
+    return O.with_ctes(base, ctes[:at] + [inner, major, flags] + ctes[at + 1:], select)
+
+
 def _dirty_pipeline_sql() -> str:
     base = {"d": O.TX_DIRTY,
             "tx_raw": "SELECT atm_id, date, dispense, state FROM d"}

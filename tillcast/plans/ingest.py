@@ -3,7 +3,7 @@
     python -m tillcast.plans.ingest --out FOLDER --transactions PATH... [--holidays PATH] [--metadata PATH]
         [--input-format parquet|csv]
 
-Transactions: every path is one part (S1), counted (S2), checked for its required columns
+Transactions: every path is one part (S1), counted in the pass that writes them (S2), checked for its required columns
 (S4) and written (S5); parts may order their columns as they like. Holidays: checked (S3),
 dates read strictly (C4), distinct rows (H1). Metadata: checked, one table (S7).
 """
@@ -12,12 +12,13 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tillcast.operators.holidays import distinct_holidays
 from tillcast.operators.metadata import METADATA_COLUMNS
 from tillcast.session import build_session
-from tillcast.sources.readers import TRANSACTION_COLUMNS, ingest_counts, read_parts, read_table, require_columns
+from tillcast.sources.readers import TRANSACTION_COLUMNS, read_parts, read_table, require_columns
 from tillcast.sources.sinks import write_parquet
 
 
@@ -27,14 +28,16 @@ def ingest(spark: SparkSession, out: str, transactions: list[str], holidays: str
     options = {"header": "true"} if fmt == "csv" else {}
     tx = read_parts(spark, transactions, fmt, "part", **options)
     require_columns(tx, TRANSACTION_COLUMNS, "transactions")
-    write_parquet(tx, f"{out}/transactions")
+    counts = Observation()  # filled by the pass that writes
+    write_parquet(tx.observe(counts, F.count(F.lit(1)).alias("n_rows"), F.size(F.collect_set("part")).cast("long").alias("n_parts")),
+                  f"{out}/transactions")
     if holidays:
         write_parquet(distinct_holidays(read_table(spark, holidays, fmt, **options)), f"{out}/holiday_master")
     if metadata:
         table = read_table(spark, metadata, fmt, **options)
         require_columns(table, METADATA_COLUMNS, "atm_metadata")
         write_parquet(table, f"{out}/atm_metadata")
-    return ingest_counts(spark.read.parquet(f"{out}/transactions")).first().asDict()
+    return {"n_parts": counts.get["n_parts"], "n_rows": counts.get["n_rows"]}
 
 
 def main(argv: list[str] | None = None) -> None:

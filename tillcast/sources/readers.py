@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,9 +45,96 @@ def union_parts(parts: Sequence[DataFrame], part_col: str | None = None) -> Data
 
 def read_parts(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet",
                part_col: str | None = "part", **options) -> DataFrame:
-    """S1 over files: every path is one part (one sheet of the original workbook)."""
-    parts = [spark.read.format(fmt).options(**options).load(p) for p in paths]
-    return union_parts(parts, part_col)
+    """S1 over files: every path is one part (one sheet of the original workbook), a file or a folder.
+
+    CSV files with a header are grouped by it and every group is one scan; Parquet files are one scan over
+    their merged columns, unless parts disagree on a type. So the plan grows with the number of
+    headers, not of parts; the part number comes from each row's file.
+    """
+    if not paths:
+        raise ValueError("no parts to union")
+    if fmt == "csv" and str(options.get("header", "")).lower() == "true":
+        return _csv_parts(spark, paths, part_col, options)
+    if fmt == "parquet":
+        try:
+            scan = spark.read.options(**options).option("mergeSchema", "true").parquet(*dict.fromkeys(paths))
+        except AnalysisException as e:
+            if "MERGE" not in (e.getCondition() or ""):
+                raise
+        else:
+            return _numbered(scan, _part_files(spark, paths, ".parquet"), part_col)
+    return union_parts([spark.read.format(fmt).options(**options).load(p) for p in paths], part_col)
+
+
+def _part_files(spark: SparkSession, paths: Sequence[str], suffix: str = "") -> list[tuple[str, int]]:
+    """(file, part number) of all parts; a path given twice is two parts. Hidden files are left out."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def files(number: int, path: str) -> list[tuple[str, int]]:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs, out = p.getFileSystem(conf), []
+        if fs.getFileStatus(p).isFile():
+            return [(fs.getFileStatus(p).getPath().toString(), number)]
+        found = fs.listFiles(p, True)
+        while found.hasNext():
+            f = found.next().getPath()
+            if not f.getName().startswith(("_", ".")):
+                out.append((f.toString(), number))
+        return out
+
+    with ThreadPoolExecutor(16) as pool:
+        return [x for xs in pool.map(files, range(1, len(paths) + 1), paths) for x in xs]
+
+
+def _numbered(scan: DataFrame, files: list[tuple[str, int]], part_col: str | None) -> DataFrame:
+    """The rows of a scan with the number of their part, by a table of files (names, as many as there are files);
+    a file that belongs to two parts gives its rows twice."""
+    spark = scan.sparkSession
+    repeated = len({f for f, _ in files}) < len(files)
+    if not part_col and not repeated:
+        return scan
+    columns = scan.columns
+    table = F.broadcast(spark.createDataFrame([(_plain(f), n) for f, n in files], "_file string, _part int"))
+    name = F.regexp_replace(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+    out = scan.withColumn("_file", name).join(table, "_file")
+    return out.select(*columns, *([F.col("_part").alias(part_col)] if part_col else []))
+
+
+def _plain(path: str) -> str:
+    return "file:/" + path[5:].lstrip("/") if path.startswith("file:") else path
+
+
+def _csv_parts(spark: SparkSession, paths: Sequence[str], part_col: str | None, options: dict) -> DataFrame:
+    """One scan for all files of equal header lines. The first line of each file is read from the driver,
+    some at a time; nothing else of the files is."""
+    files = _part_files(spark, paths)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def header(file: str) -> str | None:
+        p = jvm.org.apache.hadoop.fs.Path(file)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(p.getFileSystem(conf).open(p), options.get("encoding", "UTF-8")))
+        try:
+            return reader.readLine()
+        finally:
+            reader.close()
+
+    names = list(dict.fromkeys(f for f, _ in files))
+    with ThreadPoolExecutor(16) as pool:
+        groups: dict[str, list[str]] = {}
+        for f, line in zip(names, pool.map(header, names)):
+            groups.setdefault(line or "", []).append(f)
+    if not groups:
+        raise ValueError("no files in the parts")
+    scans = []
+    for line, same in groups.items():
+        if not line and len(groups) > 1:
+            continue  # empty files
+        reader = spark.read.options(**options)
+        schema = reader.csv(same if str(options.get("inferSchema", "")).lower() == "true" else same[0]).schema
+        own = set(same)
+        scan = spark.read.options(**options).schema(schema).csv(same)
+        scans.append(_numbered(scan, [x for x in files if x[0] in own], part_col))
+    return union_parts(scans)
 
 
 def ingest_counts(df: DataFrame, part_col: str = "part") -> DataFrame:

@@ -16,11 +16,18 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     w.parquet(path)
 
 
-def write_report(report: DataFrame, path: str, fmt: str = "parquet", max_rows_per_file: int = 1_000_000,
-                 mode: str = "overwrite") -> None:
-    """One directory per horizon and sheet (the workbook's sheets), files capped at
-    the sheet row limit. Parquet by default; CSV with a header on request."""
-    w = (report.write.mode(mode).partitionBy("horizon", "sheet")
+def write_report(report: DataFrame, path: str, fmt: str = "parquet", max_rows_per_file: int = 1_000_000) -> None:
+    """One directory per horizon and forecast date, a sheet's rows in one file, files capped at
+    the sheet row limit. Parquet by default; CSV with a header on request.
+
+    A write replaces the directories of its own horizons and dates and leaves those of other dates,
+    so the folder keeps every run and a repeated run leaves nothing of the one before. Rows are
+    placed by sheet before the write: a sheet has at most the sheet limit, which bounds a task,
+    and as many files come out as there are sheets at most.
+    """
+    sheet = ["horizon", "forecast_date", "sheet"]
+    placed = report.repartition(*sheet).sortWithinPartitions(*sheet)
+    w = (placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("horizon", "forecast_date")
          .option("maxRecordsPerFile", int(max_rows_per_file)))
     if fmt == "csv":
         w.option("header", True).csv(path)

@@ -24,7 +24,7 @@ def test_longest_rule_wins(spark):
                            (5, "http://b.org/fr/x"), (6, "http://net/"), (7, "http://net"), (8, None), (8, None), (9, "http://notnet/")])
     assert [(got[i].rule, got[i].verdict) for i in range(1, 10)] == [
         ("example.net/en/", "allow"), ("net/", "block"), ("example.com/de/", "block"), (None, "allow"), ("org/fr/", "allow"), ("net/", "block"),
-        (None, "allow"), (None, "allow"), (None, "allow")]
+        (None, "block"), (None, "allow"), (None, "allow")]  # 7 has no path for a rule to fit, but is another writing of 6
 
 
 def test_aliases_take_blocks_unless_one_is_allowed(spark):
@@ -37,12 +37,17 @@ def test_aliases_take_blocks_unless_one_is_allowed(spark):
 
 
 def test_hub_of_aliases_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(uf, "small_enough", lambda df: False)
+    monkeypatch.setattr(uf, "small_enough", lambda *a: False)
     pages = [(i, f"http://h{i}.com/") for i in range(400)] + [(1000, "http://login.net/")]
     got = verdicts(spark, pages, [(u, "http://login.net/") for _, u in pages])
     assert {r.verdict for r in got.values()} == {"block"}
 
 
+def test_a_source_that_is_no_page_reaches_its_other_writings(spark):
+    got = verdicts(spark, [(1, "http://www.a.com/x.html"), (2, "http://b.com/")], [("http://a.com/x", "http://bad.net/")])
+    assert {i: r.verdict for i, r in got.items()} == {1: "block", 2: "allow"}
+
+
 def test_edges_from_pages(spark):
     html = ['<link rel="canonical" href="http://a.net/1">', "<LINK href=/p/2 REL=canonical>", '<meta http-equiv="refresh" content="0; url=//m.b.com/x?a=1&amp;b=2">',
             '<link rel="stylesheet" href="/s.css">', None, ""]

@@ -3,7 +3,7 @@
 Rules name a host (with all its subdomains) and a path prefix; the longest rule that fits a
 url decides it. Urls that reach the same page are aliases: a url and its plain form (no
 scheme, ``www.``/``m.``, query, fragment, ``.html`` or final slash), a page and the target of
-its canonical link, a page and the target of its redirect. Distributed connected components
+its canonical link, a page and the target of its redirect; sources and targets need not be pages. Distributed connected components
 over these edges give the groups of aliases, and a url without a rule of its own takes
 "block" from its group if a member is blocked by a rule and none is allowed by one: an
 explicit allow, its own or an alias's, has precedence. All others are allowed.
@@ -122,11 +122,14 @@ def judge_urls(pages: DataFrame, edges: DataFrame, rules: Iterable[tuple[str, st
     made = stored(made.withColumns({"rule": rule, "own": verdict}), "urls")
 
     links = edges.select("url", "target").unionByName(edges.select(F.col("target").alias("url"), plain_form(F.col("target")).alias("target"))).unionByName(
+        edges.select("url", plain_form(F.col("url")).alias("target"))).unionByName(  # a source need not be a page
         made.select("url", plain_form(F.col("url")).alias("target"))).where("url like '%://%' and target is not null")
     groups = stored(components(links, "url", "target"), "aliases")
-    decided = made.where("own is not null").select("url", "own").distinct().join(groups, F.col("url") == F.col("node"))
-    blocked = (decided.groupBy("component").agg(F.bool_or(F.col("own") == "allow").alias("allowed"), F.bool_or(F.col("own") == "block").alias("blocked"))
-               .where("blocked and not allowed").select("component"))
+    # every member counts, pages or not; plain forms have no host, so no rule fits them
+    decided = groups.select("component", own_rule(url_host(F.col("node")), url_path(F.col("node")), rules)[1].alias("own")).where("own is not null")
+    blocked = stored(decided.groupBy("component").agg(F.bool_or(F.col("own") == "allow").alias("allowed"), F.bool_or(F.col("own") == "block").alias("blocked"))
+                     .where("blocked and not allowed").select("component"), "blocked")
+    blocked = F.broadcast(blocked) if small_enough(blocked) else blocked  # else one that Spark can split
     taken = stored(groups.join(blocked, "component", "left_semi").select(F.col("node")), "taken")
     taken = F.broadcast(taken) if small_enough(taken) else taken
     out = made.join(taken, F.col("url") == F.col("node"), "left")  # a hot url is one row of ``taken``

@@ -46,8 +46,11 @@ PART_PIECES = 16_384
 MERGE = 8
 #: Words longer than this many bytes are coded without being kept.
 KEPT_BYTES = 32
-#: Words and ids that a worker keeps; beyond, the table is emptied.
-KEPT_WORDS, KEPT_IDS = 300_000, 1_500_000
+#: Words and ids that a worker keeps, some 100 MB; beyond, those stay that were asked for again.
+KEPT_WORDS, KEPT_IDS = 1_500_000, 8_000_000
+#: Words that are coded as one text.
+JOINED_WORDS = 8192
+SLICE = 1 << 20
 
 WHITE = byte_class([0x20, 0x09, 0x0A, 0x0D])
 #: Bytes below "!" may be white space to the tokenizer; so may these last bytes of characters of several bytes.
@@ -55,12 +58,12 @@ MAYBE_WHITE = byte_class([*range(0x21), 0x7F, 0x85, 0xA0, *range(0x80, 0x8B), 0x
 LEADS = byte_class([0xC2, 0xE1, 0xE2, 0xE3])
 
 
-def word_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Starts of the words of all rows, the rows' own starts included: places where white space
-    follows something that certainly is none."""
+def word_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts of the words of all rows, the rows' own starts included: places where white space follows
+    something that certainly is none; for each byte whether it ends something that is none)."""
     n = len(data)
     if not n:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, bool)
     solid = ~MAYBE_WHITE[data]
     # é ends in 0xA9 like U+2029 does: a two-byte character is white space only behind 0xC2, a three-byte one behind 0xE1 to 0xE3
     multi = np.flatnonzero(MAYBE_WHITE[data] & (data >= 0x80))
@@ -69,7 +72,7 @@ def word_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     cut = np.zeros(n, dtype=bool)
     cut[1:] = WHITE[data[1:]] & solid[:-1]
     cut[offsets[:-1][offsets[:-1] < n]] = True
-    return np.flatnonzero(cut)
+    return np.flatnonzero(cut), solid
 
 
 class WordCoder:
@@ -80,20 +83,45 @@ class WordCoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # a character of a byte-level token is a byte; an added token is its own text
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.width = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.width[i] = len(token.encode()) if i in added else len(token)
         self._empty()
 
     def _empty(self) -> None:
-        self.hashes, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.hashes, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # hashes ascend
         self.begin, self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
-    def _coded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum())), lengths
+        self.used = np.zeros(0, bool)  # since the last time that the table was full
+
+    def _coded(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, solid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, first of them and number of them for each word). Words that begin with white space and end in none are
+        coded as one text, where they are the same words, and told apart by the widths of their tokens."""
+        joined = WHITE[data[starts]] & solid[ends - 1]
+        text = data.tobytes()
+        begin, lengths = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        parts, total = [np.zeros(0, np.uint32)], 0
+        many = np.flatnonzero(joined)
+        for lo in range(0, len(many), JOINED_WORDS):
+            at = many[lo:lo + JOINED_WORDS]
+            one = b"".join([text[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]).decode()
+            ids = np.array(self.tokenizer.encode_batch_fast([one], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            edge = np.r_[0, np.searchsorted(np.cumsum(self.width[ids]), np.cumsum((ends - starts)[at])) + 1]
+            begin[at], lengths[at] = total + edge[:-1], np.diff(edge)
+            parts.append(ids)
+            total += len(ids)
+        alone = np.flatnonzero(~joined).tolist()
+        if alone:
+            for i, e in zip(alone, self.tokenizer.encode_batch_fast([text[starts[i]:ends[i]].decode() for i in alone], add_special_tokens=False)):
+                parts.append(np.array(e.ids, dtype=np.uint32))
+                begin[i], lengths[i] = total, len(e)
+                total += len(e)
+        return np.concatenate(parts), begin, lengths
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows end to end, first id of each row with the total last)."""
-        starts = word_starts(data, offsets)
+        starts, solid = word_starts(data, offsets)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         ends = np.r_[starts[1:], len(data)]
@@ -105,31 +133,49 @@ class WordCoder:
         begin, length = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
         slot = self.slots[at[known]]
         begin[known], length[known] = self.begin[slot], self.length[slot]
+        self.used[slot] = True
         new = np.flatnonzero(~known)
         ids = self.ids
         if len(new):
-            text = data.tobytes()
-            more, lengths = self._coded([text[a:b].decode() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
-            begin[new], length[new] = len(ids) + np.r_[0, np.cumsum(lengths)[:-1]], lengths
+            more, at, lengths = self._coded(data, starts[first[new]], ends[first[new]], solid)
+            begin[new], length[new] = len(ids) + at, lengths
             ids = np.concatenate([ids, more])
         per_word = length[where]
         total = np.r_[0, np.cumsum(per_word)]
-        out = ids[np.repeat(begin[where] - total[:-1], per_word) + np.arange(total[-1])]
+        out = _gathered(ids, begin[where], per_word)
         if len(new):
-            self._keep(hashes[new], (ends - starts)[first[new]] <= KEPT_BYTES, more, lengths)
+            self._keep(hashes[new], (ends - starts)[first[new]] <= KEPT_BYTES, more, at, lengths)
         return out, total[np.searchsorted(starts, offsets)]
 
-    def _keep(self, hashes: np.ndarray, short: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+    def _keep(self, hashes: np.ndarray, short: np.ndarray, ids: np.ndarray, begin: np.ndarray, lengths: np.ndarray) -> None:
         if len(self.hashes) + short.sum() > KEPT_WORDS or len(self.ids) > KEPT_IDS:
-            self._empty()
-        begin = np.r_[0, np.cumsum(lengths)[:-1]][short]
-        lengths = lengths[short]
-        total = np.r_[0, np.cumsum(lengths)]
-        slots = len(self.begin) + np.arange(len(lengths))
-        self.begin, self.length = np.r_[self.begin, len(self.ids) + total[:-1]], np.r_[self.length, lengths]
-        self.ids = np.concatenate([self.ids, ids[np.repeat(begin - total[:-1], lengths) + np.arange(total[-1])]])
-        at = np.searchsorted(self.hashes, hashes[short])  # both ascend
-        self.hashes, self.slots = np.insert(self.hashes, at, hashes[short]), np.insert(self.slots, at, slots)
+            self._thin_out()
+        hashes, begin, lengths = hashes[short], begin[short], lengths[short]
+        slots = (len(self.begin) + np.arange(len(lengths))).astype(np.int32)
+        self.begin, self.length = np.r_[self.begin, len(self.ids) + np.cumsum(lengths) - lengths], np.r_[self.length, lengths]
+        self.ids = np.concatenate([self.ids, _gathered(ids, begin, lengths)])
+        self.used = np.r_[self.used, np.zeros(len(lengths), bool)]
+        at = np.searchsorted(self.hashes, hashes)  # both ascend
+        self.hashes, self.slots = np.insert(self.hashes, at, hashes), np.insert(self.slots, at, slots)
+
+    def _thin_out(self) -> None:
+        """Only words that were asked for again since the last time stay, if they are half of the table at most."""
+        stay = self.used[self.slots]
+        if 2 * stay.sum() > KEPT_WORDS:
+            return self._empty()
+        slots = self.slots[stay]
+        begin, length = self.begin[slots], self.length[slots]
+        self.ids = _gathered(self.ids, begin, length)
+        if 2 * len(self.ids) > KEPT_IDS:
+            return self._empty()
+        self.hashes, self.slots = self.hashes[stay], np.arange(len(slots), dtype=np.int32)
+        self.begin, self.length, self.used = np.cumsum(length) - length, length, np.zeros(len(slots), bool)
+
+
+def _gathered(ids: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The runs ids[begin:begin + length] end to end."""
+    total = np.cumsum(length)
+    return ids[np.repeat(begin - total + length, length) + np.arange(total[-1] if len(total) else 0)]
 
 
 _CODERS: dict[str, WordCoder] = {}
@@ -158,7 +204,7 @@ def cut_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         c = coder(tokenizer or default_tokenizer())
-        for lo, hi, data, offsets in slices(batch.column("text")):
+        for lo, hi, data, offsets in slices(batch.column("text"), SLICE):
             ids, first = c.encode(data, offsets)
             # the end id behind each document
             whole = np.insert(ids, first[1:], np.uint32(end_id)).astype("<u4").tobytes()

@@ -77,11 +77,42 @@ def test_odd_rows(spark):
     docs = spark.createDataFrame([(5, long), (4, long), (4, long), (None, long), (7, None), (8, None), (None, None)], "doc_id long, text string")
     rows = sorted((r.doc_id or 0, r.n_shingles, r.component_id, r.kept) for r in nd.near_duplicates(docs).collect())
     assert rows == [(0, 0, None, True), (0, 7, None, True), (4, 7, 4, True), (4, 7, 4, True), (5, 7, 4, False), (7, 0, 7, True), (8, 0, 8, True)]
-    assert sorted((r.doc_id or 0) for r in nd.keep_first(docs).collect()) == [0, 0, 4, 7, 8]
+    # one row of the group of equal texts stays, whatever the ids; rows without words are no copies
+    assert sorted((r.doc_id or 0) for r in nd.keep_first(docs).collect()) == [0, 4, 7, 8]
     empty = docs.limit(0)
     assert nd.near_duplicates(empty).count() == 0 and nd.keep_first(empty).count() == 0
 
 
+def test_rows_with_one_id_and_different_texts_stay(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    docs = spark.createDataFrame([(1, a), (1, b), (None, a + " more"), (None, "c d e f g h i"), (2, b), (3, "")], "doc_id long, text string").withColumn("number", F.lit("clash"))
+    kept = nd.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(0, "c d e f g h i"), (1, a), (1, b), (3, "")]
+
+
+def test_small_sets_are_confirmed_whatever_their_sketches(spark, monkeypatch):
+    """Sets of 4 and 3 shingles with 3 in common are linked, although a floor of 1 refuses all but equal sketches of large sets."""
+    rows = [(10 * i + j, " ".join(f"t{i}w{k}" for k in range(8 - j))) for i in range(200) for j in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in nd.near_duplicates(docs, nd.NearDedup(floor=1.0)).collect()}
+    assert got == {i: i - i % 10 for i, _ in rows}
+
+
+def test_template_documents_meet_in_few_pairs(spark, monkeypatch):
+    """Documents that share a template of half their words: linked are only copies; the join on rare shingles compares few."""
+    rng = random.Random(5)
+    template = [f"t{i}" for i in range(120)]
+    rows = [(i, " ".join(template + [f"d{i}x{rng.randint(0, 10**6)}" for _ in range(60)])) for i in range(1500)]
+    rows += [(5000 + i, t + " end") for i, t in rows[:50]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, plain = [], nd._prefix_pairs
+    monkeypatch.setattr(nd, "_prefix_pairs", lambda *a: seen.append(nd.stored(plain(*a), "pairs")) or seen[-1])
+    got = {r.doc_id: r.component_id for r in nd.near_duplicates(docs).collect()}
+    assert got == {i: i - 5000 if i >= 5000 else i for i, _ in rows}
+    assert all(x.count() < 5 * len(rows) for x in seen)
+
+
 @pytest.mark.parametrize("shape", ["path", "star", "random"])
 def test_components(spark, shape):
     rng = random.Random(1)

@@ -6,20 +6,22 @@ sketch: one hash per shingle, its top part picks one of the bins, the bin keeps
 and an empty bin copies the first filled bin of an order fixed for that bin and shared by all
 sets (optimal densification). The sketch is cut into bands; sets with an equal band share a
 bucket. Every member of a bucket is paired with its smallest member only (a star), so the
-pairs grow with the rows. Pairs whose sketches are clearly apart are left out, the others are
-confirmed on their full sets; the confirmed links give connected components.
+pairs grow with the rows. Pairs of large sets whose sketches are clearly apart are left out, the others
+are confirmed on their full sets; the confirmed links give connected components.
 
 Stars alone could miss a link between two members that the centre is not linked with.
 So the documents of buckets that hold more than one component after that are looked at again:
-a prefix-filtered set join (rarest shingles first, with positional bounds) gives every pair of
-different components that could meet the limit. Copies of one text with many changes, or a
+a prefix-filtered set join (rarest shingles first, a shorter prefix for the smaller set, with positional
+bounds) gives every pair of different components that could meet the limit, and each is confirmed on
+its full sets, whatever its sketches say. Copies of one text with many changes, or a
 passage that many documents share, thus cost a few rows a document instead of all their
 pairs. No bucket is dropped or capped.
 
 With 50 bands of 4 rows a pair at the limit (Jaccard 0.75) shares no band with probability about
 6e-9 if bins are independent; bins of small sets are not (many are copies). Simulated at the limit,
-6,000 pairs each of unions of 4, 8, 12, 20, 40, 80, 200 and 600 shingles: none missed, none below
-``floor`` (so under about 0.05% of such pairs at each size, at 95%).
+6,000 pairs each of unions of 4, 8, 12, 20, 40, 80, 200 and 600 shingles: none missed (so under about
+0.05% of such pairs at each size, at 95%). ``floor`` is asked only of sets with as many shingles as bins
+or more, where 200 bins that agree with probability 0.75 each agree in under half with about 1e-14.
 
 Defined results: null, empty and blank texts have an empty set and are linked with nothing;
 texts of fewer than five words have one shingle, the whole sequence. Repeated rows are returned
@@ -49,7 +51,7 @@ class NearDedup:
     link_pct: int = 75
     bands: int = 50
     rows: int = 4
-    floor: float = 0.5       # sketches that agree on fewer bins are not confirmed
+    floor: float = 0.5       # sketches of large sets that agree on fewer bins are not confirmed
     chunk: int = 64          # members confirmed against one copy of their centre's text
 
     @property
@@ -129,7 +131,7 @@ def sketches(docs: DataFrame, p: NearDedup, id_col: str = "doc_id", text_col: st
 
 
 def _alike(pairs: DataFrame, reps: DataFrame, p: NearDedup) -> DataFrame:
-    """Pairs (a, b) whose sizes allow a link and whose sketches agree on at least ``floor`` of the bins."""
+    """Pairs (a, b) whose sizes allow a link and, if both have ``bins`` shingles, whose sketches agree on at least ``floor`` of the bins."""
     one = reps.select(F.col("row_id").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa"))
     two = reps.select(F.col("row_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("sb"))
     both = (pairs.join(one, "a").join(two, "b")
@@ -140,10 +142,11 @@ def _alike(pairs: DataFrame, reps: DataFrame, p: NearDedup) -> DataFrame:
     def work(batch: pa.RecordBatch):
         n = batch.num_rows
         x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(n, -1) for c in ("sa", "sb"))
-        keep = pa.array((x == y).mean(axis=1) >= p.floor)
+        small = batch.column("n").to_numpy() < p.bins  # their bins depend on each other
+        keep = pa.array(small | ((x == y).mean(axis=1) >= p.floor))
         yield {c: batch.column(c).filter(keep) for c in ("a", "b")}
 
-    return map_arrow(both.select("a", "b", "sa", "sb"), work, schema)
+    return map_arrow(both.select("a", "b", "sa", "sb", F.least("na", "nb").alias("n")), work, schema)
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, p: NearDedup) -> DataFrame:
@@ -238,11 +241,14 @@ def _prefix_pairs(unsettled: DataFrame, docs: DataFrame, p: NearDedup) -> DataFr
     mixed = prefix.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("shingle")
     prefix = stored(prefix.join(mixed, "shingle", "left_semi"), "prefixes")
     x, y = prefix.alias("x"), prefix.alias("y")
+    # x is the smaller set: it needs only as many of its rarest shingles as a pair of its own size would
+    short = F.col("x.n") - F.ceil(2 * p.link_pct * F.col("x.n") / (100 + p.link_pct)) + 1
+    smaller = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.row_id") < F.col("y.row_id")))
     need = F.ceil(p.link_pct * (F.col("x.n") + F.col("y.n")) / (100 + p.link_pct))
     room = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-    on = ((F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.row_id") < F.col("y.row_id")) & (F.col("x.component") != F.col("y.component")) & (room >= need)
-          & (100 * F.least("x.n", "y.n") >= p.link_pct * F.greatest("x.n", "y.n")))
-    return x.join(y, on).select(F.col("x.row_id").alias("a"), F.col("y.row_id").alias("b")).distinct()
+    on = ((F.col("x.shingle") == F.col("y.shingle")) & smaller & (F.col("x.pos") < short) & (F.col("x.component") != F.col("y.component")) & (room >= need)
+          & (100 * F.col("x.n") >= p.link_pct * F.col("y.n")))
+    return x.join(y, on).select(F.least("x.row_id", "y.row_id").alias("a"), F.greatest("x.row_id", "y.row_id").alias("b")).distinct()
 
 
 def linked_components(reps: DataFrame, docs: DataFrame, p: NearDedup) -> DataFrame:
@@ -256,30 +262,35 @@ def linked_components(reps: DataFrame, docs: DataFrame, p: NearDedup) -> DataFra
     found = stored(components(stored(confirm(tried, docs, p), "links")), "components")
     unsettled = _unsettled(members, found)
     if not unsettled.isEmpty():
-        pairs = _untried(_prefix_pairs(unsettled, docs, p), tried, reps, p)
+        pairs = _untried(_prefix_pairs(unsettled, docs, p), tried)
         found = _merged(found, stored(confirm(pairs, docs, p), "links"))
     return found
 
 
-def _untried(pairs: DataFrame, tried: DataFrame, reps: DataFrame, p: NearDedup) -> DataFrame:
-    """Pairs not yet confirmed or refused, either way round, that their sketches allow."""
+def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
+    """Pairs not yet confirmed or refused on their full sets, either way round."""
     both = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    return stored(_alike(pairs.join(both, ["a", "b"], "left_anti"), reps, p), "pairs")
+    return stored(pairs.join(both, ["a", "b"], "left_anti"), "pairs")
 
 
 def keep_first(docs: DataFrame, p: NearDedup = NearDedup(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of every group, with the columns it came with; of rows with one id, one. Rows without an id stay."""
-    judged = stored(near_duplicates(docs, p, id_col, text_col), "judged")
-    kept = judged.where(F.col("kept") & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("kept_id")).agg(F.count("*").alias("rows"))
-    kept = stored(kept, "kept")
-    dropped = judged.where(~F.col("kept")).select(F.col(id_col).alias("kept_id")).distinct()
-    out = docs.join(_hinted(dropped), docs[id_col] == dropped["kept_id"], "left_anti")
-    again = kept.where("rows > 1").select("kept_id")
-    if again.isEmpty():
-        return out
-    again = _hinted(again)
-    return out.join(again, out[id_col] == again["kept_id"], "left_anti").unionByName(
-        out.join(again, out[id_col] == again["kept_id"], "left_semi").dropDuplicates([id_col]))
+    """One document of every group, with the columns it came with: that of the smallest id.
+
+    Where ids are missing or shared, rows are told apart by a number of their own, stored with them: of rows
+    with one id and different texts each has its own group, rows without an id are grouped like
+    all others, and of each group one row of the smallest id stays. Texts without words are no copies of each other and stay.
+    """
+    ids = docs.groupBy(F.col(id_col).alias("id")).agg(F.count("*").alias("rows"))
+    if ids.where("rows > 1 or id is null").isEmpty():
+        dropped = _hinted(stored(near_duplicates(docs, p, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("dropped_id")), "dropped"))
+        return docs.join(dropped, docs[id_col] == dropped["dropped_id"], "left_anti")
+    number = "row_number_of_keep_first"
+    numbered = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    judged = near_duplicates(numbered, p, number, text_col).select(F.col(number).alias("number"), "component_id")
+    named = judged.join(numbered.select(F.col(number).alias("number"), F.col(id_col).alias("id")), "number")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "number")).alias("first"))
+    dropped = _hinted(stored(judged.join(first.select(F.col("first.number").alias("number")), "number", "left_anti").select(F.col("number").alias("dropped_id")), "dropped"))
+    return numbered.join(dropped, numbered[number] == dropped["dropped_id"], "left_anti").drop(number)
 
 
 def _hinted(df: DataFrame) -> DataFrame:

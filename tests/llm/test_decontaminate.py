@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillcast.llm import decontaminate as dc
 
@@ -52,9 +53,9 @@ def test_equals_brute_force(spark, monkeypatch, small):
     want = brute(docs, items)
     assert rows_of(dc.contamination(frame, bench)) == want
     clean = dc.keep_clean(frame, bench)
-    bad = {r[0] for r in want if r[4] and r[0]}
+    bad = {r[0] or 0 for r in want if r[4]}  # a row without an id has its own verdict, too
     assert clean.columns == frame.columns
-    assert sorted(r.doc_id or 0 for r in clean.collect()) == sorted((d or 0) for d, _ in docs if d not in bad)
+    assert sorted(r.doc_id or 0 for r in clean.collect()) == sorted((d or 0) for d, _ in docs if (d or 0) not in bad)
 
 
 @pytest.mark.parametrize("small", [True, False])
@@ -85,3 +86,13 @@ def test_nothing(spark):
     items = spark.createDataFrame([], "item_id long, text string")
     assert rows_of(dc.contamination(docs, items)) == [(1, 2, 0, [], False)]
     assert dc.contamination(docs.limit(0), items).count() == 0
+
+
+def test_rows_with_one_id_get_each_their_own_verdict(spark):
+    passage = " ".join(f"bench{i}" for i in range(20))
+    items = spark.createDataFrame([("i", passage)], "item_id string, text string")
+    rows = [(1, "all clean here"), (1, passage), (None, passage), (None, "clean too"), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("bad_key", F.lit("clash"))
+    kept = dc.keep_clean(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, "clean too"), (1, "all clean here"), (2, "")]

@@ -51,7 +51,7 @@ def test_a_full_table_is_thinned_out(monkeypatch):
     texts = [" ".join(rng.choice(["often", "seen", "words"]) if rng.random() < 0.5 else f"w{rng.randint(0, 10**6)}" for _ in range(20)) for _ in range(60)]
     lib = library()
     got, c = coded(texts, 400)
-    assert got == [lib.encode(t, add_special_tokens=False).ids for t in texts] and len(c.hashes) <= 60 + 80
+    assert got == [lib.encode(t, add_special_tokens=False).ids for t in texts] and len(c.table.hashes) <= 60 + 80
 
 
 def optimum(sizes, capacity):

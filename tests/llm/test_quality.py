@@ -50,6 +50,27 @@ def test_host_verdicts_are_shrunk_and_joined_back(spark):
     assert sorted(map(str, wide.collect())) == sorted(map(str, qr.judge(docs).collect()))
 
 
+def test_a_host_is_judged_against_all_hosts(spark):
+    """Rates of 20 % and 5 % in hosts of 100: only the first is above the mean by a tenth; in hosts of 3 documents nothing is known."""
+    good, bad = " ".join(f"word{i}" for i in range(60)), " ".join(f"w{i}#" for i in range(60))
+    rows = [(h, bad if i < n else good) for h, n in (("often", 20), *((f"s{j}", 5) for j in range(9))) for i in range(100)] + [("tiny", good)] * 2 + [("tiny", bad)]
+    docs = spark.createDataFrame([(i, t, h) for i, (h, t) in enumerate(rows)], "doc_id long, text string, source string")
+    out = qr.judge(docs).join(docs.withColumnRenamed("doc_id", "d"), F.col("doc_id") == F.col("d"))
+    assert {r.source for r in out.where("host_failed").select("source").distinct().collect()} >= {"often"}
+    assert out.where("not kept and source = 'often'").count() == 20 and out.where("not kept and source like 's%'").count() == 0
+    same = spark.createDataFrame([(i, bad, f"h{i % 3}") for i in range(30)], "doc_id long, text string, source string")
+    assert qr.judge(same).where("kept").count() == 0  # all above the limit that holds whatever the mean
+
+
+def test_rows_with_one_id_get_each_their_own_verdict(spark):
+    good = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, good, "a"), (1, "short", "a"), (None, good, "a"), (None, None, "a"), (None, good, None), (2, " ".join(f"long{i}" for i in range(90_000)), "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("dropped_key", F.lit("clash"))
+    kept = qr.keep_good(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id or 0, r.source or "") for r in kept.collect())) == [(0, ""), (0, "a"), (1, "a"), (2, "a")]
+
+
 def test_many_hosts_are_joined_by_shuffle(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
     one = sorted(map(tuple, qr.judge(docs).collect()))

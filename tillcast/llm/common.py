@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,7 +15,7 @@ from pyspark.sql import types as T
 from tillcast.operators.joins import BROADCAST_MAX_BYTES, estimated_row_bytes
 from tillcast.session import scratch_path, shared_dir
 
-__all__ = ["BROADCAST_MAX_BYTES", "stored", "small_enough", "map_arrow", "narrow", "read_table", "small_batches", "scratch_path", "shared_dir"]
+__all__ = ["BROADCAST_MAX_BYTES", "content_key", "stored", "small_enough", "map_arrow", "narrow", "read_table", "small_batches", "scratch_path", "shared_dir"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +35,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def content_key(*cols: str) -> F.Column:
+    """128-bit key of the values of some columns, nulls told apart from all values: what a verdict that depends on
+    nothing else is joined back on, so that rows with one id, or none, get each their own."""
+    parts = [x for c in cols for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    return F.concat_ws(":", F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts, F.lit(3)))
+
+
 def small_enough(df: DataFrame, rows: int | None = None, most: int = BROADCAST_MAX_BYTES) -> bool:
     """True when the counted rows at a conservative width fit into one broadcast."""
     rows = df.count() if rows is None else rows
@@ -53,14 +63,37 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], schema: T.StructType) -> DataFrame:
-    """``fn`` turns one Arrow batch into column dicts (name -> array or list); each becomes a batch."""
+#: Large tables that operators hold in a worker process between tasks, by name.
+_WORKER_TABLES: dict[str, dict] = {}
+
+
+def worker_tables(name: str) -> dict:
+    """A dictionary for them that is emptied when the worker goes on to an operator that does not use it."""
+    return _WORKER_TABLES.setdefault(name, {})
+
+
+def use_only(name: str | None) -> None:
+    """At the start of a task: all worker tables but those of ``name`` are emptied, their memory goes back to the system."""
+    held = [x for k, x in _WORKER_TABLES.items() if x and k != name]
+    if held:
+        for x in held:
+            x.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # the C library of another system
+            ctypes.CDLL(None).malloc_trim(0)
+
+
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], schema: T.StructType, tables: str | None = None) -> DataFrame:
+    """``fn`` turns one Arrow batch into column dicts (name -> array or list); each becomes a batch.
+    ``tables``: name of the worker tables that ``fn`` uses; others are given up."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     small_batches(df.sparkSession)
     target = to_arrow_schema(schema)
 
     def run(batches):
+        use_only(tables)
         for batch in batches:
             if batch.num_rows:
                 for cols in fn(batch):

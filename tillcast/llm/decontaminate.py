@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillcast.llm import textbytes as tb
-from tillcast.llm.common import map_arrow, narrow, small_enough, stored
+from tillcast.llm.common import content_key, map_arrow, narrow, small_enough, stored
 
 
 @dataclass(frozen=True)
@@ -205,8 +205,10 @@ def contamination(docs: DataFrame, items: DataFrame, p: Decontamination = Decont
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, p: Decontamination = Decontamination(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that are not contaminated, with the columns they came with. Documents that share an id share
-    the verdict of the worst; those without an id stay."""
-    bad = stored(contamination(docs, items, p, id_col, text_col).where("contaminated").select(F.col(id_col).alias("bad_id")).distinct(), "contaminated")
+    """The documents that are not contaminated, with the columns they came with. A verdict depends on the text
+    alone and is joined back on it, so rows that share an id, or have none, get each their own."""
+    key = "content_key_of_keep_clean"
+    docs = docs.withColumn(key, content_key(text_col))
+    bad = stored(contamination(docs, items, p, key, text_col).where("contaminated").select(F.col(key).alias("bad_key")).distinct(), "contaminated")
     bad = F.broadcast(bad) if small_enough(bad) else bad
-    return docs.join(bad, docs[id_col] == bad["bad_id"], "left_anti")
+    return docs.join(bad, docs[key] == bad["bad_key"], "left_anti").drop(key)

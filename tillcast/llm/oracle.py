@@ -25,7 +25,7 @@ p AS (SELECT avg(x1 / n) AS m1, var_pop(x1 / n) AS v1, avg(x2 / n) AS m2, var_po
 k AS (SELECT *, CASE WHEN v1 > 0 THEN least(greatest(m1 * (1 - m1) / v1 - 1, 1), 1e4) ELSE 1e4 END AS k1,
              CASE WHEN v2 > 0 THEN least(greatest(m2 * (1 - m2) / v2 - 1, 1), 1e4) ELSE 1e4 END AS k2,
              CASE WHEN v3 > 0 THEN least(greatest(m3 * (1 - m3) / v3 - 1, 1), 1e4) ELSE 1e4 END AS k3 FROM p),
-v AS (SELECT source, (x1 + m1 * k1) / (n + k1) > 0.5 AS h1, (x2 + m2 * k2) / (n + k2) > 0.5 AS h2, (x3 + m3 * k3) / (n + k3) > 0.5 AS h3 FROM h, k)
+v AS (SELECT source, (x1 + m1 * k1) / (n + k1) > least(0.5::DOUBLE, 1.1::DOUBLE * m1) AS h1, (x2 + m2 * k2) / (n + k2) > least(0.5::DOUBLE, 1.1::DOUBLE * m2) AS h2, (x3 + m3 * k3) / (n + k3) > least(0.5::DOUBLE, 1.1::DOUBLE * m3) AS h3 FROM h, k)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT (f1 AND h1 OR f2 AND h2 OR f3 AND h3) AS kept
 FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source

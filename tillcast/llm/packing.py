@@ -37,7 +37,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillcast.llm.common import map_arrow, narrow, stored
+from tillcast.llm.common import map_arrow, narrow, stored, worker_tables
+from tillcast.llm.idtable import IdTable, gathered
 from tillcast.llm.textbytes import byte_class, slices, span_hashes
 
 CAPACITY = 1024
@@ -88,12 +89,7 @@ class WordCoder:
         self.width = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             self.width[i] = len(token.encode()) if i in added else len(token)
-        self._empty()
-
-    def _empty(self) -> None:
-        self.hashes, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # hashes ascend
-        self.begin, self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-        self.used = np.zeros(0, bool)  # since the last time that the table was full
+        self.table = IdTable(KEPT_WORDS, KEPT_IDS)
 
     def _coded(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, solid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, first of them and number of them for each word). Words that begin with white space and end in none are
@@ -126,59 +122,23 @@ class WordCoder:
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         ends = np.r_[starts[1:], len(data)]
         hashes, first, where = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        at = np.searchsorted(self.hashes, hashes)
-        known = np.zeros(len(hashes), dtype=bool)
-        inside = at < len(self.hashes)
-        known[inside] = self.hashes[at[inside]] == hashes[inside]
-        begin, length = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
-        slot = self.slots[at[known]]
-        begin[known], length[known] = self.begin[slot], self.length[slot]
-        self.used[slot] = True
+        known, begin, length = self.table.find(hashes)
         new = np.flatnonzero(~known)
-        ids = self.ids
+        ids = self.table.ids
         if len(new):
             more, at, lengths = self._coded(data, starts[first[new]], ends[first[new]], solid)
             begin[new], length[new] = len(ids) + at, lengths
             ids = np.concatenate([ids, more])
         per_word = length[where]
         total = np.r_[0, np.cumsum(per_word)]
-        out = _gathered(ids, begin[where], per_word)
+        out = gathered(ids, begin[where], per_word)
         if len(new):
-            self._keep(hashes[new], (ends - starts)[first[new]] <= KEPT_BYTES, more, at, lengths)
+            short = (ends - starts)[first[new]] <= KEPT_BYTES
+            self.table.keep(hashes[new][short], more, at[short], lengths[short])
         return out, total[np.searchsorted(starts, offsets)]
 
-    def _keep(self, hashes: np.ndarray, short: np.ndarray, ids: np.ndarray, begin: np.ndarray, lengths: np.ndarray) -> None:
-        if len(self.hashes) + short.sum() > KEPT_WORDS or len(self.ids) > KEPT_IDS:
-            self._thin_out()
-        hashes, begin, lengths = hashes[short], begin[short], lengths[short]
-        slots = (len(self.begin) + np.arange(len(lengths))).astype(np.int32)
-        self.begin, self.length = np.r_[self.begin, len(self.ids) + np.cumsum(lengths) - lengths], np.r_[self.length, lengths]
-        self.ids = np.concatenate([self.ids, _gathered(ids, begin, lengths)])
-        self.used = np.r_[self.used, np.zeros(len(lengths), bool)]
-        at = np.searchsorted(self.hashes, hashes)  # both ascend
-        self.hashes, self.slots = np.insert(self.hashes, at, hashes), np.insert(self.slots, at, slots)
-
-    def _thin_out(self) -> None:
-        """Only words that were asked for again since the last time stay, if they are half of the table at most."""
-        stay = self.used[self.slots]
-        if 2 * stay.sum() > KEPT_WORDS:
-            return self._empty()
-        slots = self.slots[stay]
-        begin, length = self.begin[slots], self.length[slots]
-        self.ids = _gathered(self.ids, begin, length)
-        if 2 * len(self.ids) > KEPT_IDS:
-            return self._empty()
-        self.hashes, self.slots = self.hashes[stay], np.arange(len(slots), dtype=np.int32)
-        self.begin, self.length, self.used = np.cumsum(length) - length, length, np.zeros(len(slots), bool)
-
-
-def _gathered(ids: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """The runs ids[begin:begin + length] end to end."""
-    total = np.cumsum(length)
-    return ids[np.repeat(begin - total + length, length) + np.arange(total[-1] if len(total) else 0)]
-
 
-_CODERS: dict[str, WordCoder] = {}
+_CODERS: dict[str, WordCoder] = worker_tables("words")
 
 
 def coder(path: str) -> WordCoder:
@@ -222,7 +182,7 @@ def cut_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None
             yield {"key": batch.column("key").take(rows), "row_id": batch.column("row_id").take(rows), "piece": piece.astype(np.int32), "start": start, "length": length,
                    "ids_crc32": list(map(zlib.crc32, parts))} | ({"ids": parts} if with_ids else {})
 
-    return map_arrow(rows, work, schema)
+    return map_arrow(rows, work, schema, "words")
 
 
 @lru_cache(maxsize=4)

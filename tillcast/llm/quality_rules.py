@@ -3,9 +3,9 @@
 Method: every document is measured by a few rules; rule failures are counted by host
 (``source``); the failure rate of each host and rule is shrunk towards the rate of all hosts
 with an empirical beta prior (method of moments over hosts); a host whose shrunk rate of a
-rule is above ``host_limit`` gets a verdict for that rule, which is joined back: in such a
-host a document that fails the rule is dropped, elsewhere a failed soft rule alone is
-tolerated. The base rules (too short, too repetitive) drop a document in any host.
+rule is above ``host_factor`` times the prior's mean, or above ``host_limit``, gets a verdict for
+that rule, which is joined back: in such a host a document that fails the rule is dropped, in a
+host that fails it no more often than others a failed soft rule alone is tolerated. The base rules (too short, too repetitive) drop a document in any host.
 
 Words are runs of bytes other than space and \\t \\n \\v \\f \\r. Texts are measured whole.
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillcast.llm import textbytes as tb
-from tillcast.llm.common import map_arrow, narrow, small_enough, stored
+from tillcast.llm.common import content_key, map_arrow, narrow, small_enough, stored
 
 SYMBOLS = tb.byte_class(b"#*$%&|<>")
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
@@ -37,7 +37,8 @@ class QualityRules:
     repeat_pct: int = 50      # most words in repeated 3-word windows, in percent
     symbol_pct: int = 30      # most symbols for 100 words
     dup_line_pct: int = 30    # most repeated lines, in percent of the lines with a word
-    host_limit: float = 0.5   # shrunk failure rate above which a host gets a verdict
+    host_factor: float = 1.1  # times the mean rate: a shrunk failure rate above that gets a verdict ...
+    host_limit: float = 0.5   # ... and so does one above this, whatever the mean
     most_weight: float = 1e4  # most documents that the prior may weigh
     salts: int = 16
 
@@ -114,7 +115,8 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
 
 
 def host_rates(measured: DataFrame, rules: QualityRules) -> DataFrame:
-    """Per host: documents and, for each soft rule, the shrunk failure rate ``rate_<rule>``."""
+    """Per host: documents and, for each soft rule, the shrunk failure rate ``rate_<rule>`` and the rate above which
+    a host gets a verdict, ``limit_<rule>``."""
     fails = rules.failures()
     hosts = measured.groupBy("host").agg(F.count("*").alias("docs"), *[F.count_if(e).alias(k) for k, e in fails.items()])
     prior = hosts.agg(*[x for k in fails for x in (F.avg(F.col(k) / F.col("docs")).alias(f"m_{k}"),
@@ -123,7 +125,7 @@ def host_rates(measured: DataFrame, rules: QualityRules) -> DataFrame:
     for k in fails:
         mean, var = prior[f"m_{k}"] or 0.0, prior[f"v_{k}"] or 0.0
         weight = min(max(mean * (1 - mean) / var - 1, 1.0), rules.most_weight) if var > 0 else rules.most_weight
-        out = out.withColumn(f"rate_{k}", (F.col(k) + F.lit(mean * weight)) / (F.col("docs") + F.lit(weight)))
+        out = out.withColumns({f"rate_{k}": (F.col(k) + F.lit(mean * weight)) / (F.col("docs") + F.lit(weight)), f"limit_{k}": F.lit(min(rules.host_limit, rules.host_factor * mean))})
     return out
 
 
@@ -133,7 +135,7 @@ def judge(docs: DataFrame, rules: QualityRules = QualityRules(), id_col: str = "
     measured = stored(measure(docs, id_col, text_col, host_col), "quality")
     rates = host_rates(measured, rules)
     verdicts = rates.select(F.col("host").alias("verdict_host"),
-                            *[(F.col(f"rate_{k}") > rules.host_limit).alias(f"host_{k}") for k in rules.failures()])
+                            *[(F.col(f"rate_{k}") > F.col(f"limit_{k}")).alias(f"host_{k}") for k in rules.failures()])
     verdicts = verdicts.where(" or ".join(f"host_{k}" for k in rules.failures()))
     if small_enough(verdicts):
         joined = measured.join(F.broadcast(verdicts), F.col("host").eqNullSafe(F.col("verdict_host")), "left")
@@ -152,9 +154,12 @@ def keep_good(docs: DataFrame, rules: QualityRules = QualityRules(), id_col: str
               host_col: str = "source") -> DataFrame:
     """The documents that the rules keep, with the columns they came with.
 
-    Verdicts are joined back on the id: rows that share an id (none, too) share the mildest verdict.
+    A verdict depends on a document's text and host alone and is joined back on them, so rows that share an
+    id, or have none, get each their own.
     """
-    judged = judge(docs, rules, id_col, text_col, host_col)
-    kept = stored(judged.where("kept").select(F.col(id_col).alias("kept_id")).distinct(), "kept")
-    kept = F.broadcast(kept) if small_enough(kept) else kept
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["kept_id"]), "left_semi")
+    key = "content_key_of_keep_good"
+    docs = docs.withColumn(key, content_key(text_col, host_col))
+    judged = judge(docs, rules, key, text_col, host_col)
+    dropped = stored(judged.where("not kept").select(F.col(key).alias("dropped_key")).distinct(), "dropped")
+    dropped = F.broadcast(dropped) if small_enough(dropped) else dropped
+    return docs.join(dropped, docs[key] == dropped["dropped_key"], "left_anti").drop(key)

@@ -40,13 +40,42 @@ def test_long_texts_and_runs(lib):
 
 
 def test_caches_are_bounded(monkeypatch):
-    c = pc.PieceCodec(pc.default_model())
     monkeypatch.setattr(pc, "CACHED_CHUNKS", 5)
     monkeypatch.setattr(pc, "CACHED_PAIRS", 5)
+    c = pc.PieceCodec(pc.default_model())
     text = " ".join(f"word{i}x" for i in range(200))
     assert c.encode(text) == c.processor.encode(text)
     assert c.encode("some more") == c.processor.encode("some more")
-    assert len(c.chunks) <= 10 and len(c.pairs) <= 5
+    texts = [" ".join(f"w{i % 7}x{j}" for j in range(4)) for i in range(60)]
+    assert [x.tolist() for t in texts for x in c.coded_many([t])] == [c.processor.encode(t) for t in texts]
+    assert len(c.table.hashes) <= 5 + 8 and c.n_pairs <= 5 + 1 and sum(map(len, c.pairs.values())) <= 5 + 1
+
+
+def test_chunks_are_the_matches_of_the_cuts():
+    import re
+
+    import numpy as np
+
+    rng = random.Random(8)
+    for level, cut in enumerate(pc.CUTS):
+        for _ in range(300):
+            texts = ["".join(rng.choice("▁▁aZéÖ×÷ɏɐ1.日\n😀") for _ in range(rng.randint(0, 30))) for _ in range(rng.randint(0, 4))]
+            points = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+            rows = np.cumsum([0, *map(len, texts)])[:-1].astype(np.int64)
+            starts = pc.chunk_starts(points, rows, level).tolist()
+            whole, want = "".join(texts), [x for t in texts for x in re.findall(cut, t)]
+            assert [whole[a:b] for a, b in zip(starts, [*starts[1:], len(whole)])] == want
+
+
+def test_a_worker_gives_up_tables_of_other_operators():
+    from tillcast.llm import common
+
+    mine, other = common.worker_tables("mine"), common.worker_tables("other")
+    mine["a"], other["b"] = 1, 2
+    common.use_only("mine")
+    assert mine == {"a": 1} and other == {}
+    common.use_only(None)
+    assert mine == {}
 
 
 def test_table_equals_library(spark, lib):

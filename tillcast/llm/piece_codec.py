@@ -9,8 +9,9 @@ build. Pieces whose merge scores tie with another piece (in public models the ru
 spaces) order merges by place instead of by piece, which pairwise checks cannot see, so a
 chunk that holds such a run is merged directly.
 
-Texts are cut into chunks where no piece of the vocabulary can reach across; the codes of
-recent chunks are kept in two tables of bounded size per worker.
+Texts are cut into chunks where no piece of the vocabulary can reach across, some texts at a time and
+as arrays of code points; the ids of recent chunks are kept in a table of bounded size per worker
+(``idtable``, by 64-bit hashes of the chunks), the checked pairs in another.
 
 Defined results: null and empty text: no ids, decoded to the empty text. Texts of any length
 are encoded whole. Rows are independent: repeated rows give repeated results. Further
@@ -27,14 +28,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tillcast.llm.common import map_arrow, narrow
+from tillcast.llm import textbytes as tb
+from tillcast.llm.common import map_arrow, narrow, worker_tables
+from tillcast.llm.idtable import IdTable, gathered
 
 SPACE = "▁"
 #: Candidate cuts, finest first; a model uses the first that never divides one of its pieces.
 LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 CUTS = (rf"{SPACE}*[{LATIN}]+|{SPACE}*[^{LATIN}{SPACE}]+|{SPACE}+", rf"{SPACE}*[^{SPACE}]+|{SPACE}+", r"(?s:.+)")
-CACHED_CHUNKS, CACHED_CHARS = 120_000, 24
-CACHED_PAIRS = 120_000
+LATIN_POINTS = np.array([re.match(f"[{LATIN}]", chr(i)) is not None for i in range(0x250)])
+CACHED_CHUNKS, CACHED_CHARS, CACHED_IDS = 500_000, 24, 4_000_000
+CACHED_PAIRS = 400_000
+
+
+def chunk_starts(points: np.ndarray, rows: np.ndarray, level: int) -> np.ndarray:
+    """Where ``CUTS[level]`` begins a match in texts of code points; ``rows``: where the texts begin."""
+    first = np.zeros(len(points), dtype=bool)
+    first[rows[rows < len(points)]] = True
+    if level < 2 and len(points):
+        kind = np.ones(len(points), dtype=np.int8)
+        kind[points == ord(SPACE)] = 0
+        if level == 0:
+            latin = points < len(LATIN_POINTS)
+            latin[latin] = LATIN_POINTS[points[latin]]
+            kind[latin] = 2
+        first[1:] |= np.where(kind[1:] == 0, kind[:-1] != 0, (kind[:-1] != 0) & (kind[1:] != kind[:-1]))
+    return np.flatnonzero(first)
 
 
 class PieceCodec:
@@ -71,13 +90,12 @@ class PieceCodec:
                 cut = cut[:-1]
             if cut:
                 self.shorter[piece] = cut
-        for cut in CUTS:
-            self.cut = re.compile(cut)
-            if all(len(self.cut.findall(x)) == 1 for x in self.scores):
+        for self.level, cut in enumerate(CUTS):
+            if all(len(re.findall(cut, x)) == 1 for x in self.scores):
                 break
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.chunks: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.pairs: dict[str, dict[str, bool]] = {}  # by the left piece
+        self.n_pairs = 0
+        self.table = IdTable(CACHED_CHUNKS, CACHED_IDS)
         self.decimal = [str(i) for i in range(p.get_piece_size())]
 
     def merge(self, text: str) -> list[str]:
@@ -124,11 +142,17 @@ class PieceCodec:
 
     def fits(self, a: str, b: str) -> bool:
         """True if merging a + b gives a and b again; with no a, if b is what merging its own text gives."""
-        ok = self.pairs.get((a, b))
+        row = self.pairs.get(a)
+        if row is None:
+            row = self.pairs[a] = {}
+        ok = row.get(b)
         if ok is None:
-            if len(self.pairs) >= CACHED_PAIRS:
+            if self.n_pairs >= CACHED_PAIRS:
                 self.pairs.clear()
-            ok = self.pairs[a, b] = self.merge(a + b) == ([a, b] if a else [b])
+                self.n_pairs, row = 0, {}
+                self.pairs[a] = row
+            ok = row[b] = self.merge(a + b) == ([a, b] if a else [b])
+            self.n_pairs += 1
         return ok
 
     def backtrack(self, chunk: str) -> list[str]:
@@ -139,18 +163,21 @@ class PieceCodec:
         out: list[str] = []
         last = ""
         piece = longest[0]
-        pairs, shorter = self.pairs, self.shorter
+        shorter, none = self.shorter, {}
+        known = self.pairs.get(last, none)
         while True:
             end = pos + len(piece)
-            if not failed >> end & 1:
-                ok = pairs.get((last, piece))
+            if not failed or not failed >> end & 1:
+                ok = known.get(piece)
                 if ok is None:
                     ok = self.fits(last, piece)
+                    known = self.pairs[last]
                 if ok:
                     out.append(piece)
                     if end == n:
                         return out
                     last, pos, piece = piece, end, longest[end]
+                    known = self.pairs.get(last, none)
                     continue
             if len(piece) == 1:
                 while len(piece) == 1:
@@ -160,6 +187,7 @@ class PieceCodec:
                     piece = out.pop()
                     pos -= len(piece)
                 last = out[-1] if out else ""
+                known = self.pairs.get(last, none)
             piece = shorter[piece]
 
     def encode_chunk(self, chunk: str) -> bytes:
@@ -170,22 +198,31 @@ class PieceCodec:
         except KeyError:  # characters that are no pieces: their bytes
             return b"".join([code.get(x) or np.array([self.byte_ids[b] for b in x.encode()], dtype=np.uint32).tobytes() for x in pieces])
 
+    def coded_many(self, texts: list[str | None]) -> list[np.ndarray]:
+        """All ids of each text."""
+        normal = [self.processor.normalize(t) if t else "" for t in texts]
+        whole = "".join(normal)
+        points = np.frombuffer(whole.encode("utf-32-le"), dtype="<u4")
+        rows = np.r_[0, np.cumsum([len(t) for t in normal], dtype=np.int64)]
+        starts = chunk_starts(points, rows[:-1], self.level)
+        ends = np.r_[starts[1:], len(points)]
+        hashes, one, where = np.unique(tb.run_hashes(tb.mix64(points), starts, ends), return_index=True, return_inverse=True)
+        known, begin, length = self.table.find(hashes)
+        new, ids = np.flatnonzero(~known), self.table.ids
+        if len(new):
+            parts = [self.encode_chunk(whole[a:b]) for a, b in zip(starts[one[new]].tolist(), ends[one[new]].tolist())]
+            more, lengths = np.frombuffer(b"".join(parts), dtype=np.uint32), np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+            at = np.cumsum(lengths) - lengths
+            begin[new], length[new] = len(ids) + at, lengths
+            ids = np.concatenate([ids, more])
+            short = (ends - starts)[one[new]] <= CACHED_CHARS
+            self.table.keep(hashes[new][short], more, at[short], lengths[short])
+        out = gathered(ids, begin[where], length[where])
+        cut = np.r_[0, np.cumsum(length[where])][np.searchsorted(starts, rows)]
+        return [out[a:b] for a, b in zip(cut.tolist(), cut[1:].tolist())]
+
     def coded(self, text: str | None) -> np.ndarray:
-        """All ids of a text."""
-        if not text:
-            return np.zeros(0, dtype=np.uint32)
-        if len(self.chunks) >= CACHED_CHUNKS:  # two generations: what is still in use moves over
-            self.older, self.chunks = self.chunks, {}
-        known, older, once = self.chunks, self.older, []
-        chunks = self.cut.findall(self.processor.normalize(text))
-        for chunk in set(chunks).difference(known):
-            known[chunk] = older.get(chunk) or self.encode_chunk(chunk)
-            if len(chunk) > CACHED_CHARS:
-                once.append(chunk)
-        ids = np.frombuffer(b"".join(map(known.__getitem__, chunks)), dtype=np.uint32)
-        for chunk in once:
-            del known[chunk]
-        return ids
+        return self.coded_many([text])[0]
 
     def encode(self, text: str | None) -> list[int]:
         return self.coded(text).tolist()
@@ -197,7 +234,7 @@ class PieceCodec:
         return self.processor.decode(ids) if ids else ""
 
 
-_CODECS: dict[str, PieceCodec] = {}
+_CODECS: dict[str, PieceCodec] = worker_tables("pieces")
 
 
 def codec(model_path: str) -> PieceCodec:
@@ -213,6 +250,15 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+SLICE = 1 << 20
+
+
+def texts_coded(texts: pa.Array, c: PieceCodec):
+    """The ids of every text, coded some texts at a time."""
+    for lo, hi, _, _ in tb.slices(texts, SLICE):
+        yield from c.coded_many(texts.slice(lo, hi - lo).to_pylist())
+
+
 def encode_texts(docs: DataFrame, model_path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
                  with_text: bool = True) -> DataFrame:
     """One row per input row: the id column, ``token_ids`` and, if asked for, ``decoded``."""
@@ -222,13 +268,13 @@ def encode_texts(docs: DataFrame, model_path: str | None = None, id_col: str = "
     def work(batch: pa.RecordBatch):
         c = codec(model_path or default_model())
         ids, decoded = [], []
-        for text in batch.column("text"):
-            ids.append(c.encode(text.as_py()))
+        for own in texts_coded(batch.column("text"), c):
+            ids.append(own)
             if with_text:
-                decoded.append(c.decode(ids[-1]))
+                decoded.append(c.decode(own.tolist()))
         yield {"row_id": batch.column("row_id"), "token_ids": ids} | ({"decoded": decoded} if with_text else {})
 
-    return map_arrow(narrow(docs, row_id=id_col, text=text_col), work, schema).withColumnRenamed("row_id", id_col)
+    return map_arrow(narrow(docs, row_id=id_col, text=text_col), work, schema, "pieces").withColumnRenamed("row_id", id_col)
 
 
 def code_digests(docs: DataFrame, model_path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -242,11 +288,11 @@ def code_digests(docs: DataFrame, model_path: str | None = None, id_col: str = "
     def work(batch: pa.RecordBatch):
         c = codec(model_path or default_model())
         n, a, b = [], [], []
-        for text in batch.column("text"):
-            ids = c.encode(text.as_py())
+        for own in texts_coded(batch.column("text"), c):
+            ids = own.tolist()
             n.append(len(ids))
             a.append(hashlib.sha256(c.joined(ids).encode()).hexdigest())
             b.append(hashlib.sha256(c.decode(ids).encode()).hexdigest())
         yield {"row_id": batch.column("row_id"), "n_tokens": n, "ids_sha256": a, "decoded_sha256": b}
 
-    return map_arrow(narrow(docs, row_id=id_col, text=text_col), work, schema).withColumnRenamed("row_id", id_col)
+    return map_arrow(narrow(docs, row_id=id_col, text=text_col), work, schema, "pieces").withColumnRenamed("row_id", id_col)

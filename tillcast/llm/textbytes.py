@@ -106,9 +106,14 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray, cls: np.ndarray) -> tuple
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of data[start:end] of every span, equal for equal bytes wherever they stand."""
-    up, down = _POWERS.get(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=U64)
-    np.cumsum(BYTE_VALUE[data] * up[:len(data)], out=total[1:])
+    return run_hashes(BYTE_VALUE[data], starts, ends)
+
+
+def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The same over any 64-bit values of the places."""
+    up, down = _POWERS.get(len(values) + 1)
+    total = np.zeros(len(values) + 1, dtype=U64)
+    np.cumsum(values * up[:len(values)], out=total[1:])
     return mix64((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
 
 

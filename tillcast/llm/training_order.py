@@ -189,7 +189,7 @@ def coded_texts(docs: DataFrame, length: int, model_path: str | None = None, id_
         for batch in batches:
             ids, texts = batch.column("row_id").cast(pa.int64()), batch.column("text")
             for lo, hi, _, _ in tb.slices(texts):
-                tokens = [c.coded(t.as_py()) for t in texts.slice(lo, hi - lo)]
+                tokens = c.coded_many(texts.slice(lo, hi - lo).to_pylist())
                 n = np.array([(len(t) + length) // length for t in tokens], dtype=np.int64)
                 yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(np.full(hi - lo, part, np.int32)), pa.array(before + np.cumsum(n) - n), pa.array(n),
                                                   pa.array([t.astype(kind).tobytes() for t in tokens], pa.binary())], schema=_arrow(CODED))

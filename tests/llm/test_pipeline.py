@@ -62,7 +62,7 @@ def test_stages_take_odd_rows(spark, rows):
 
 def test_every_operator_is_registered_once():
     names = [q for q in entry.queries() if q.startswith("op")]
-    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_library_works_without_the_operators(tmp_path):

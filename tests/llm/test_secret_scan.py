@@ -170,3 +170,35 @@ def test_middle_table_equals_plain_search(spark):
     want = {r.doc_id: ss.joined(plain_spans(r.text or "")) for r in docs.where("length(text) < 3000").collect()}
     got = {r.doc_id: r.base_spans for r in ss.scan(docs, crf=None).collect()}
     assert all(got[i] == s for i, s in want.items())
+
+
+def test_uncovered_rests_of_decoded_spans():
+    base = [(5, 0, 8), (10, 2, 12), (11, 0, 14)]
+    assert ss.uncovered(0, 4, base) == [(0, 4)] and ss.uncovered(5, 8, base) == [] and ss.uncovered(6, 11, base) == [(8, 10)]
+    assert ss.uncovered(0, 20, base) == [(0, 5), (8, 10), (14, 20)] and ss.uncovered(3, 3, base) == []
+
+
+def test_the_rest_of_a_longer_secret_is_reported(spark):
+    """``password=abcdef!rest``: the pattern ends at the mark, a model that tags the rest adds it, however short."""
+    class Tagger:
+        pass
+
+    text = "password=abcdef!rest and xy"
+    import pyarrow as pa
+    tagged, plain = [], ss.crf_spans
+    ss.crf_spans = lambda data, off, crf, p: [[(9, 20), (25, 27)]]
+    try:
+        tagged = next(iter(ss.all_spans(pa.array([text]), Tagger(), ss.SecretScan())))
+    finally:
+        ss.crf_spans = plain
+    assert tagged == ([(0, 0, 15)], [(0, 0, 15), (15, 3, 20), (25, 3, 27)])
+    assert ss.masked(text, tagged[1], "*") == "** and *"
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 40, 1000])
+def test_smallest_ranks_without_sorting_all(spark, n):
+    rng = np.random.default_rng(n)
+    ranks = np.unique(np.r_[rng.integers(0, 2**63 - 1, 300), rng.integers(0, 50, 20), 2**63 - 1])
+    found = spark.createDataFrame([(int(r),) for r in rng.permutation(ranks)], "rank long")
+    assert [r["rank"] for r in ss._smallest(found, n)] == ranks[:n].tolist()
+    assert ss._smallest(found.limit(0), n) == []

@@ -14,8 +14,8 @@ Decoding is exact but skips what it can prove: where a token's score of "outside
 its other scores by more than all transitions could change, the best path is outside there,
 so only the stretches between such tokens are decoded.
 
-A CRF span is added where it overlaps no pattern span and its tokens look random enough to
-hold a secret (``least_chars`` characters with both letters and digits).
+Every decoded span is reported, whatever its length or characters; where pattern spans cover a part
+of it, the rest is.
 
 Offsets are code points, ends exclusive. Defined results: null and empty texts have no spans;
 texts of any length are scanned whole; repeated rows are scanned each; without pattern hits to
@@ -63,7 +63,6 @@ class SecretScan:
     rounds: int = 60
     rate: float = 0.5
     decay: float = 1e-5
-    least_chars: int = 16
     seed: int = 7
 
 
@@ -261,11 +260,8 @@ def crf_spans(data: np.ndarray, offsets: np.ndarray, crf: Crf, p: SecretScan) ->
         if a is None or tags[i] == BEGIN or hit[n - 1] != i - 1 or rows[n - 1] != r:
             a = i
         if n + 1 == len(hit) or hit[n + 1] != i + 1 or rows[n + 1] != r or tags[hit[n + 1]] == BEGIN:
-            lo, hi = int(starts[a]), int(ends[i])
-            own = data[lo:hi]
-            if hi - lo >= p.least_chars and DIGIT[own].any() and (UPPER[own] | LOWER[own]).any():
-                base = lead[offsets[r]]
-                out[r].append((int(lead[lo] - base), int(lead[hi] - base)))
+            base = lead[offsets[r]]
+            out[r].append((int(lead[starts[a]] - base), int(lead[ends[i]] - base)))
     return out
 
 
@@ -309,10 +305,36 @@ def silver_windows(docs: DataFrame, p: SecretScan) -> tuple[np.ndarray, np.ndarr
         yield {"hit": [r[0] for r in rows], "rank": [r[1] for r in rows], "feats": [r[2] for r in rows], "tags": [r[3] for r in rows]}
 
     found = stored(map_arrow(docs, work, schema).dropDuplicates(["hit", "rank"]), "windows")
-    rows = [r for hit in (True, False) for r in found.where(F.col("hit") == hit).orderBy("rank").limit(p.train_windows).collect()]
+    rows = [r for hit in (True, False) for r in _smallest(found.where(F.col("hit") == hit), p.train_windows)]
     return _pad([r.feats for r in rows], [r.tags for r in rows], p)
 
 
+#: Leading bits of a rank that are counted at once.
+RANK_BITS = 12
+
+
+def _smallest(found: DataFrame, n: int) -> list:
+    """The n rows of smallest ``rank`` (63 bits, distinct), in order. The n-th rank is narrowed down by counts of leading
+    bits, the executors filter by it, and no more than n rows are sent to the driver."""
+    low, shift, before = 0, 63, 0
+    while shift > 0:
+        step = min(RANK_BITS, shift)
+        shift -= step
+        inside = found.where((F.col("rank") >= low) & (F.col("rank") <= low + (1 << shift + step) - 1))
+        counts = inside.groupBy(F.shiftright("rank", shift).alias("lead")).agg(F.count("*").alias("n")).orderBy("lead").collect()  # 2**RANK_BITS rows
+        for r in counts:
+            if before + r.n > n:
+                low = r.lead << shift
+                break
+            before += r.n
+        else:  # all that is left fits
+            low = low + (1 << shift + step)
+            break
+        if before == n:
+            break
+    return found.where(F.col("rank") <= low - 1).orderBy("rank").collect()
+
+
 def _value(text: str, start: int, end: int) -> int:
     """Where the value of a pattern span begins (behind the name and the separators)."""
     m = PATTERNS["assign"][0].match(text, start, end)
@@ -335,13 +357,24 @@ def train(docs: DataFrame, p: SecretScan = SecretScan(), text_col: str = "text")
     return fit(x, y, p) if (y == BEGIN).any() else None
 
 
+def uncovered(start: int, end: int, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """What is left of a span without the stretches of other spans (sorted by their starts)."""
+    out = []
+    for s, _, e in base:
+        if s < end and start < e:
+            if start < s:
+                out.append((start, s))
+            start = max(start, e)
+    return out + ([(start, end)] if start < end else [])
+
+
 def all_spans(texts: pa.Array, crf: Crf | None, p: SecretScan):
     """(pattern spans, all spans) of every text."""
     for lo, hi, data, off in tb.slices(texts):
         added = crf_spans(data, off, crf, p) if crf is not None else [[]] * (hi - lo)
         for i, text in enumerate(texts.slice(lo, hi - lo).to_pylist()):
             base = pattern_spans(text or "")
-            more = [(a, 3, b) for a, b in added[i] if not any(s < b and a < e for s, _, e in base)]
+            more = [(a, 3, b) for x in added[i] for a, b in uncovered(*x, base)]
             yield base, sorted(base + more)
 
 

@@ -69,3 +69,33 @@ def test_any_number_of_hot_machines(spark):
     cfg = V1.with_(hot_key_min_rows=10, chunk_rows=15)
     assert panel.hot_machines(panel.machine_stats(rows), cfg).count() == 1_200
     _same(feature_dataset(rows, hols, V1.with_(skew_guard=False)), feature_dataset(rows, hols, cfg))
+
+
+@pytest.mark.parametrize("sizes", [(1, 14), (1, 1), (10, 15), (1, 40)])
+def test_days_of_many_rows_and_of_few(spark, sizes):
+    """Chunks that are hardly longer than a frame, days that fill one, and (1, 40) days that must be divided."""
+    import random
+
+    rng = random.Random(sizes[1])
+    data = [(f"ATM_{m}", "S", d, float(rng.randint(-5, 900)) if rng.random() < 0.9 else None) for m in range(3) for d in range(60) for _ in range(rng.choice(sizes))]
+    tx = spark.createDataFrame(data, "atm_id string, state string, d int, dispense double").selectExpr(
+        "atm_id", "state", "if(d = 59, null, date_add(DATE '2024-01-01', d)) AS date", "dispense")
+    hols = spark.createDataFrame([("2024-01-05", "S", "A"), ("2024-01-05", "S", "B"), ("2024-01-09", "S", "C")], "date string, state string, holiday_name string").withColumn("date", F.to_date("date"))
+    cfg = V1.with_(required_columns=("atm_id",), **ALL_HOT)
+    _same(feature_dataset(tx, hols, cfg.with_(skew_guard=False)), feature_dataset(tx, hols, cfg))
+
+
+def test_a_day_is_sent_to_every_chunk_that_reaches_it(spark):
+    from tillcast.operators.skew import day_chunks
+
+    sizes = [20, 1, 30, 2, 3, 5, 40, 1, 1]
+    df = spark.createDataFrame([("A", d) for d, n in enumerate(sizes) for _ in range(n)], "atm_id string, d int").selectExpr("atm_id", "date_add(DATE '2024-01-01', d) AS date")
+    back, fwd, rows = 14, 3, 20
+    got = {(r._d_date.day - 1): (r._d_chunk, sorted(r._d_more)) for r in day_chunks(df, rows, back, fwd).collect()}
+    first = [sum(sizes[:i]) for i in range(len(sizes))]
+    home = [f // rows for f in first]
+    starts = {c: min(f for f, h in zip(first, home) if h == c) for c in home}
+    ends = {c: max(f + n for f, n, h in zip(first, sizes, home) if h == c) for c in home}
+    for d, (f, n, h) in enumerate(zip(first, sizes, home)):
+        more = [c for c in starts if c > h and starts[c] - back < f + n or c < h and ends[c] + fwd > f]
+        assert got[d] == (h, sorted(more))

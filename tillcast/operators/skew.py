@@ -10,7 +10,11 @@ own rows. The running (unbounded) values are rebuilt without one-task groups: ea
 chunk computes them locally and adds what all earlier chunks of the machine contribute,
 read from a small per-chunk table (dated rows, last block start, rows kept by C8).
 
-Row positions come from ``with_ordinal`` (range partitioning; no group in one task).
+Where a chunk ends is read from a small table of rows by machine and day: a day is not divided, so
+its rows' chunk and the chunks whose frames may reach it follow from the running count of the days,
+and the rows are placed by one join and one shuffle, without sorting or storing them first. Only
+where some day of a machine holds more than ``chunk_rows`` rows (a placeholder date, missing dates) do row
+positions come from ``with_ordinal`` (range partitioning; no group in one task).
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tillcast.config import ForecastConfig
 from tillcast.operators import panel
-from tillcast.operators.joins import checked_broadcast
+from tillcast.operators.joins import bounded_broadcast, checked_broadcast
 from tillcast.operators.ordinal import with_ordinal
 from tillcast.session import cut_lineage
 
@@ -44,18 +48,56 @@ def with_halo(df: DataFrame, ord_col: str, chunk_rows: int, back: int, fwd: int)
     return out.withColumns({"_chunk": F.col("_t.c"), "_home": F.col("_t.h")}).drop("_t")
 
 
-def _chunk_window(ord_col: str):
-    return Window.partitionBy(ENTITY, "_chunk").orderBy(ord_col)
+def _chunk_window(*order):
+    return Window.partitionBy(ENTITY, "_chunk").orderBy(*order)
+
+
+def day_chunks(df: DataFrame, chunk_rows: int, back: int, fwd: int) -> DataFrame:
+    """(machine, date, rows of the day, home chunk, further chunks whose frames may reach the day).
+
+    Days lie in date order, missing dates last. A chunk is the days that begin within the same ``chunk_rows`` rows of their
+    machine. A day goes to a later chunk if it ends within ``back`` rows before that chunk, to an earlier one if it
+    begins within ``fwd`` rows behind it; chunks between may be as short as one day, so several can be reached.
+    """
+    days = df.groupBy(F.col(ENTITY).alias("_d_atm"), F.col("date").alias("_d_date")).agg(F.count(F.lit(1)).alias("_d_rows"))
+    in_order = Window.partitionBy("_d_atm").orderBy(F.col("_d_date").asc_nulls_last())  # a row for each day
+    days = days.withColumn("_d_first", F.sum("_d_rows").over(in_order) - F.col("_d_rows"))
+    days = cut_lineage(days.withColumn("_d_chunk", F.floor(F.col("_d_first") / chunk_rows).cast("long")))
+    by_chunk = Window.partitionBy("_k_atm").orderBy("_k_chunk")
+    chunks = days.groupBy(F.col("_d_atm").alias("_k_atm"), F.col("_d_chunk").alias("_k_chunk")).agg(
+        F.min("_d_first").alias("from"), F.sum("_d_rows").alias("n"))
+    place = F.struct(F.col("_k_chunk").alias("chunk"), F.col("from"), (F.col("from") + F.col("n")).alias("to"))
+    chunks = chunks.withColumns({"_next": F.collect_list(place).over(by_chunk.rowsBetween(1, max(back, 1))),
+                                 "_last": F.collect_list(place).over(by_chunk.rowsBetween(-max(fwd, 1), -1))}).drop("from", "n")
+    on = days["_d_atm"].eqNullSafe(chunks["_k_atm"]) & (days["_d_chunk"] == chunks["_k_chunk"])
+    end = F.col("_d_first") + F.col("_d_rows")
+    later = F.filter("_next", lambda k: (k["from"] < end + back) if back else F.lit(False))
+    earlier = F.filter("_last", lambda k: (k["to"] > F.col("_d_first") - fwd) if fwd else F.lit(False))
+    return days.join(chunks, on).select("_d_atm", "_d_date", "_d_rows", "_d_chunk", F.concat(later, earlier)["chunk"].alias("_d_more"))
+
+
+def in_chunks(df: DataFrame, cfg: ForecastConfig, back: int, fwd: int) -> tuple[DataFrame, list]:
+    """(the rows with ``_chunk`` and ``_home``, copied to the chunks that reach them; their order within a chunk)."""
+    days = cut_lineage(day_chunks(df, cfg.chunk_rows, back, fwd))
+    largest, n_days = days.agg(F.max("_d_rows"), F.count(F.lit(1))).first()
+    if largest is not None and largest > cfg.chunk_rows:
+        d = with_ordinal(df, [ENTITY], panel.panel_order(df), "_ord", broadcast_max_rows=cfg.broadcast_max_rows)
+        return with_halo(d, "_ord", cfg.chunk_rows, back, fwd), ["_ord"]
+    days, _ = bounded_broadcast(days, n_days, cfg.broadcast_max_rows)
+    placed = df.join(days, df[ENTITY].eqNullSafe(days["_d_atm"]) & df["date"].eqNullSafe(days["_d_date"]))
+    targets = F.concat(F.array(F.struct(F.col("_d_chunk").alias("c"), F.lit(True).alias("h"))),
+                       F.transform("_d_more", lambda c: F.struct(c.alias("c"), F.lit(False).alias("h"))))
+    out = placed.withColumn("_t", F.explode(targets)).withColumns({"_chunk": F.col("_t.c"), "_home": F.col("_t.h")})
+    return out.drop("_t", "_d_atm", "_d_date", "_d_rows", "_d_chunk", "_d_more"), panel.panel_order(df)
 
 
 def chunked_row_features(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
     """Same output as ``panel.add_row_features`` for the machines in ``df``, plus ``_vord``: the row number among the rows that survive C8, used by
     ``chunked_targets``."""
     back = max([*cfg.lags, cfg.roll_short, cfg.roll_long, 1])
-    d = with_ordinal(df, [ENTITY], panel.panel_order(df), "_ord", broadcast_max_rows=cfg.broadcast_max_rows)
-    d = d.withColumns({"_off": panel.off_flag(), "_dated": F.col("date").isNotNull().cast("int")})
-    d = with_halo(d, "_ord", cfg.chunk_rows, back, 2)
-    w = _chunk_window("_ord")
+    d = df.withColumns({"_off": panel.off_flag(), "_dated": F.col("date").isNotNull().cast("int")})
+    d, order = in_chunks(d, cfg, back, 2)
+    w = _chunk_window(*order)
     d = d.withColumns(panel.window_feature_columns(w, cfg))
     d = d.withColumn("_ahead", panel.block_look_ahead(w)).where(F.col("_home"))
     # Running values inside the chunk. The machine-wide values add what earlier chunks
@@ -64,7 +106,7 @@ def chunked_row_features(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
     valid = F.lit(True)
     for c in cfg.required_columns:
         valid = valid & F.col(c).isNotNull()
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    run = w.rowsBetween(Window.unboundedPreceding, 0)  # of home rows: copies are gone by now
     start_base = F.when(F.col("_start") == 1, F.col("_lcum") - F.col("_dated"))
     d = d.withColumns({"_valid": valid.cast("int"), "_lcum": F.sum("_dated").over(run)})
     d = d.withColumns({"_lbase": F.max(start_base).over(run), "_vlocal": F.sum("_valid").over(run)})
@@ -104,9 +146,8 @@ def chunked_targets(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
 def chunked_off_day_blocks(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
     """Same output as ``panel.off_day_blocks``: block starts are counted in chunks, block
     lengths by an aggregation, so neither a machine nor a long block is one task's group."""
-    d = with_ordinal(df, [ENTITY], panel.panel_order(df), "_ord", broadcast_max_rows=cfg.broadcast_max_rows)
-    d = with_halo(d.withColumn("is_off_day", panel.off_flag()), "_ord", cfg.chunk_rows, 1, 0)
-    w = _chunk_window("_ord")
+    d, order = in_chunks(df.withColumn("is_off_day", panel.off_flag()), cfg, 1, 0)
+    w = _chunk_window(*order)
     prev_off = F.lag("is_off_day", 1).over(w)
     d = d.withColumn("_start", F.when(prev_off.isNull() | (prev_off != F.col("is_off_day")), 1).otherwise(0)).where(F.col("_home"))
     d = d.withColumn("_local", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))

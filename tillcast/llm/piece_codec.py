@@ -250,7 +250,7 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 
 def texts_coded(texts: pa.Array, c: PieceCodec):

@@ -14,7 +14,8 @@ missing-value handling is re-expressed as:
 * missing numeric inputs -> 0 and a 0/1 indicator for each input that can be missing;
 * boosting with early stopping -> ``operators.boosting``: start at the mean, every tree shrunk, the
   patience rule on the validation error after every tree, no refits, stages that a new run goes on from;
-  the latest rows are scored from the node table of the trees to keep, in one pass.
+  the latest rows are scored from the node table of the trees to keep, in one pass. A horizon without
+  early stopping takes all rounds in one fit of ``GBTRegressor``, whose first tree has weight 1.
 
 The regressor is a parameter: any ``pyspark.ml`` estimator with a features, label and prediction
 column takes the place of the loop; early stopping then applies to boosted trees only.
@@ -307,7 +308,8 @@ def train_and_forecast(cleaned: DataFrame, cfg: ForecastConfig = V1, estimator=N
         rows = assembler.transform(data_x.where(F.col(target).isNotNull())).select(
             "_features", F.col(target).cast("double").alias("_label"), "is_val")
         latest_v = assembler.transform(latest_x)
-        pred = _boosted(h, rows, latest_v) if estimator is None else _estimated(h, rows, latest_v)
+        # all rounds are wanted where nothing can stop them: one fit of Spark's own booster costs far fewer jobs a tree
+        pred = _boosted(h, rows, latest_v) if estimator is None and h.early_stopping else _estimated(h, rows, latest_v)
         return cut_lineage(pred.select(F.col("atm_id").alias("_p_atm"), postprocess_prediction(F.col("_pred"), cfg.clip_lower)
                                        .alias(f"predicted_dispense_{h.label}")))
 
@@ -324,7 +326,7 @@ def train_and_forecast(cleaned: DataFrame, cfg: ForecastConfig = V1, estimator=N
 
     def _estimated(h: HorizonRun, rows: DataFrame, latest_v: DataFrame) -> DataFrame:
         train = rows.where(~F.col("is_val")).select("_features", "_label").persist()
-        regressor = estimator.copy().setFeaturesCol("_features").setLabelCol("_label").setPredictionCol("_pred")
+        regressor = (estimator or boosted_trees(cfg)).copy().setFeaturesCol("_features").setLabelCol("_label").setPredictionCol("_pred")
         h.early_stopping = h.early_stopping and isinstance(regressor, GBTRegressor)
         model, k = fit_stopped(regressor, train, rows.where("is_val") if h.early_stopping else None, cfg.patience)
         h.trees = h.grown = k or 0

@@ -185,3 +185,19 @@ def test_job_reads_csv_parts_in_any_column_order(spark, tmp_path, capsys):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3 * tx.select("atm_id").distinct().count()
     parts = read_parts(spark, [a, b], "csv", None, header="true")
     assert job.rows_lost(parts, V1)["date"] == tx.where(~first).count()
+
+
+def test_training_rows_are_joined_once_and_lie_in_few_parts(spark, cleaned_small):
+    """What every tree reads again and again: no joins in its plan, no task for a few rows."""
+    from pyspark.ml.regression import LinearRegression
+
+    seen = []
+
+    class Noting(LinearRegression):
+        def _fit(self, data):
+            seen.append((data.rdd.getNumPartitions(), data._jdf.queryExecution().analyzed().toString()))
+            return super()._fit(data)
+
+    cfg = V1.with_(horizons=(("Next_Day", "target_1day", 1),))
+    train_and_forecast(cleaned_small, cfg, Noting(solver="normal"))
+    assert len(seen) == 1 and seen[0][0] == 1 and "Join" not in seen[0][1]

@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from tillcast.session import scratch_path
 
-#: Rows that one task of a small training table gets at least.
-TASK_ROWS = 16_384
+#: Rows that one task of a training table gets at least: every tree costs some ten jobs, so small tasks are mostly overhead.
+TASK_ROWS = 65_536
 #: Most nodes of a model that are sent to tasks.
 MOST_NODES = 2_000_000
 
@@ -184,6 +184,11 @@ def score(nodes: DataFrame, features: Column, base: float = 0.0, most_nodes: int
 
 
 # ------------------------------------------------------------------ training
+def training_tasks(rows: int) -> int:
+    """Tasks that a training table of so many rows is read in, at most."""
+    return max(1, -(-rows // TASK_ROWS))
+
+
 def _rounds(rows: DataFrame, spark: SparkSession, trees: list, rate: float) -> DataFrame:
     """The rows with the prediction after ``trees`` more than their own, and the residual."""
     now = F.col("_at")
@@ -211,8 +216,7 @@ def boost(rows: DataFrame, trees: int, rate: float, patience: int | None, depth:
         first = rows.where(~F.col("is_val")).agg(F.avg("_label").alias("m"), F.count("*").alias("n")).first()
         n = rows.count()
         start = rows.select("_features", F.col("_label").cast("double").alias("_label"), "is_val", F.lit(float(first.m)).alias("_at"))
-        parts = max(1, -(-n // TASK_ROWS))
-        start.coalesce(parts).write.mode("overwrite").parquet(f"{path}/start/rows")
+        start.coalesce(training_tasks(n)).write.mode("overwrite").parquet(f"{path}/start/rows")
     state = f"{path}/{done[-1] if done else 'start'}/rows"
     model = BoostedTrees(path, 0.0, rate)
     for s in done:

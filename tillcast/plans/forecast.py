@@ -116,7 +116,8 @@ def fit_target_encodings_by_fold(train: DataFrame, cols: list[str], targets: lis
     aggs = []
     for t in targets:
         aggs += [F.sum(t).alias(f"_s_{t}"), F.count(t).alias(f"_n_{t}")]
-    stats = hold(train.groupingSets([[c, "_fold"] for c in cols] + [["_fold"]], *cols, "_fold").agg(*aggs, F.grouping_id().alias("_gid")))
+    # read by every table below; written once, in as few parts as its size asks for (a cached one keeps every shuffle partition)
+    stats = cut_lineage(train.groupingSets([[c, "_fold"] for c in cols] + [["_fold"]], *cols, "_fold").agg(*aggs, F.grouping_id().alias("_gid")))
     gid = {c: ((1 << n) - 1 - (1 << (n - 1 - i))) << 1 for i, c in enumerate(cols)}
     sizes = {r["_gid"]: (r["_rows"], r["_values"]) for r in stats.groupBy("_gid").agg(  # n + 1 rows
         F.count(F.lit(1)).alias("_rows"), F.coalesce(*[F.when(F.col("_gid") == g, F.count_distinct(F.struct(c))) for c, g in gid.items()], F.lit(0)).alias("_values")).collect()} if cols else {}
@@ -292,10 +293,12 @@ def train_and_forecast(cleaned: DataFrame, cfg: ForecastConfig = V1, estimator=N
         tables = {c: t for c, t in tables.items() if c in encoded}
 
         def encode(df: DataFrame) -> DataFrame:
-            # joins against small tables over checkpointed inputs: cheap to repeat, deterministic
             return _numeric_inputs(apply_encodings_by_fold(df, tables, mu), nums, cfg)
 
-        data_x, latest_x = encode(data), encode(latest.withColumn("_fold", F.lit(NO_FOLD)))
+        # The joins run once: every horizon reads these rows several times, and the machines' table may be too large for a broadcast.
+        inputs = [*nominal, *[f"_x_{f}" for f in nums], *[f"_m_{f}" for f in nullable_inputs(nums, cfg)], *[f"_enc_{c}_{t}" for c in encoded for t in trained]]
+        data_x = cut_lineage(encode(data).select(*inputs, *trained, "is_val"))
+        latest_x = cut_lineage(encode(latest.withColumn("_fold", F.lit(NO_FOLD))).select("atm_id", *inputs))
         if nominal:
             # the label lists are bounded by max_bins (checked by split_categoricals)
             indexer = StringIndexer(inputCols=nominal, outputCols=[f"_idx_{c}" for c in nominal],
@@ -325,7 +328,7 @@ def train_and_forecast(cleaned: DataFrame, cfg: ForecastConfig = V1, estimator=N
         return latest_v.withColumn("_pred", boosting.score(trees, boosting.feature_array(), model.base))
 
     def _estimated(h: HorizonRun, rows: DataFrame, latest_v: DataFrame) -> DataFrame:
-        train = rows.where(~F.col("is_val")).select("_features", "_label").persist()
+        train = rows.where(~F.col("is_val")).select("_features", "_label").coalesce(boosting.training_tasks(h.train_rows)).persist()
         regressor = (estimator or boosted_trees(cfg)).copy().setFeaturesCol("_features").setLabelCol("_label").setPredictionCol("_pred")
         h.early_stopping = h.early_stopping and isinstance(regressor, GBTRegressor)
         model, k = fit_stopped(regressor, train, rows.where("is_val") if h.early_stopping else None, cfg.patience)

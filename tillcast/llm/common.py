@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillcast.operators.joins import BROADCAST_MAX_BYTES, estimated_row_bytes
-from tillcast.session import scratch_path, shared_dir
+from tillcast.session import scratch_path, shared_dir, stored
 
 __all__ = ["BROADCAST_MAX_BYTES", "content_key", "stored", "small_enough", "map_arrow", "narrow", "read_table", "small_batches", "scratch_path", "shared_dir"]
 
@@ -27,14 +27,6 @@ def narrow(df: DataFrame, **cols: str | T.DataType) -> DataFrame:
     return df.select(*[F.col(f"`{src}`").alias(name) for name, src in cols.items()])
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Written once to the cluster's shared folder and read back: later jobs reuse it, and a
-    lost executor costs no recomputation."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def content_key(*cols: str) -> F.Column:
     """128-bit key of the values of some columns, nulls told apart from all values: what a verdict that depends on
     nothing else is joined back on, so that rows with one id, or none, get each their own."""

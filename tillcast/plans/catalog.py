@@ -24,7 +24,7 @@ from tillcast.operators.categories import category_codes
 from tillcast.operators.report import report_long, sheet_names
 from tillcast.plans import oracle as O
 from tillcast.plans.features import engineer_features, feature_dataset, guarded, prepare_transactions
-from tillcast.session import cut_lineage, scratch_path
+from tillcast.session import cut_lineage, scratch_path, stored
 from tillcast.sources import testviews as tv
 from tillcast.sources.readers import ingest_counts, union_parts
 from tillcast.sources.panel_store import read_panel, write_panel
@@ -54,6 +54,8 @@ def _cleaned(spark, sf, cfg: ForecastConfig = V1, tx: str = "dense") -> DataFram
     maker = {"dense": tv.tx_dense, "nulls": tv.tx_nulls, "inactive": tv.tx_inactive, "long": tv.tx_long,
              "skewed": tv.tx_skewed}[tx]
     t = maker(spark, sf)
+    if tx in ("long", "skewed"):  # read by the holidays, the machines' rows, the days and the windows: derived once
+        t = stored(t, f"tx-{tx}")
     if cfg.holiday_source == "calendar":
         return feature_dataset(t, cfg=cfg, calendar=tv.calendar_for(t), metadata=tv.metadata(spark, sf))
     return feature_dataset(t, tv.holidays_for(t), cfg)

@@ -99,3 +99,38 @@ def test_a_day_is_sent_to_every_chunk_that_reaches_it(spark):
     for d, (f, n, h) in enumerate(zip(first, sizes, home)):
         more = [c for c in starts if c > h and starts[c] - back < f + n or c < h and ends[c] + fwd > f]
         assert got[d] == (h, sorted(more))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().analyzed().toString()
+
+
+def test_rows_of_a_task_are_bounded(spark, monkeypatch):
+    """Windows of ordinary and of hot machines get tasks by the counted rows, and the same results."""
+    from tillcast.operators import tasks
+
+    tx = tv.tx_long(spark, SF_SMALL)
+    hols = tv.holidays_for(tx)
+    n = tx.count()
+    cfg = V1.with_(skew_guard=False)
+    want = feature_dataset(tx, hols, cfg)
+    few = want.rdd.getNumPartitions()
+    monkeypatch.setattr(tasks, "TASK_ROWS", n // 40)
+    for c in (cfg, V1.with_(**ALL_HOT), V1.with_(hot_key_min_rows=0, chunk_rows=50)):
+        got = feature_dataset(tx, hols, c)
+        assert got.rdd.getNumPartitions() >= 40 > few
+        _same(want, got)
+
+
+def test_no_branch_for_machines_that_do_not_exist(spark):
+    tx = tv.tx_nulls(spark, SF_SMALL)
+    hols = tv.holidays_for(tx)
+    assert "LeftAnti" not in plan_of(feature_dataset(tx, hols, V1.with_(**ALL_HOT)))
+    assert "LeftAnti" not in plan_of(feature_dataset(tx, hols, V1))
+
+
+def test_the_panel_of_lineitem_is_derived_once(spark):
+    from tillcast.plans import catalog
+
+    text = catalog._cleaned(spark, SF_SMALL, V1, "long")._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_suppkey" not in text

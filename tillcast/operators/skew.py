@@ -26,6 +26,7 @@ from tillcast.config import ForecastConfig
 from tillcast.operators import panel
 from tillcast.operators.joins import bounded_broadcast, checked_broadcast
 from tillcast.operators.ordinal import with_ordinal
+from tillcast.operators.tasks import dealt, tasks_for
 from tillcast.session import cut_lineage
 
 ENTITY = panel.ENTITY
@@ -57,38 +58,48 @@ def day_chunks(df: DataFrame, chunk_rows: int, back: int, fwd: int) -> DataFrame
 
     Days lie in date order, missing dates last. A chunk is the days that begin within the same ``chunk_rows`` rows of their
     machine. A day goes to a later chunk if it ends within ``back`` rows before that chunk, to an earlier one if it
-    begins within ``fwd`` rows behind it; chunks between may be as short as one day, so several can be reached.
+    begins within ``fwd`` rows behind it; chunks between may be as short as one day, so several can be reached. A day has a row
+    at least, so the first days of the later chunks are among the next ``back`` days and the last ones of the earlier among the
+    ``fwd`` days before: one window over the days finds both.
     """
     days = df.groupBy(F.col(ENTITY).alias("_d_atm"), F.col("date").alias("_d_date")).agg(F.count(F.lit(1)).alias("_d_rows"))
     in_order = Window.partitionBy("_d_atm").orderBy(F.col("_d_date").asc_nulls_last())  # a row for each day
+    first, chunk, end = F.col("_d_first"), F.col("_d_chunk"), F.col("_d_first") + F.col("_d_rows")
     days = days.withColumn("_d_first", F.sum("_d_rows").over(in_order) - F.col("_d_rows"))
-    days = cut_lineage(days.withColumn("_d_chunk", F.floor(F.col("_d_first") / chunk_rows).cast("long")))
-    by_chunk = Window.partitionBy("_k_atm").orderBy("_k_chunk")
-    chunks = days.groupBy(F.col("_d_atm").alias("_k_atm"), F.col("_d_chunk").alias("_k_chunk")).agg(
-        F.min("_d_first").alias("from"), F.sum("_d_rows").alias("n"))
-    place = F.struct(F.col("_k_chunk").alias("chunk"), F.col("from"), (F.col("from") + F.col("n")).alias("to"))
-    chunks = chunks.withColumns({"_next": F.collect_list(place).over(by_chunk.rowsBetween(1, max(back, 1))),
-                                 "_last": F.collect_list(place).over(by_chunk.rowsBetween(-max(fwd, 1), -1))}).drop("from", "n")
-    on = days["_d_atm"].eqNullSafe(chunks["_k_atm"]) & (days["_d_chunk"] == chunks["_k_chunk"])
-    end = F.col("_d_first") + F.col("_d_rows")
-    later = F.filter("_next", lambda k: (k["from"] < end + back) if back else F.lit(False))
-    earlier = F.filter("_last", lambda k: (k["to"] > F.col("_d_first") - fwd) if fwd else F.lit(False))
-    return days.join(chunks, on).select("_d_atm", "_d_date", "_d_rows", "_d_chunk", F.concat(later, earlier)["chunk"].alias("_d_more"))
+    days = days.withColumn("_d_chunk", F.floor(first / chunk_rows).cast("long"))
+    ahead = {i: (F.lead(first, i).over(in_order), F.lead(chunk, i).over(in_order)) for i in range(1, back + 1)}
+    behind = {i: (F.lag(end, i).over(in_order), F.lag(chunk, i).over(in_order)) for i in range(1, fwd + 1)}
+    days = days.withColumns({f"_a{i}": F.when((f < end + back) & (c > chunk), c) for i, (f, c) in ahead.items()}
+                            | {f"_b{i}": F.when((e > first - fwd) & (c < chunk), c) for i, (e, c) in behind.items()})
+    near = [*[f"_a{i}" for i in ahead], *[f"_b{i}" for i in behind]]
+    more = F.array_distinct(F.array_compact(F.array(*near))) if near else F.array().cast("array<bigint>")
+    return days.select("_d_atm", "_d_date", "_d_rows", "_d_chunk", more.alias("_d_more"))
 
 
 def in_chunks(df: DataFrame, cfg: ForecastConfig, back: int, fwd: int) -> tuple[DataFrame, list]:
-    """(the rows with ``_chunk`` and ``_home``, copied to the chunks that reach them; their order within a chunk)."""
+    """(the rows with ``_chunk`` and ``_home``, copied to the chunks that reach them; their order within a chunk).
+    Every row has a machine."""
     days = cut_lineage(day_chunks(df, cfg.chunk_rows, back, fwd))
-    largest, n_days = days.agg(F.max("_d_rows"), F.count(F.lit(1))).first()
+    largest, n_days, rows, copies = days.agg(F.max("_d_rows"), F.count(F.lit(1)), F.sum("_d_rows"), F.sum(F.col("_d_rows") * (F.size("_d_more") + 1))).first()
     if largest is not None and largest > cfg.chunk_rows:
-        d = with_ordinal(df, [ENTITY], panel.panel_order(df), "_ord", broadcast_max_rows=cfg.broadcast_max_rows)
-        return with_halo(d, "_ord", cfg.chunk_rows, back, fwd), ["_ord"]
-    days, _ = bounded_broadcast(days, n_days, cfg.broadcast_max_rows)
-    placed = df.join(days, df[ENTITY].eqNullSafe(days["_d_atm"]) & df["date"].eqNullSafe(days["_d_date"]))
+        d = with_ordinal(df, [ENTITY], panel.panel_order(df), "_ord", tasks_for(df, rows), cfg.broadcast_max_rows)
+        return dealt(with_halo(d, "_ord", cfg.chunk_rows, back, fwd), rows + rows * (back + fwd) // cfg.chunk_rows, ENTITY, "_chunk"), ["_ord"]
+    days = days.withColumn("_d_day", _day("_d_date")).drop("_d_date")
+    days, small = bounded_broadcast(days, n_days, cfg.broadcast_max_rows)
+    left = df.withColumn("_day", _day("date"))
+    if not small:  # both sides of the join in tasks of the same rows
+        left, days = dealt(left, rows, ENTITY, "_day"), dealt(days, rows, "_d_atm", "_d_day")
+    placed = left.join(days, (left[ENTITY] == days["_d_atm"]) & (left["_day"] == days["_d_day"]))
     targets = F.concat(F.array(F.struct(F.col("_d_chunk").alias("c"), F.lit(True).alias("h"))),
                        F.transform("_d_more", lambda c: F.struct(c.alias("c"), F.lit(False).alias("h"))))
     out = placed.withColumn("_t", F.explode(targets)).withColumns({"_chunk": F.col("_t.c"), "_home": F.col("_t.h")})
-    return out.drop("_t", "_d_atm", "_d_date", "_d_rows", "_d_chunk", "_d_more"), panel.panel_order(df)
+    out = out.drop("_t", "_day", "_d_atm", "_d_day", "_d_rows", "_d_chunk", "_d_more")
+    return dealt(out, copies, ENTITY, "_chunk"), panel.panel_order(df)
+
+
+def _day(date: str):
+    """A date as a number that missing dates have too, for joins by plain equality."""
+    return F.coalesce(F.unix_date(date), F.lit(-(1 << 31)).cast("int"))
 
 
 def chunked_row_features(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
@@ -129,15 +140,15 @@ def chunked_row_features(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
                   "_o_atm", "_o_chunk", "_o_doff", "_o_voff", "_o_base", "_ord", "_chunk", "_home")
 
 
-def chunked_targets(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
+def chunked_targets(df: DataFrame, cfg: ForecastConfig, rows: int | None = None) -> DataFrame:
     """Same output as ``panel.add_targets`` (leads on the filtered panel). Uses the
-    ``_vord`` row numbers of ``chunked_row_features`` when present."""
+    ``_vord`` row numbers of ``chunked_row_features`` when present. ``rows``: about how many there are, if known."""
     fwd = max(k for _, _, k in cfg.horizons)
     if "_vord" in df.columns:
         d = df.withColumnRenamed("_vord", "_ord")
     else:
-        d = with_ordinal(df, [ENTITY], panel.panel_order(df), "_ord", broadcast_max_rows=cfg.broadcast_max_rows)
-    d = with_halo(d, "_ord", cfg.chunk_rows, 0, fwd)
+        d = with_ordinal(df, [ENTITY], panel.panel_order(df), "_ord", tasks_for(df, rows), cfg.broadcast_max_rows)
+    d = dealt(with_halo(d, "_ord", cfg.chunk_rows, 0, fwd), rows and rows + rows * fwd // cfg.chunk_rows, ENTITY, "_chunk")
     w = _chunk_window("_ord")
     d = d.withColumns({t: F.lead("dispense", k).over(w) for _, t, k in cfg.horizons}).where(F.col("_home"))
     return d.drop("_ord", "_chunk", "_home")

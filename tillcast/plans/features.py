@@ -23,6 +23,7 @@ from tillcast.operators import holidays as hol
 from tillcast.operators import metadata as meta
 from tillcast.operators import panel, skew
 from tillcast.operators.joins import checked_broadcast
+from tillcast.operators.tasks import dealt
 from tillcast.sources.readers import TRANSACTION_COLUMNS, require_columns
 
 
@@ -57,16 +58,16 @@ def _holiday_joiner(cfg: ForecastConfig, holidays: DataFrame | None,
 
 
 def _chain(df: DataFrame, cfg: ForecastConfig, join: Callable[[DataFrame], DataFrame],
-           chunked: bool, targets: bool, stats: DataFrame | None) -> DataFrame:
+           chunked: bool, targets: bool, stats: DataFrame | None, rows: int | None) -> DataFrame:
     if cfg.drop_inactive:
         df = panel.drop_inactive(df, cfg.broadcast_max_rows, stats)
     df = join(df.withColumns(calendar_columns("date")))
-    df = skew.chunked_row_features(df, cfg) if chunked else panel.add_row_features(df, cfg)
+    df = skew.chunked_row_features(df, cfg) if chunked else panel.add_row_features(dealt(df, rows, panel.ENTITY), cfg)
     if cfg.use_metadata:
         df = meta.fill_unknown(df)
     df = panel.drop_invalid_rows(df, cfg)
     if targets:
-        df = skew.chunked_targets(df, cfg) if chunked else panel.add_targets(df, cfg)
+        df = skew.chunked_targets(df, cfg, rows) if chunked else panel.add_targets(df, cfg)
         df = panel.eligible_rows(df, cfg)
     return df.drop("_vord")
 
@@ -78,13 +79,16 @@ def _run(tx, holidays, cfg, calendar, metadata, targets: bool) -> DataFrame:
     join = _holiday_joiner(cfg, holidays, calendar)
     # one pass over the input serves both the skew check and A1
     stats = panel.machine_stats(df) if (cfg.skew_guard or cfg.drop_inactive) else None
-    hot = panel.hot_machines(stats, cfg) if cfg.skew_guard else None
-    if hot is None or hot.isEmpty():
-        return _chain(df, cfg, join, False, targets, stats)
-    hot, _ = checked_broadcast(hot, cfg.broadcast_max_rows)
+    if stats is None:
+        return _chain(df, cfg, join, False, targets, stats, None)
+    over = F.col("_n") > (cfg.hot_key_min_rows if cfg.skew_guard else F.lit(None))
+    rows, hot_rows, machines, n_hot = stats.agg(F.sum("_n"), F.sum(F.when(over, F.col("_n"))), F.count(F.lit(1)), F.count_if(over)).first()
+    if not n_hot or n_hot == machines:  # one branch: the other would read the whole panel for nothing
+        return _chain(df, cfg, join, bool(n_hot), targets, stats, rows)
+    hot, _ = checked_broadcast(panel.hot_machines(stats, cfg), cfg.broadcast_max_rows)
     is_hot = df[panel.ENTITY] == hot["_h_atm"]
-    cold = _chain(df.join(hot, is_hot, "left_anti"), cfg, join, False, targets, stats)
-    return cold.unionByName(_chain(df.join(hot, is_hot, "left_semi"), cfg, join, True, targets, stats))
+    cold = _chain(df.join(hot, is_hot, "left_anti"), cfg, join, False, targets, stats, rows - hot_rows)
+    return cold.unionByName(_chain(df.join(hot, is_hot, "left_semi"), cfg, join, True, targets, stats, hot_rows))
 
 
 def engineer_features(tx: DataFrame, holidays: DataFrame | None = None, cfg: ForecastConfig = V1,

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillcast.operators.tasks import dealt
+
 # ---------------------------------------------------------------------------
 # The holiday entries of the test views.
 # (month, day, state or "*" for every state present that year, holiday name)
@@ -74,11 +76,13 @@ def tx_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     na = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = (li.join(su, li.l_suppkey == su.s_suppkey).join(na, su.s_nationkey == na.n_nationkey))
-    return (j.groupBy(
+    rows = j.select(
         F.concat(F.lit("ATM_"), F.col("l_suppkey").cast("string")).alias("atm_id"),
         F.to_date("l_shipdate").alias("date"),
-        F.col("n_name").alias("state"))
-        .agg(F.sum(_cents(F.col("l_extendedprice"))).cast("bigint").alias("dispense")))
+        F.col("n_name").alias("state"), _cents(F.col("l_extendedprice")).alias("cents"))
+    # nearly every row is a group of its own: summed after the shuffle, in tasks of a bounded number of rows
+    return (dealt(rows, li.count(), "atm_id", "date", "state").groupBy("atm_id", "date", "state")
+            .agg(F.sum("cents").cast("bigint").alias("dispense")))
 
 
 # Nations whose suppliers are merged into one machine in the skewed panel (8 of 25).

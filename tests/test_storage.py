@@ -139,3 +139,16 @@ def test_one_holiday_per_day_reduces_names_and_keeps_flags(spark):
     tx = spark.createDataFrame([("A", "2024-10-02", "S1", 1.0), ("A", "2024-10-05", None, 2.0)], "atm_id string, date string, state string, dispense double").withColumn("date", F.to_date("date"))
     assert hol.join_holidays(tx, hol.holiday_dimension(raw, cfg), cfg).count() == 2 < hol.join_holidays(tx, hol.holiday_dimension(raw, V1), V1).count()
     assert hol.holiday_dimension(raw, cfg).dtypes == hol.holiday_dimension(raw, V1).dtypes
+
+
+def test_dated_reports_share_their_rows(spark, monkeypatch):
+    """The feature chain runs once for the three reports, not once a report."""
+    from tests.conftest import SF_SMALL
+    from tillcast.operators import report
+    from tillcast.plans import catalog
+
+    def again(df):
+        raise AssertionError("the report's rows are derived again")
+
+    monkeypatch.setattr(report, "cut_lineage", again)
+    assert catalog.queries()["report_dated_sink"](spark, SF_SMALL).count() > 0

@@ -429,10 +429,11 @@ def q_report_sink_round_trip(spark, sf):
 
 def q_report_dated_sink(spark, sf):
     """A second forecast date beside the first, then the first written again with other sheets."""
-    wide = _stand_in_wide(spark, sf)
+    wide = cut_lineage(_stand_in_wide(spark, sf))  # the three reports read the same rows
+    last = ds.last_date(wide)
     path = scratch_path(spark, "report")
     for days, rows, more in ((0, REPORT_SHEET_ROWS // 2, 7), (7, REPORT_SHEET_ROWS, 1), (0, REPORT_SHEET_ROWS, 0)):
-        r = report_long(wide, V1).withColumns({"forecast_date": F.date_add("forecast_date", days), "predicted_dispense_amount": F.col("predicted_dispense_amount") + more})
+        r = report_long(wide, V1, last).withColumns({"forecast_date": F.date_add("forecast_date", days), "predicted_dispense_amount": F.col("predicted_dispense_amount") + more})
         write_report(sheet_names(r, V1, rows).select("horizon", "atm_id", "predicted_dispense_amount", "forecast_date", "sheet"), path, max_rows_per_file=rows)
     return spark.read.parquet(path).select("horizon", "atm_id", "predicted_dispense_amount", "forecast_date", "sheet")
 

@@ -93,3 +93,14 @@ def test_odd_rows(spark):
     rows = pc.encode_texts(docs).collect()
     assert sorted((r.doc_id or 0, len(r.token_ids), r.decoded) for r in rows) == [(0, 0, ""), (1, 0, ""), (1, 0, ""), (3, 3, "Hi  there")]
     assert pc.code_digests(docs.limit(0)).count() == 0
+
+
+def test_ids_are_handed_on_slice_by_slice(spark, monkeypatch):
+    """No batch of ids and texts is larger than a slice; rows keep their order and number."""
+    docs = spark.createDataFrame([(i, None if i % 7 == 0 else f"text {i} " * 40) for i in range(60)], "doc_id long, text string").coalesce(1)
+    sizes = []
+    monkeypatch.setattr(pc, "SLICE", 2000)
+    monkeypatch.setattr(pc, "map_arrow", lambda df, fn, schema, tables: sizes.extend(
+        [len(x["token_ids"]) for b in df.toArrow().combine_chunks().to_batches() for x in fn(b)]) or docs.withColumnRenamed("doc_id", "row_id"))
+    pc.encode_texts(docs)
+    assert sum(sizes) == 60 and len(sizes) > 5 and max(sizes) < 20

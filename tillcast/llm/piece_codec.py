@@ -254,9 +254,9 @@ SLICE = 1 << 18
 
 
 def texts_coded(texts: pa.Array, c: PieceCodec):
-    """The ids of every text, coded some texts at a time."""
+    """(first row, end, the ids of each text) of some texts at a time."""
     for lo, hi, _, _ in tb.slices(texts, SLICE):
-        yield from c.coded_many(texts.slice(lo, hi - lo).to_pylist())
+        yield lo, hi, c.coded_many(texts.slice(lo, hi - lo).to_pylist())
 
 
 def encode_texts(docs: DataFrame, model_path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
@@ -267,12 +267,10 @@ def encode_texts(docs: DataFrame, model_path: str | None = None, id_col: str = "
 
     def work(batch: pa.RecordBatch):
         c = codec(model_path or default_model())
-        ids, decoded = [], []
-        for own in texts_coded(batch.column("text"), c):
-            ids.append(own)
-            if with_text:
-                decoded.append(c.decode(own.tolist()))
-        yield {"row_id": batch.column("row_id"), "token_ids": ids} | ({"decoded": decoded} if with_text else {})
+        # handed on slice by slice: neither the worker nor Spark holds the ids and texts of a whole batch
+        for lo, hi, ids in texts_coded(batch.column("text"), c):
+            decoded = {"decoded": [c.decode(own.tolist()) for own in ids]} if with_text else {}
+            yield {"row_id": batch.column("row_id").slice(lo, hi - lo), "token_ids": ids} | decoded
 
     return map_arrow(narrow(docs, row_id=id_col, text=text_col), work, schema, "pieces").withColumnRenamed("row_id", id_col)
 
@@ -288,11 +286,12 @@ def code_digests(docs: DataFrame, model_path: str | None = None, id_col: str = "
     def work(batch: pa.RecordBatch):
         c = codec(model_path or default_model())
         n, a, b = [], [], []
-        for own in texts_coded(batch.column("text"), c):
-            ids = own.tolist()
-            n.append(len(ids))
-            a.append(hashlib.sha256(c.joined(ids).encode()).hexdigest())
-            b.append(hashlib.sha256(c.decode(ids).encode()).hexdigest())
+        for _, _, coded in texts_coded(batch.column("text"), c):
+            for own in coded:
+                ids = own.tolist()
+                n.append(len(ids))
+                a.append(hashlib.sha256(c.joined(ids).encode()).hexdigest())
+                b.append(hashlib.sha256(c.decode(ids).encode()).hexdigest())
         yield {"row_id": batch.column("row_id"), "n_tokens": n, "ids_sha256": a, "decoded_sha256": b}
 
     return map_arrow(narrow(docs, row_id=id_col, text=text_col), work, schema, "pieces").withColumnRenamed("row_id", id_col)

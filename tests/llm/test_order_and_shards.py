@@ -149,3 +149,20 @@ def test_few_and_repeated_rows(spark, tmp_path):
     sharding.write_shards(docs.dropDuplicates(), str(tmp_path / "s"), shards=2)
     back = spark.read.parquet(str(tmp_path / "s"))
     assert back.count() == 2 and back.select("shard").distinct().count() == 2
+
+
+def test_token_table_and_blocks_are_packed_hard(spark, tmp_path):
+    """Both lie beside the shards on disk: one codec level for both, well above the default's size for repeated ids."""
+    import numpy as np
+    import zstandard
+
+    from tillcast.llm import training_order as to
+
+    rng = np.random.default_rng(1)
+    words = [rng.integers(0, 3000, 6) for _ in range(400)]
+    flat = np.concatenate([words[i] for i in rng.zipf(1.3, 60_000) % 400]).astype("<u2")
+    n = len(flat) // 512
+    recs = to.records_of(np.arange(n), flat[:n * 512].copy(), np.arange(n + 1) * 512, to.record_type(512, "<u2"), 512, 32000, 32001)
+    packed = to.blocks(np.arange(len(recs)), recs, len(recs)).column("records")[0].as_py()
+    assert len(packed) < 0.97 * len(zstandard.ZstdCompressor(level=3).compress(recs.tobytes()))
+    assert np.array_equal(np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype=recs.dtype), recs)

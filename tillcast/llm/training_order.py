@@ -45,7 +45,9 @@ from tillcast.llm.warc import file_system
 END, PAD = 255, 254
 NO_ID = -(1 << 63)
 LAYOUT = "_layout.json"
-PACKED_RECORDS = 1 << 14  # of tokens, after which their blocks are handed on
+PACKED_RECORDS = 1 << 15  # of tokens, after which their blocks are handed on
+#: Token table, shuffled blocks and shards lie on disk together at the end: the first two are packed harder than by default.
+PACK_LEVEL, PAGE_BYTES = 9, 8 << 20
 
 
 @dataclass(frozen=True)
@@ -98,7 +100,7 @@ def blocks(slots: np.ndarray, records: np.ndarray, shard_records: int) -> pa.Rec
     """A row for each shard that the slots fall into: the places in it and the compressed records."""
     import zstandard
 
-    pack = zstandard.ZstdCompressor(level=3).compress
+    pack = zstandard.ZstdCompressor(level=PACK_LEVEL).compress
     order = np.argsort(slots, kind="stable")
     slots, records = slots[order], records[order]
     shard = slots // shard_records
@@ -196,7 +198,8 @@ def coded_texts(docs: DataFrame, length: int, model_path: str | None = None, id_
                 before += int(n.sum())
 
     path = scratch_path(docs.sparkSession, "tokens")
-    narrow(docs, row_id=id_col, text=text_col).mapInArrow(run, CODED).write.option("compression", "zstd").parquet(path)
+    narrow(docs, row_id=id_col, text=text_col).mapInArrow(run, CODED).write.option("compression", "zstd").option(
+        "parquet.compression.codec.zstd.level", str(PACK_LEVEL)).option("parquet.page.size", str(PAGE_BYTES)).parquet(path)
     return docs.sparkSession.read.schema(CODED).parquet(path)
 
 

@@ -140,3 +140,29 @@ def test_middle_table_equals_brute_force_sample(spark):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
     want, _ = brute([(r.doc_id, r.text) for r in docs.collect()])
     assert {r.doc_id: r.component_id for r in nd.near_duplicates(docs).collect()} == want
+
+
+def test_stars_end_without_a_round_that_changes_nothing(spark, monkeypatch):
+    """Every round is a handful of shuffles and a written table, whatever the rows: one settles a star."""
+    from tillcast.llm import graph
+
+    written, plain = [], graph.stored
+    monkeypatch.setattr(graph, "stored", lambda df, name: written.append(name) or plain(df, name))
+    edges = spark.createDataFrame([(0, i) for i in range(1, 300)] + [(1000, 1000 + i) for i in range(1, 5)], "a long, b long")
+    got = {r.node: r.component for r in components(edges).collect()}
+    assert got == {i: 0 for i in range(300)} | {1000 + i: 1000 for i in range(5)}
+    assert len(written) == 2  # the distinct edges and one round
+
+
+def test_few_tables_are_written_between_steps(spark, monkeypatch):
+    """Confirmed centres with several parts, a second pass over mixed buckets, components of both: the same result with few writes."""
+    from tillcast.llm import graph
+
+    rows = noisy_group(random.Random(6), 0, 120, 120, 9)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    names, plain = [], nd.stored
+    for module in (nd, graph):
+        monkeypatch.setattr(module, "stored", lambda df, name: names.append(name) or plain(df, name))
+    got = {r.doc_id: r.component_id for r in nd.near_duplicates(docs, nd.NearDedup(chunk=3)).collect()}
+    assert got == brute(rows)[0]
+    assert "wanted" not in names and "prefixes" in names  # texts to confirm go straight into their join; the second pass ran

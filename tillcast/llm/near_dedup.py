@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 
 from tillcast.llm import textbytes as tb
 from tillcast.llm.common import map_arrow, narrow, small_enough, stored
-from tillcast.llm.graph import components
+from tillcast.llm.graph import stars
 
 
 @dataclass(frozen=True)
@@ -155,14 +155,14 @@ def confirm(pairs: DataFrame, docs: DataFrame, p: NearDedup) -> DataFrame:
     A centre's text goes once to every ``chunk`` of its members, so no task holds more than
     one centre's set and one member at a time.
     """
-    degree = pairs.groupBy("a").count().withColumn("parts", F.ceil(F.col("count") / p.chunk))
-    placed = pairs.join(degree, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
-    wanted = stored(placed.select("a", "part", F.lit(1).alias("role"), F.col("b").alias("wanted_id")).unionByName(
-        placed.select("a", "part").distinct().select("a", "part", F.lit(0).alias("role"), F.col("a").alias("wanted_id"))), "wanted")
-    if small_enough(wanted):
-        texts = docs.join(F.broadcast(wanted), F.col("row_id") == F.col("wanted_id"))
-    else:
-        texts = docs.join(wanted, F.col("row_id") == F.col("wanted_id"))
+    # at most two texts are wanted for a pair
+    few = small_enough(pairs.select("a", F.lit(0).cast("long").alias("part"), F.lit(0).alias("role"), F.explode(F.array("a", "b")).alias("wanted_id")))
+    degree = pairs.groupBy("a").agg(F.ceil(F.count("*") / p.chunk).alias("parts"))
+    members = pairs.join(F.broadcast(degree) if few else degree, "a").select(
+        "a", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"), F.lit(1).alias("role"), F.col("b").alias("wanted_id"))
+    centres = degree.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), F.col("a").alias("wanted_id"))
+    wanted = members.unionByName(centres)
+    texts = docs.join(F.broadcast(wanted) if few else wanted, F.col("row_id") == F.col("wanted_id"))
     texts = (texts.select("a", "part", "role", F.col("row_id").alias("b"), "text")
              .repartition("a", "part").sortWithinPartitions("a", "part", "role"))
     ids = pairs.schema["a"].dataType
@@ -193,11 +193,11 @@ def _named(rows: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _merged(found: DataFrame, new_links: DataFrame) -> DataFrame:
-    """(node, component) after further links: components of the components."""
+    """(node, component) after further links (a, b): components of the components."""
     ends = new_links.select("a", "b").join(found.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(
         found.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left").select(
         F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-    higher = stored(components(ends).withColumnRenamed("component", "top"), "components")
+    higher = stars(stored(ends, "edges")).withColumnRenamed("component", "top")
     moved = found.join(higher.select(F.col("node").alias("component"), "top"), "component", "left").select("node", F.coalesce("top", "component").alias("component"))
     fresh = higher.select("node", F.col("top").alias("component")).join(found, "node", "left_anti")
     return stored(moved.unionByName(fresh), "components")
@@ -252,14 +252,14 @@ def _prefix_pairs(unsettled: DataFrame, docs: DataFrame, p: NearDedup) -> DataFr
 
 
 def linked_components(reps: DataFrame, docs: DataFrame, p: NearDedup) -> DataFrame:
-    """(node, component) of the linked representatives (row_id, n_shingles, bands, sketch)."""
+    """(node, component) of the linked representatives (row_id, n_shingles, bands, sketch) but each component's smallest."""
     rows = reps.select("row_id", F.posexplode("bands").alias("band", "hash")).select(
         F.xxhash64("band", "hash").alias("key"), "row_id")
     centres = rows.groupBy("key").agg(F.min("row_id").alias("centre"), F.max("row_id").alias("other")).where("centre <> other")
     members = stored(rows.join(centres.select("key", "centre"), "key"), "members")
-    stars = members.where("row_id <> centre").select(F.col("centre").alias("a"), F.col("row_id").alias("b")).distinct()
-    tried = stored(_alike(stars, reps, p), "stars")
-    found = stored(components(stored(confirm(tried, docs, p), "links")), "components")
+    spokes = members.where("row_id <> centre").select(F.col("centre").alias("a"), F.col("row_id").alias("b")).distinct()
+    tried = stored(_alike(spokes, reps, p), "spokes")
+    found = stars(stored(confirm(tried, docs, p), "links"))
     unsettled = _unsettled(members, found)
     if not unsettled.isEmpty():
         pairs = _untried(_prefix_pairs(unsettled, docs, p), tried)

@@ -166,3 +166,17 @@ def test_token_table_and_blocks_are_packed_hard(spark, tmp_path):
     packed = to.blocks(np.arange(len(recs)), recs, len(recs)).column("records")[0].as_py()
     assert len(packed) < 0.97 * len(zstandard.ZstdCompressor(level=3).compress(recs.tobytes()))
     assert np.array_equal(np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype=recs.dtype), recs)
+
+
+def test_blocks_find_repeats_of_two_ids(spark):
+    """Pairs of ids that come again among others are packed as such, which level 9 alone does not see."""
+    import zstandard
+
+    rng = np.random.default_rng(2)
+    pairs = rng.integers(0, 32_000, (300, 2))
+    flat = np.concatenate([np.r_[pairs[i], j] for i, j in zip(rng.integers(0, 300, 100_000), rng.integers(0, 32_000, 100_000))]).astype("<u2")
+    n = len(flat) // 511
+    recs = to.records_of(np.arange(n), flat[:n * 511].copy(), np.arange(n + 1) * 511, to.record_type(512, "<u2"), 512, 32000, 32001)
+    packed = to.blocks(np.arange(n), recs, n).column("records")[0].as_py()
+    assert len(packed) < 0.97 * len(zstandard.ZstdCompressor(level=9).compress(recs.tobytes()))
+    assert zstandard.ZstdDecompressor().decompress(packed) == recs.tobytes()

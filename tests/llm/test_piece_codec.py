@@ -104,3 +104,25 @@ def test_ids_are_handed_on_slice_by_slice(spark, monkeypatch):
         [len(x["token_ids"]) for b in df.toArrow().combine_chunks().to_batches() for x in fn(b)]) or docs.withColumnRenamed("doc_id", "row_id"))
     pc.encode_texts(docs)
     assert sum(sizes) == 60 and len(sizes) > 5 and max(sizes) < 20
+
+
+def test_pieces_that_do_not_fit_are_tried_once(lib):
+    """Also where pieces are taken back: a chunk of known steps asks for no pair again."""
+    c = pc.PieceCodec(pc.default_model())
+    words = ["menteuxelle", "annding", "onshes", "einzube", "ofthhawhen", "vianré", "réeuxelle", "日本語x"]
+    first = c.encode(" ".join(words))
+    assert first == lib.encode(" ".join(words)) and c.n_steps
+    c.table.empty()
+    asked = []
+    c.fits = lambda a, b: asked.append((a, b)) or pc.PieceCodec.fits(c, a, b)
+    c.pairs.clear()
+    assert c.encode(" ".join(words)) == first and not asked
+
+
+def test_steps_are_bounded(monkeypatch, lib):
+    monkeypatch.setattr(pc, "CACHED_STEPS", 5)
+    c = pc.PieceCodec(pc.default_model())
+    for i in range(60):
+        text = f"word{i}x menteuxelle annding {i * 37} 日本é"
+        assert c.encode(text) == lib.encode(text)
+        assert c.n_steps <= 5 and len(c.after) <= 5 and len(c.first) + sum(len(own) for _, own, _, _, _ in c.after.values()) <= 5

@@ -4,14 +4,15 @@ Method: exact encoding by backtracking. An Aho-Corasick automaton over the vocab
 the longest piece at every position; pieces are laid greedily, a piece is accepted only if
 re-merging it with its left neighbour gives back the same two pieces, otherwise the next
 shorter piece is tried; when none is left the position is cleared in a bitfield and the
-previous piece is taken back. The first complete sequence is the one that merging would
+previous piece is taken back. Which piece is accepted after another, given the longest ahead, is kept
+as a step, so pieces that do not fit are tried once and not in every chunk. The first complete sequence is the one that merging would
 build. Pieces whose merge scores tie with another piece (in public models the runs of
 spaces) order merges by place instead of by piece, which pairwise checks cannot see, so a
 chunk that holds such a run is merged directly.
 
 Texts are cut into chunks where no piece of the vocabulary can reach across, some texts at a time and
 as arrays of code points; the ids of recent chunks are kept in a table of bounded size per worker
-(``idtable``, by 64-bit hashes of the chunks), the checked pairs in another.
+(``idtable``, by 64-bit hashes of the chunks), the checked pairs in another, the steps in a third.
 
 Defined results: null and empty text: no ids, decoded to the empty text. Texts of any length
 are encoded whole. Rows are independent: repeated rows give repeated results. Further
@@ -36,9 +37,13 @@ SPACE = "▁"
 #: Candidate cuts, finest first; a model uses the first that never divides one of its pieces.
 LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 CUTS = (rf"{SPACE}*[{LATIN}]+|{SPACE}*[^{LATIN}{SPACE}]+|{SPACE}+", rf"{SPACE}*[^{SPACE}]+|{SPACE}+", r"(?s:.+)")
-LATIN_POINTS = np.array([re.match(f"[{LATIN}]", chr(i)) is not None for i in range(0x250)])
+#: 0 for the space, 2 for the characters of LATIN, 1 for all others, of which the last place stands for what comes after it.
+POINT_KIND = np.ones(ord(SPACE) + 2, dtype=np.int8)
+POINT_KIND[ord(SPACE)] = 0
+POINT_KIND[[i for i in range(0x250) if re.match(f"[{LATIN}]", chr(i))]] = 2
 CACHED_CHUNKS, CACHED_CHARS, CACHED_IDS = 500_000, 24, 4_000_000
 CACHED_PAIRS = 400_000
+CACHED_STEPS = 400_000
 
 
 def chunk_starts(points: np.ndarray, rows: np.ndarray, level: int) -> np.ndarray:
@@ -46,13 +51,8 @@ def chunk_starts(points: np.ndarray, rows: np.ndarray, level: int) -> np.ndarray
     first = np.zeros(len(points), dtype=bool)
     first[rows[rows < len(points)]] = True
     if level < 2 and len(points):
-        kind = np.ones(len(points), dtype=np.int8)
-        kind[points == ord(SPACE)] = 0
-        if level == 0:
-            latin = points < len(LATIN_POINTS)
-            latin[latin] = LATIN_POINTS[points[latin]]
-            kind[latin] = 2
-        first[1:] |= np.where(kind[1:] == 0, kind[:-1] != 0, (kind[:-1] != 0) & (kind[1:] != kind[:-1]))
+        kind = POINT_KIND.take(points, mode="clip") if level == 0 else (points != ord(SPACE)).view(np.int8)
+        first[1:] |= (kind[:-1] != 0) & (kind[1:] != kind[:-1])
     return np.flatnonzero(first)
 
 
@@ -95,21 +95,30 @@ class PieceCodec:
                 break
         self.pairs: dict[str, dict[str, bool]] = {}  # by the left piece
         self.n_pairs = 0
+        # of an accepted piece: its ids, the steps after it, its length, the next shorter piece, itself; a step leads
+        # from a piece that is tried to the first that fits, of it and the shorter ones
+        self.after: dict[str, tuple[bytes, dict, int, str | None, str]] = {}
+        self.first: dict[str, tuple | None] = {}  # the steps from a chunk's begin
+        self.n_steps = 0
         self.table = IdTable(CACHED_CHUNKS, CACHED_IDS)
         self.decimal = [str(i) for i in range(p.get_piece_size())]
 
     def merge(self, text: str) -> list[str]:
         """Merging itself: the best adjacent pair first, the leftmost of equals."""
-        parts, scores = list(text), self.scores
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                s = scores.get(parts[i] + parts[i + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, i
-            if at < 0:
+        parts, score, none = list(text), self.scores.get, float("-inf")
+        pairs = [score(x + y, none) for x, y in zip(parts, parts[1:])]
+        while pairs:
+            best = max(pairs)
+            if best == none:
                 break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            at = pairs.index(best)
+            whole = parts[at] + parts[at + 1]
+            parts[at:at + 2] = [whole]
+            del pairs[at]
+            if at < len(pairs):
+                pairs[at] = score(whole + parts[at + 1], none)
+            if at:
+                pairs[at - 1] = score(parts[at - 1] + whole, none)
         return parts
 
     def merge_long(self, text: str) -> list[str]:
@@ -155,48 +164,68 @@ class PieceCodec:
             self.n_pairs += 1
         return ok
 
-    def backtrack(self, chunk: str) -> list[str]:
+    def step(self, steps: dict, last: str, piece: str) -> tuple | None:
+        """The ``after`` of the longest piece that fits after ``last``, of ``piece`` and its shorter ones; none: None."""
+        if self.n_steps >= CACHED_STEPS:
+            for _, own, _, _, _ in self.after.values():
+                own.clear()
+            self.after.clear()
+            self.first.clear()
+            self.n_steps = 0
+        longest = piece
+        while not (ok := self.fits(last, piece)) and len(piece) > 1:
+            piece = self.shorter[piece]
+        if ok and piece not in self.after:
+            self.after[piece] = (self.code_of(piece), {}, len(piece), self.shorter.get(piece), piece)
+        found = steps[longest] = self.after[piece] if ok else None
+        self.n_steps += 1
+        return found
+
+    def accepted(self, chunk: str) -> list[tuple]:
+        """The ``after`` of every piece of a chunk."""
         longest: list[str] = list(chunk)
         for end, piece in self.automaton.iter(chunk):
             longest[end + 1 - len(piece)] = piece  # ends ascend, so a longer one comes later
         n, pos, failed = len(chunk), 0, 0  # failed: a bit for each position that no sequence gets past
-        out: list[str] = []
-        last = ""
-        piece = longest[0]
-        shorter, none = self.shorter, {}
-        known = self.pairs.get(last, none)
+        out: list[tuple] = []
+        before: list[tuple[dict, str]] = []  # the steps and the piece before each accepted one
+        steps, last, piece = self.first, "", longest[0]
         while True:
-            end = pos + len(piece)
-            if not failed or not failed >> end & 1:
-                ok = known.get(piece)
-                if ok is None:
-                    ok = self.fits(last, piece)
-                    known = self.pairs[last]
-                if ok:
-                    out.append(piece)
-                    if end == n:
-                        return out
-                    last, pos, piece = piece, end, longest[end]
-                    known = self.pairs.get(last, none)
-                    continue
-            if len(piece) == 1:
-                while len(piece) == 1:
-                    failed |= 1 << pos
-                    if not out:
-                        raise ValueError("no valid sequence of pieces")
-                    piece = out.pop()
-                    pos -= len(piece)
-                last = out[-1] if out else ""
-                known = self.pairs.get(last, none)
-            piece = shorter[piece]
+            found = None
+            while piece is not None:
+                try:
+                    found = steps[piece]
+                except KeyError:
+                    found = self.step(steps, last, piece)
+                if found is None or not failed or not failed >> (pos + found[2]) & 1:
+                    break
+                piece, found = found[3], None
+            if found is not None:
+                out.append(found)
+                pos += found[2]
+                if pos == n:
+                    return out
+                before.append((steps, last))
+                steps, last, piece = found[1], found[4], longest[pos]
+            else:
+                failed |= 1 << pos
+                if not out:
+                    raise ValueError("no valid sequence of pieces")
+                _, _, size, piece, _ = out.pop()
+                steps, last = before.pop()
+                pos -= size
+
+    def backtrack(self, chunk: str) -> list[str]:
+        return [x[4] for x in self.accepted(chunk)]
+
+    def code_of(self, piece: str) -> bytes:
+        """Its id, or the ids of its bytes for a character that is no piece."""
+        return self.code.get(piece) or np.array([self.byte_ids[b] for b in piece.encode()], dtype=np.uint32).tobytes()
 
     def encode_chunk(self, chunk: str) -> bytes:
-        pieces = self.merge_long(chunk) if self.tied and self.tied.search(chunk) else self.backtrack(chunk)
-        code = self.code
-        try:
-            return b"".join([code[x] for x in pieces])
-        except KeyError:  # characters that are no pieces: their bytes
-            return b"".join([code.get(x) or np.array([self.byte_ids[b] for b in x.encode()], dtype=np.uint32).tobytes() for x in pieces])
+        if self.tied and self.tied.search(chunk):
+            return b"".join([self.code_of(x) for x in self.merge_long(chunk)])
+        return b"".join([x[0] for x in self.accepted(chunk)])
 
     def coded_many(self, texts: list[str | None]) -> list[np.ndarray]:
         """All ids of each text."""

@@ -48,6 +48,9 @@ LAYOUT = "_layout.json"
 PACKED_RECORDS = 1 << 15  # of tokens, after which their blocks are handed on
 #: Token table, shuffled blocks and shards lie on disk together at the end: the first two are packed harder than by default.
 PACK_LEVEL, PAGE_BYTES = 9, 8 << 20
+#: Blocks are u2 ids for the most part: matches of two ids count, which a level alone takes from three on.
+BLOCK_LEVEL, BLOCK_MATCH, BLOCK_BYTES = 7, 4, 2 << 20
+CODED_BYTES = 1 << 20  # of texts coded at a time: each time the codec's table is written anew
 
 
 @dataclass(frozen=True)
@@ -100,7 +103,7 @@ def blocks(slots: np.ndarray, records: np.ndarray, shard_records: int) -> pa.Rec
     """A row for each shard that the slots fall into: the places in it and the compressed records."""
     import zstandard
 
-    pack = zstandard.ZstdCompressor(level=PACK_LEVEL).compress
+    pack = zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters.from_level(BLOCK_LEVEL, source_size=BLOCK_BYTES, min_match=BLOCK_MATCH)).compress
     order = np.argsort(slots, kind="stable")
     slots, records = slots[order], records[order]
     shard = slots // shard_records
@@ -190,7 +193,7 @@ def coded_texts(docs: DataFrame, length: int, model_path: str | None = None, id_
         c, part, before = codec(model_path or default_model()), TaskContext.get().partitionId(), 0
         for batch in batches:
             ids, texts = batch.column("row_id").cast(pa.int64()), batch.column("text")
-            for lo, hi, _, _ in tb.slices(texts):
+            for lo, hi, _, _ in tb.slices(texts, CODED_BYTES):
                 tokens = c.coded_many(texts.slice(lo, hi - lo).to_pylist())
                 n = np.array([(len(t) + length) // length for t in tokens], dtype=np.int64)
                 yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(np.full(hi - lo, part, np.int32)), pa.array(before + np.cumsum(n) - n), pa.array(n),

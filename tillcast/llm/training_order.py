@@ -47,9 +47,9 @@ NO_ID = -(1 << 63)
 LAYOUT = "_layout.json"
 PACKED_RECORDS = 1 << 15  # of tokens, after which their blocks are handed on
 #: Token table, shuffled blocks and shards lie on disk together at the end: the first two are packed harder than by default.
-PACK_LEVEL, PAGE_BYTES = 9, 8 << 20
+PACK_LEVEL, PAGE_BYTES = 7, 8 << 20
 #: Blocks are u2 ids for the most part: matches of two ids count, which a level alone takes from three on.
-BLOCK_LEVEL, BLOCK_MATCH, BLOCK_BYTES = 7, 4, 2 << 20
+BLOCK_LEVEL, BLOCK_MATCH, BLOCK_BYTES = 5, 4, 2 << 20
 CODED_BYTES = 1 << 20  # of texts coded at a time: each time the codec's table is written anew
 
 

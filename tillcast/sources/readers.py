@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,14 +60,20 @@ def read_parts(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet",
     if fmt == "parquet":
         try:
             scan = spark.read.options(**options).option("mergeSchema", "true").parquet(*dict.fromkeys(paths))
-        except AnalysisException as e:
-            if "MERGE" not in (e.getCondition() or ""):
+        except (AnalysisException, Py4JJavaError) as e:  # Spark's general exception comes as it is in Java
+            if not _is_merge_failure(e):
                 raise
         else:
             return _numbered(scan, _part_files(spark, paths, ".parquet"), part_col)
     return union_parts([spark.read.format(fmt).options(**options).load(p) for p in paths], part_col)
 
 
+def _is_merge_failure(e: AnalysisException | Py4JJavaError) -> bool:
+    if isinstance(e, AnalysisException):
+        return "MERGE" in (e.getCondition() or "")
+    return re.match(r"\[\w*MERGE", e.java_exception.getMessage() or "") is not None
+
+
 def _part_files(spark: SparkSession, paths: Sequence[str], suffix: str = "") -> list[tuple[str, int]]:
     """(file, part number) of all parts; a path given twice is two parts. Hidden files are left out."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
